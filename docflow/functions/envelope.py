@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docflow.schemas import ENVELOPE, NOTIFICATION
-
 
 def notification_json(uid: Column | str, bucket: Column | str, key: Column | str) -> Column:
     """Compact JSON of one notification, fields in the order uid, Bucket, Key."""
@@ -31,15 +29,6 @@ def attempt_of(body: Column | str) -> Column:
     return F.get_json_object(body, "$.Attempt")
 
 
-def message_of(body: Column | str) -> Column:
-    """The inner JSON string, null where the body holds none."""
-    return F.from_json(body, ENVELOPE)["Message"]
-
-
-def decode_message(message: Column | str) -> Column:
-    return F.from_json(message, NOTIFICATION)
-
-
 def json_property(document: Column | str, name: str, sql_type: str) -> Column:
     """One typed property of a single-level JSON object."""
     return F.from_json(document, f"`{name}` {sql_type}")[name]
@@ -49,17 +38,17 @@ def is_json(text: Column | str) -> Column:
     return F.try_parse_json(text).isNotNull()
 
 
-def failure_reason(body: Column, message: Column, note: Column) -> Column:
+def failure_reason(body: Column, message: Column, bucket: Column, key: Column) -> Column:
     """Why a body gives no usable notification, null where it does.
 
     A body that parses to something without a Message (``null``, ``0``, an array)
     is told apart from one that does not parse at all.
     """
     return (
-        F.when(note["Key"].isNotNull() & note["Bucket"].isNotNull(), F.lit(None).cast("string"))
+        F.when(key.isNotNull() & bucket.isNotNull(), F.lit(None).cast("string"))
         .when(body.isNull() | ~is_json(body), "body is not JSON")
         .when(message.isNull(), "body has no Message")
         .when(~is_json(message), "message is not JSON")
-        .when(note["Key"].isNull(), "message has no Key")
+        .when(key.isNull(), "message has no Key")
         .otherwise("message has no Bucket")
     )

@@ -45,22 +45,24 @@ def append_attachments(
     main: DataFrame,
     attachments: DataFrame,
     doc_col: str,
+    page_texts: Column,
     cap: int = DEFAULT_PAGE_CAP,
     part_size: int = PART_SIZE,
 ) -> DataFrame:
-    """Flat form: attachments are rows (doc, ordinal, subtype, page_texts).
+    """Flat form: attachments are rows (doc, ordinal, subtype, content), and
+    ``page_texts`` makes an array of page texts of them.
 
     ``main`` has the document column, ``n_pages`` and ``text``; both sides may be
     of any size. Rows are joined and first put together per run of ``part_size``
     ordinals, so a document with very many attachments is spread over tasks and
     only its finished parts meet.
     """
-    kept = attachments.where(is_readable(F.col("subtype"), F.col("page_texts"))).select(
+    kept = attachments.where(is_readable(F.col("subtype"), F.col("content"))).select(
         doc_col,
         "ordinal",
-        F.floor(F.col("ordinal") / part_size).alias("_part"),
+        (F.col("ordinal") - F.pmod(F.col("ordinal"), F.lit(part_size))).alias("_part"),
         # No main document allows more than `cap` pages: cut before the shuffle.
-        F.slice("page_texts", 1, paging.check_cap(cap)).alias("_pages"),
+        F.slice(page_texts, 1, paging.check_cap(cap)).alias("_pages"),
     )
     limits = main.select(doc_col, paging.pages_processed(F.col("n_pages"), cap).alias("_limit"))
     part_limits = kept.select(doc_col, "_part").distinct().join(limits, doc_col)

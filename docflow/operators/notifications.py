@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions.envelope import (
-    decode_message,
     envelope_json,
     failure_reason,
-    message_of,
     notification_json,
 )
 
@@ -24,19 +22,15 @@ def build_bodies(notifications: DataFrame) -> DataFrame:
 def decode_bodies(bodies: DataFrame) -> DataFrame:
     """Add uid, Bucket, Key and ``reason``; the raw body stays beside them.
 
-    Rows with a null ``reason`` are usable. Each JSON level is its own projection,
-    so a body is parsed once however often its parts are used.
+    Rows with a null ``reason`` are usable. Both JSON levels are read by a generator:
+    a filter on what it yields stays above it, whereas one on ``from_json`` would be
+    pushed below and parse every body a second time.
     """
-    parsed = bodies.withColumn("_message", message_of("Body")).withColumn(
-        "_note", decode_message("_message")
-    )
-    return parsed.select(
-        *bodies.columns,
-        F.col("_note.uid").alias("uid"),
-        F.col("_note.Bucket").alias("Bucket"),
-        F.col("_note.Key").alias("Key"),
-        failure_reason(F.col("Body"), F.col("_message"), F.col("_note")).alias("reason"),
-    )
+    outer = bodies.select("*", F.json_tuple("Body", "Message").alias("_message"))
+    inner = outer.select("*", F.json_tuple("_message", "uid", "Bucket", "Key"))
+    inner = inner.toDF(*bodies.columns, "_message", "uid", "Bucket", "Key")
+    reason = failure_reason(F.col("Body"), F.col("_message"), F.col("Bucket"), F.col("Key"))
+    return inner.withColumn("reason", reason).drop("_message")
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

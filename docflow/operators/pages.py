@@ -13,7 +13,7 @@ from pyspark.sql import window as win
 from docflow.functions import paging
 from docflow.schemas import DEFAULT_PAGE_CAP, PAGES
 
-# Takes documents, gives them back with a `pages` column (null if unreadable).
+# Takes documents, gives them back with a `pages` column and a flag `readable`.
 Extractor = Callable[[DataFrame], DataFrame]
 
 
@@ -31,7 +31,12 @@ def line_extractor(
             F.sequence(F.lit(0), last),
             lambda i: F.slice("_lines", i * lines_per_page + 1, F.lit(lines_per_page)),
         )
-        return lines.withColumn("pages", F.when(F.col("_lines").isNotNull(), pages)).drop("_lines")
+        return lines.withColumns(
+            {
+                "pages": F.when(F.col("_lines").isNotNull(), pages),
+                "readable": F.col(content_col).isNotNull(),
+            }
+        ).drop("_lines")
 
     return extract
 
@@ -41,7 +46,7 @@ def python_extractor(
 ) -> Extractor:
     """Extractor around a Python library reading one document at a time.
 
-    A document the library fails on gets null pages and goes to the retry ledger.
+    A document the library fails on is not readable and goes to the retry ledger.
     """
 
     def pages_or_none(content):
@@ -53,12 +58,21 @@ def python_extractor(
             return None
 
     def extract(docs: DataFrame) -> DataFrame:
-        schema = T.StructType([*docs.schema.fields, T.StructField("pages", PAGES)])
+        schema = T.StructType(
+            [
+                *docs.schema.fields,
+                T.StructField("pages", PAGES),
+                T.StructField("readable", T.BooleanType()),
+            ]
+        )
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 pages = [pages_or_none(content) for content in batch[content_col]]
-                yield batch.assign(pages=pd.Series(pages, index=batch.index, dtype=object))
+                yield batch.assign(
+                    pages=pd.Series(pages, index=batch.index, dtype=object),
+                    readable=[p is not None for p in pages],
+                )
 
         return docs.mapInPandas(run, schema)
 
@@ -90,7 +104,9 @@ def extract_text(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
 
 def page_table(docs: DataFrame, cap: int | None = None) -> DataFrame:
     """One row per page with its 1-based number and text, up to ``cap`` if given."""
-    pages = F.col("pages") if cap is None else paging.first_pages("pages", cap)
+    # Never a bare column: Spark would filter on its size below the projection that
+    # makes it, and so make the pages twice.
+    pages = F.coalesce("pages", F.array()) if cap is None else paging.first_pages("pages", cap)
     others = [c for c in docs.columns if c != "pages"]
     return docs.select(*others, F.posexplode(pages).alias("_at", "_items")).select(
         *others,

@@ -102,7 +102,7 @@ def sticky_flags(docs: DataFrame, ok_col: str = "ok_flags") -> DataFrame:
     return (
         docs.withColumn("_flags", flags)
         .withColumn("_first_bad", F.array_position("_flags", F.lit(False)))
-        .select(*others, "_first_bad", F.posexplode("_flags").alias("_at", "ok"))
+        .select(*others, "_first_bad", F.posexplode(F.coalesce("_flags", F.array())).alias("_at", "ok"))
         .withColumn("page_no", (F.col("_at") + 1).cast("bigint"))
         .withColumn(
             "success", (F.col("_first_bad") == 0) | (F.col("page_no") < F.col("_first_bad"))

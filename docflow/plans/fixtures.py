@@ -46,5 +46,5 @@ def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").alias("doc_id"),
         F.col("turn").alias("ordinal"),
         subtype.alias("subtype"),
-        F.split("text", "\n").alias("page_texts"),
+        F.col("text").alias("content"),
     )

@@ -12,10 +12,10 @@ from docflow.functions.envelope import json_property
 from docflow.operators import attachments as att
 from docflow.operators import ledger, lookup, metrics, pages, previews
 from docflow.operators import notifications as notes
-from docflow.operators.fanout import fan_out
+from docflow.operators.fanout import fan_out, subscribed_queues
 from docflow.plans import fixtures as fx
 from docflow.plans import stages
-from docflow.schemas import DOCUMENT_TEXT, PREVIEW_PAGES, QUARANTINE, RETRY_LEDGER
+from docflow.schemas import DOCUMENT_TEXT, PREVIEW_PAGES, QUARANTINE, RETRY_LEDGER, TOPIC
 from docflow.session import scratch_dir
 from docflow.sources.notifications import publish, stream_bodies
 from docflow.sources.sinks import read_batches, read_or_empty
@@ -33,7 +33,7 @@ split_lines = pages.line_extractor("text")
 
 def _paged(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
-    return split_lines(docs).drop("text")
+    return split_lines(docs).drop("text", "readable")
 
 
 # --- documents and pages -----------------------------------------------------
@@ -65,7 +65,9 @@ def assemble_pages(spark, sf_dir):
 
 def attachment_text(spark, sf_dir):
     main = pages.extract_text(_paged(spark, sf_dir)).select("doc_id", "n_pages", "text")
-    return att.append_attachments(main, fx.attachments(spark, sf_dir), "doc_id")
+    return att.append_attachments(
+        main, fx.attachments(spark, sf_dir), "doc_id", F.split("content", "\n")
+    )
 
 
 # --- notifications -----------------------------------------------------------
@@ -207,7 +209,8 @@ def run_stages(spark, sf_dir):
     decoded = notes.decode_bodies(_bodies(spark, sf_dir).select("Body"))
     targets = notes.distinct_targets(notes.accepted(decoded))
     fetch = lookup.table_fetcher(fx.objects(spark, sf_dir), "text")
-    delivered = fan_out(stages.readable(stages.prepare(targets, fetch)))
+    docs = stages.readable(stages.prepare(targets, fetch))
+    delivered = docs.withColumn("queues", subscribed_queues(F.lit(TOPIC)))
     outputs = stages.run_stages(delivered, stages.registered(["text", "previews"]))
     return stages.stage_summary(outputs)
 

@@ -109,8 +109,8 @@ def prepare(
 ) -> DataFrame:
     """Look documents up and cut them into pages, keeping at most ``cap`` of them.
 
-    Contents stay in the lookup: what goes on is ``found``, the true page count and
-    the pages to work on.
+    Contents stay behind: what goes on is the flags ``found`` and ``readable``, the
+    true page count and the pages to work on.
     """
     extract = extract or line_extractor()
     paged = extract(fetch(targets)).withColumn("found", F.col("content").isNotNull())
@@ -121,25 +121,25 @@ def prepare(
 
 
 def readable(prepared: DataFrame) -> DataFrame:
-    return prepared.where(F.col("found") & F.col("pages").isNotNull()).drop("found")
+    return prepared.where("found and readable").drop("found", "readable")
 
 
 def failed(prepared: DataFrame) -> DataFrame:
     """Targets without a stored object or with one that gives no pages."""
     reason = F.when(~F.col("found"), "object is missing").otherwise("document is unreadable")
-    return prepared.where(~F.col("found") | F.col("pages").isNull()).select(
+    return prepared.where("not found or not readable").select(
         "uid", "Bucket", "Key", reason.alias("reason")
     )
 
 
 def run_stages(delivered: DataFrame, stages: Sequence[Stage]) -> dict[str, DataFrame]:
-    """Outputs per stage. With a ``queue`` column a stage gets the documents that
-    were delivered to its queue, without one it gets all."""
+    """Outputs per stage. With a ``queues`` column a stage gets the documents whose
+    queues have its own among them, without one it gets all."""
     outputs = {}
     for stage in stages:
         docs = delivered
-        if "queue" in delivered.columns:
-            docs = delivered.where(F.col("queue") == stage.queue).drop("queue", "topic")
+        if "queues" in delivered.columns:
+            docs = delivered.where(F.array_contains("queues", stage.queue)).drop("queues")
         outputs[stage.name] = docs.transform(stage.process)
     return outputs
 

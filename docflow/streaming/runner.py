@@ -39,14 +39,22 @@ LEDGER_DIR = "retry_ledger"
 REDELIVERED_DIR = "redelivered"
 
 
+DEFAULT_VISIBILITY = f"{DEFAULT_VISIBILITY_SECONDS} seconds"
+
+
 @dataclass(frozen=True)
 class StreamConfig:
-    """Settings of one run; ``poll_interval`` None means: what is there, then stop."""
+    """Settings of one run.
+
+    ``poll_interval`` None means: read what is there, then stop. ``dedup_within``
+    (say ``DEFAULT_VISIBILITY``) keeps state to drop copies that come in a later
+    batch; without it they are processed again and replace equal outputs.
+    """
 
     name: str = "docflow"
     stages: tuple[str, ...] = ("text", "previews")
     poll_interval: str | None = None
-    dedup_within: str | None = f"{DEFAULT_VISIBILITY_SECONDS} seconds"
+    dedup_within: str | None = None
     retry_strategy: str = "exponential"
 
 
@@ -55,7 +63,7 @@ def stage_dir(out: str, stage: str) -> str:
 
 
 def process_batch(
-    bodies: DataFrame,
+    decoded: DataFrame,
     batch_id: int,
     out: str,
     fetch: Fetcher,
@@ -64,9 +72,9 @@ def process_batch(
     retry_strategy: str = "exponential",
     now: datetime | None = None,
 ) -> None:
-    """Decode, look up, run every stage and write all outputs of one batch."""
+    """Look up, run every stage and write all outputs of one batch of decoded bodies."""
     now = now or datetime.now(timezone.utc)
-    decoded = decode_bodies(bodies.select("Body")).persist()
+    decoded = decoded.persist()
     prepared = None
     try:
         if decoded.isEmpty():
@@ -120,22 +128,25 @@ def start(
 ) -> StreamingQuery:
     """Run stages over a stream of bodies (``Body, received_at``)."""
     stages = registered(config.stages)
+    decoded = decode_bodies(bodies)
     if config.dedup_within:
         # A redelivery is not a copy of the delivery that failed. Bodies that give
         # no message have no identity but themselves.
         message_id = F.concat_ws("#", delivery_id(), attempt_of("Body"))
-        decoded = decode_bodies(bodies).withColumn(
+        decoded = decoded.withColumn(
             "_id", F.when(F.col("reason").isNull(), message_id).otherwise(F.col("Body"))
         )
-        bodies = dedup_stream(
-            decoded.select("Body", "received_at", "_id"), "_id", "received_at", config.dedup_within
-        )
+        decoded = dedup_stream(decoded, "_id", "received_at", config.dedup_within).drop("_id")
+
+    # Only a body that could not be read is needed any further.
+    decoded = decoded.withColumn("Body", F.when(F.col("reason").isNotNull(), F.col("Body")))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, out, fetch, stages, extract, config.retry_strategy)
 
     writer = (
-        bodies.writeStream.queryName(f"{config.name}-{uuid.uuid4().hex[:8]}")
+        decoded.drop("received_at")
+        .writeStream.queryName(f"{config.name}-{uuid.uuid4().hex[:8]}")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(handle)
     )
