@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OBJECT_KEY = ["Bucket", "Key"]
+BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Takes notifications, gives them back with a `content` column, null if missing.
+# Takes notifications, gives those back whose object is stored, with its `content`.
 Fetcher = Callable[[DataFrame], DataFrame]
 
 
@@ -28,10 +29,28 @@ def missing_objects(notifications: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def table_fetcher(objects: DataFrame, content_col: str = "content") -> Fetcher:
-    """Lookup in a table: found and missing rows come out of the same left join."""
+    """Lookup in a table of objects."""
     stored = objects.select(*OBJECT_KEY, F.col(content_col).alias("content"))
 
     def fetch(notifications: DataFrame) -> DataFrame:
-        return notifications.join(stored, OBJECT_KEY, "left")
+        return fetch_objects(notifications, stored)
 
     return fetch
+
+
+def row_bytes(rows: DataFrame) -> Column:
+    """About how much memory the rows' strings need, summed over rows."""
+    width = F.lit(64)
+    for name, kind in rows.dtypes:
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    return F.coalesce(F.sum(width.cast("bigint")), F.lit(0).cast("bigint"))
+
+
+def broadcast_if_small(rows: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast of rows whose measured ``size`` is within the limit.
+
+    Broadcast targets leave a large table of objects where it is; past the limit
+    the join shuffles both sides.
+    """
+    return F.broadcast(rows) if size <= limit else rows

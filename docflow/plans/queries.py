@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TURN_CAP = 3
 RETRY_NOW = "2024-01-15 00:00:00"
-MICRO_BATCHES = 4
+MICRO_BATCHES = 3
 
 split_lines = pages.line_extractor("text")
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions import keys, paging
-from docflow.operators.lookup import Fetcher
+from docflow.operators.lookup import Fetcher, missing_objects
 from docflow.operators.pages import Extractor, extract_text, line_extractor, page_table
 from docflow.operators.previews import Renderer, column_renderer, rendered_only
 from docflow.schemas import DEFAULT_PAGE_CAP, PREVIEW_QUEUE, TEXT_QUEUE
@@ -109,11 +109,11 @@ def prepare(
 ) -> DataFrame:
     """Look documents up and cut them into pages, keeping at most ``cap`` of them.
 
-    Contents stay behind: what goes on is the flags ``found`` and ``readable``, the
-    true page count and the pages to work on.
+    Contents stay behind: what goes on is the flag ``readable``, the true page count
+    and the pages to work on.
     """
     extract = extract or line_extractor()
-    paged = extract(fetch(targets)).withColumn("found", F.col("content").isNotNull())
+    paged = extract(fetch(targets))
     kept = F.col("pages") if cap is None else paging.first_pages("pages", cap)
     return paged.drop("content").withColumns(
         {"n_pages": paging.page_count("pages"), "pages": kept}
@@ -121,14 +121,16 @@ def prepare(
 
 
 def readable(prepared: DataFrame) -> DataFrame:
-    return prepared.where("found and readable").drop("found", "readable")
+    return prepared.where("readable").drop("readable")
 
 
-def failed(prepared: DataFrame) -> DataFrame:
+def failed(targets: DataFrame, prepared: DataFrame) -> DataFrame:
     """Targets without a stored object or with one that gives no pages."""
-    reason = F.when(~F.col("found"), "object is missing").otherwise("document is unreadable")
-    return prepared.where("not found or not readable").select(
-        "uid", "Bucket", "Key", reason.alias("reason")
+    columns = ["uid", "Bucket", "Key"]
+    missing = missing_objects(targets.select(*columns), prepared)
+    unreadable = prepared.where(~F.coalesce("readable", F.lit(False))).select(*columns)
+    return missing.withColumn("reason", F.lit("object is missing")).unionByName(
+        unreadable.withColumn("reason", F.lit("document is unreadable"))
     )
 
 

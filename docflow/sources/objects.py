@@ -46,8 +46,8 @@ def store_fetcher(base_uri: str) -> Fetcher:
     """Lookup of single objects at ``base_uri/Bucket/Key``, one read per row.
 
     For small batches against a large store: the work grows with the notifications
-    and not with what is stored. A missing object gives null content; any other
-    failure fails the task, which Spark retries.
+    and not with what is stored. A missing object gives no row; any other failure
+    fails the task, which Spark retries.
     """
 
     def fetch(notifications: DataFrame) -> DataFrame:
@@ -60,21 +60,22 @@ def store_fetcher(base_uri: str) -> Fetcher:
 
             store, root = arrow_fs.FileSystem.from_uri(base_uri)
             for batch in batches:
-                contents: list[bytes | None] = []
-                start = size = 0
-                for bucket, key in zip(batch["Bucket"], batch["Key"], strict=True):
+                rows: list[int] = []
+                contents: list[bytes] = []
+                size = 0
+                for row, (bucket, key) in enumerate(zip(batch["Bucket"], batch["Key"])):
                     try:
                         with store.open_input_stream(f"{root}/{bucket}/{key}") as stream:
                             contents.append(stream.read())
                     except FileNotFoundError:
-                        contents.append(None)
-                    size += len(contents[-1] or b"")
+                        continue
+                    rows.append(row)
+                    size += len(contents[-1])
                     if size >= BYTES_PER_BATCH:
-                        stop = start + len(contents)
-                        yield batch.iloc[start:stop].assign(content=contents)
-                        contents, start, size = [], stop, 0
-                if contents:
-                    yield batch.iloc[start:].assign(content=contents)
+                        yield batch.iloc[rows].assign(content=contents)
+                        rows, contents, size = [], [], 0
+                if rows:
+                    yield batch.iloc[rows].assign(content=contents)
 
         return notifications.mapInPandas(run, schema)
 

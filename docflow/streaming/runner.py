@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docflow.functions.envelope import attempt_of
 from docflow.operators.ledger import due, schedule
-from docflow.operators.lookup import Fetcher
+from docflow.operators.lookup import Fetcher, broadcast_if_small, row_bytes
 from docflow.operators.notifications import (
     accepted,
     decode_bodies,
@@ -77,16 +77,22 @@ def process_batch(
     decoded = decoded.persist()
     prepared = None
     try:
-        if decoded.isEmpty():
+        rows, bad, size = decoded.agg(
+            F.count(F.lit(1)), F.count("reason"), row_bytes(accepted(decoded))
+        ).first()
+        if bad:
+            write_batch(quarantined(decoded), f"{out}/{QUARANTINE_DIR}", batch_id)
+        if rows == bad:
             return
-        write_batch(quarantined(decoded), f"{out}/{QUARANTINE_DIR}", batch_id)
-        targets = distinct_targets(accepted(decoded))
+        targets = broadcast_if_small(distinct_targets(accepted(decoded)), size)
         # Each stage and the ledger read this; it is looked up and cut only once.
         prepared = prepare(targets, fetch, extract, pages_needed(stages)).persist()
         docs = readable(prepared)
         for stage in stages:
             write_batch(docs.transform(stage.process), stage_dir(out, stage.name), batch_id)
-        record_failures(failed(prepared), batch_id, out, retry_strategy, now)
+        failures = failed(targets, prepared)
+        if not failures.isEmpty():
+            record_failures(failures, batch_id, out, retry_strategy, now)
     finally:
         if prepared is not None:
             prepared.unpersist()

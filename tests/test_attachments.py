@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from docflow.operators.attachments import append_attachments, merge_attachments
+from docflow.schemas import ATTACHMENTS, PAGES
+from pyspark.sql import types as T
+
+PDF, OTHER = "application/pdf", "text/plain"
+
+DOCS = T.StructType(
+    [
+        T.StructField("doc", T.LongType()),
+        T.StructField("pages", PAGES),
+        T.StructField("attachments", ATTACHMENTS),
+    ]
+)
+
+
+def attachment(name, subtype, *pages):
+    return (name, subtype, None, [[p] for p in pages] if pages else None)
+
+
+@pytest.mark.parametrize(
+    ("main", "attached", "text"),
+    [
+        (["m"], None, "m"),
+        (["m"], [], "m"),
+        (["m"], [attachment("a", OTHER, "x")], "m"),
+        (["m"], [attachment("a", PDF)], "m"),
+        (["m"], [attachment("a", PDF, "x", "y")], "mx"),
+        (["m", "n"], [attachment("b", PDF, "x", "y", "z"), attachment("a", PDF, "w")], "mnxyw"),
+        ([str(i) for i in range(12)], [attachment("a", PDF, *"abcdefghijkl")], "0123456789abcdefghij"),
+    ],
+)
+def test_nested(spark, main, attached, text):
+    docs = spark.createDataFrame([(1, [[p] for p in main], attached)], DOCS)
+    row = merge_attachments(docs).first()
+    assert (row.text, row.content_length) == (text, len(text))
+
+
+@pytest.mark.parametrize("part_size", [1, 7, 1000])
+def test_flat_against_brute_force(spark, part_size):
+    mains = {d: d % 13 + 1 for d in range(40)}
+    main = spark.createDataFrame([(d, n, f"<{d}>") for d, n in mains.items()], "doc long, n_pages long, text string")
+    # Document 0 has a third of all attachments; some parents do not exist.
+    rows = [
+        (0 if i % 3 == 0 else i % 45, i, OTHER if i % 4 == 0 else PDF, None if i % 11 == 0 else "|".join(f"{i}.{p}" for p in range(i % 15)))
+        for i in range(600)
+    ]
+    att = spark.createDataFrame(rows, "doc long, ordinal long, subtype string, content string").repartition(6)
+    got = append_attachments(main, att, "doc", F.split("content", "\\|"), part_size=part_size)
+    want = {}
+    for d, n in mains.items():
+        kept = [r for r in rows if r[0] == d and r[2] == PDF and r[3] is not None]
+        pages = ["".join(r[3].split("|")[: min(n, 10)]) for r in kept]
+        want[d] = (len(kept), f"<{d}>" + "".join(pages))
+    assert {r.doc: (r.n_attachments, r.text) for r in got.collect()} == want
