@@ -25,7 +25,7 @@ def read_objects(spark: SparkSession, path: str, bucket: str, glob: str = "*") -
     )
     # Paths come back with a scheme; what follows the folder's own path is the key.
     folder = unquote(path.split("://", 1)[-1]).removeprefix("file:").rstrip("/") + "/"
-    key = F.substring_index(F.col("path"), F.lit(folder), -1)
+    key = F.substr("path", F.instr("path", folder) + F.lit(len(folder)))
     return files.select(
         F.lit(bucket).alias("Bucket"), key.alias("Key"), "content", "length", "modificationTime"
     )

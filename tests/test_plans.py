@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 import pytest
@@ -10,9 +12,10 @@ from docflow.plans.queries import QUERIES
 
 
 def plan_of(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
-    )
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
 
 
 def read_schemas(plan):
