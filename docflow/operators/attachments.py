@@ -57,15 +57,18 @@ def append_attachments(
     ordinals, so a document with very many attachments is spread over tasks and
     only its finished parts meet.
     """
+    part = F.col("ordinal") - F.pmod(F.col("ordinal"), F.lit(part_size))
     kept = attachments.where(is_readable(F.col("subtype"), F.col("content"))).select(
         doc_col,
         "ordinal",
-        (F.col("ordinal") - F.pmod(F.col("ordinal"), F.lit(part_size))).alias("_part"),
+        part.alias("_part"),
         # No main document allows more than `cap` pages: cut before the shuffle.
         F.slice(page_texts, 1, paging.check_cap(cap)).alias("_pages"),
     )
     limits = main.select(doc_col, paging.pages_processed(F.col("n_pages"), cap).alias("_limit"))
-    part_limits = kept.select(doc_col, "_part").distinct().join(limits, doc_col)
+    # Parts of all attachments, as telling the readable ones takes their contents.
+    all_parts = attachments.select(doc_col, part.alias("_part")).distinct()
+    part_limits = all_parts.join(limits, doc_col)
     pieces = kept.join(part_limits, [doc_col, "_part"]).select(
         doc_col,
         "_part",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as win
 
 from docflow.functions.retry import delayed, retry_delay_ms
+from docflow.schemas import DEFAULT_DELAY_SECONDS
 
 
 def number_attempts(
@@ -56,7 +57,7 @@ def schedule(
     return attempts.withColumn("next_attempt_at", delayed(at_col, delay))
 
 
-def push_back(entries: DataFrame, seconds: int) -> DataFrame:
+def push_back(entries: DataFrame, seconds: int = DEFAULT_DELAY_SECONDS) -> DataFrame:
     """Delay: make entries visible again no earlier than ``seconds`` after their
     last attempt."""
     return entries.withColumn(

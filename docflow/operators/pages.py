@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,8 +14,11 @@ from pyspark.sql import window as win
 from docflow.functions import paging
 from docflow.schemas import DEFAULT_PAGE_CAP, PAGES
 
-# Takes documents, gives them back with a `pages` column and a flag `readable`.
-Extractor = Callable[[DataFrame], DataFrame]
+# Takes documents and a page cap (None for all pages) and adds the columns
+# `pages` (no more than the cap), `n_pages` (of the whole document) and `readable`.
+Extractor = Callable[[DataFrame, int | None], DataFrame]
+
+RANK_SALTS = 32
 
 
 def line_extractor(
@@ -22,18 +26,20 @@ def line_extractor(
 ) -> Extractor:
     """The extractor shipped here: a line is a text item, some lines are a page."""
 
-    def extract(docs: DataFrame) -> DataFrame:
+    def extract(docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
         # The lines are a projection of their own, or the text would be split
         # again for every page.
         lines = docs.withColumn("_lines", F.split(F.col(content_col).cast("string"), "\n"))
-        last = F.floor((F.size("_lines") - 1) / lines_per_page).cast("int")
+        n_pages = F.ceil(F.size("_lines") / lines_per_page).cast("bigint")
+        wanted = n_pages if cap is None else paging.pages_processed(n_pages, cap)
         pages = F.transform(
-            F.sequence(F.lit(0), last),
+            F.sequence(F.lit(0), (wanted - 1).cast("int")),
             lambda i: F.slice("_lines", i * lines_per_page + 1, F.lit(lines_per_page)),
         )
         return lines.withColumns(
             {
                 "pages": F.when(F.col("_lines").isNotNull(), pages),
+                "n_pages": n_pages,
                 "readable": F.col(content_col).isNotNull(),
             }
         ).drop("_lines")
@@ -42,36 +48,43 @@ def line_extractor(
 
 
 def python_extractor(
-    read_pages: Callable[[bytes], Iterable[Iterable[str | None]]], content_col: str = "content"
+    open_document: Callable[[bytes], tuple[int, Iterable[Iterable[str | None]]]],
+    content_col: str = "content",
 ) -> Extractor:
     """Extractor around a Python library reading one document at a time.
 
-    A document the library fails on is not readable and goes to the retry ledger.
+    ``open_document`` gives the number of pages and an iterable of them, of which
+    only those up to the cap are taken. A document it fails on is not readable and
+    goes to the retry ledger.
     """
 
-    def pages_or_none(content):
+    def read(content, cap):
         if content is None:
-            return None
+            return None, None
         try:
-            return [list(items) for items in read_pages(content)]
+            n_pages, pages = open_document(content)
+            return n_pages, [list(items) for items in islice(pages, cap)]
         except Exception:
-            return None
+            return None, None
 
-    def extract(docs: DataFrame) -> DataFrame:
+    def extract(docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
         schema = T.StructType(
             [
                 *docs.schema.fields,
                 T.StructField("pages", PAGES),
+                T.StructField("n_pages", T.LongType()),
                 T.StructField("readable", T.BooleanType()),
             ]
         )
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                pages = [pages_or_none(content) for content in batch[content_col]]
+                read_all = [read(content, cap) for content in batch[content_col]]
+                counts = [count for count, _ in read_all]
                 yield batch.assign(
-                    pages=pd.Series(pages, index=batch.index, dtype=object),
-                    readable=[p is not None for p in pages],
+                    pages=pd.Series([p for _, p in read_all], index=batch.index, dtype=object),
+                    n_pages=pd.array(counts, dtype="Int64"),
+                    readable=[count is not None for count in counts],
                 )
 
         return docs.mapInPandas(run, schema)
@@ -120,14 +133,26 @@ def first_n_pages(
 ) -> DataFrame:
     """The first ``cap`` rows per document of a flat page table, numbered.
 
-    Spark applies the rank limit to each map task before the shuffle, so no task
+    Spark applies a rank limit to each map task before the shuffle, so no task
     receives more than ``cap`` rows per document and map task, however many pages
-    a document has.
+    a document has. It does not for large limits: those are first applied to parts
+    of a document.
     """
-    ordered = win.Window.partitionBy(*doc_cols).orderBy(*order_cols)
-    numbered = pages.withColumn("page_no", F.row_number().over(ordered))
-    capped = numbered.where(F.col("page_no") <= paging.check_cap(cap))
-    return capped.withColumn("page_no", F.col("page_no").cast("bigint"))
+    paging.check_cap(cap)
+    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if cap > int(pages.sparkSession.conf.get(setting, "1000")):
+        salt = F.pmod(F.xxhash64(*order_cols), F.lit(RANK_SALTS))
+        pages = _first_rows(pages.withColumn("_salt", salt), [*doc_cols, "_salt"], order_cols, cap)
+        pages = pages.drop("_salt", "_rank")
+    first = _first_rows(pages, doc_cols, order_cols, cap)
+    return first.withColumn("page_no", F.col("_rank").cast("bigint")).drop("_rank")
+
+
+def _first_rows(
+    pages: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], cap: int
+) -> DataFrame:
+    ordered = win.Window.partitionBy(*group_cols).orderBy(*order_cols)
+    return pages.withColumn("_rank", F.row_number().over(ordered)).where(F.col("_rank") <= cap)
 
 
 def assemble_pages(

@@ -15,7 +15,7 @@ from docflow.operators import notifications as notes
 from docflow.operators.fanout import fan_out, subscribed_queues
 from docflow.plans import fixtures as fx
 from docflow.plans import stages
-from docflow.schemas import DOCUMENT_TEXT, PREVIEW_PAGES, QUARANTINE, RETRY_LEDGER, TOPIC
+from docflow.schemas import DEFAULT_PAGE_CAP, DOCUMENT_TEXT, PREVIEW_PAGES, QUARANTINE, RETRY_LEDGER, TOPIC
 from docflow.session import scratch_dir
 from docflow.sources.notifications import publish, stream_bodies
 from docflow.sources.sinks import read_batches, read_or_empty
@@ -31,9 +31,9 @@ MICRO_BATCHES = 3
 split_lines = pages.line_extractor("text")
 
 
-def _paged(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
-    return split_lines(docs).drop("text", "readable")
+def _paged(spark: SparkSession, sf_dir: str, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return split_lines(docs, cap).drop("text", "readable")
 
 
 # --- documents and pages -----------------------------------------------------
@@ -44,7 +44,7 @@ def extract_text(spark, sf_dir):
 
 
 def page_text(spark, sf_dir):
-    return pages.page_table(_paged(spark, sf_dir))
+    return pages.page_table(_paged(spark, sf_dir, cap=None).drop("n_pages"))
 
 
 def page_stats(spark, sf_dir):
@@ -147,7 +147,7 @@ def preview_manifest(spark, sf_dir):
 
 def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.length("page_text") >= fx.MIN_PAGE_CHARS
-    table = pages.page_table(_paged(spark, sf_dir), paging.DEFAULT_PAGE_CAP)
+    table = pages.page_table(_paged(spark, sf_dir).drop("n_pages"))
     return previews.column_renderer(ok)(table)
 
 
@@ -159,7 +159,7 @@ def previews_rendered(spark, sf_dir):
 def sticky_success(spark, sf_dir):
     """Flags of a document side by side in its row: no shuffle."""
     flags = F.transform(
-        paging.first_pages("pages"),
+        "pages",
         lambda items: F.length(paging.page_text(items)) >= fx.MIN_PAGE_CHARS,
     )
     docs = _paged(spark, sf_dir).select("doc_id", flags.alias("ok_flags"))

@@ -107,17 +107,13 @@ def prepare(
     extract: Extractor | None = None,
     cap: int | None = DEFAULT_PAGE_CAP,
 ) -> DataFrame:
-    """Look documents up and cut them into pages, keeping at most ``cap`` of them.
+    """Look documents up and cut them into pages, at most ``cap`` of them.
 
-    Contents stay behind: what goes on is the flag ``readable``, the true page count
-    and the pages to work on.
+    The cap goes into the extractor, so pages beyond it are not even read. Contents
+    stay behind.
     """
     extract = extract or line_extractor()
-    paged = extract(fetch(targets))
-    kept = F.col("pages") if cap is None else paging.first_pages("pages", cap)
-    return paged.drop("content").withColumns(
-        {"n_pages": paging.page_count("pages"), "pages": kept}
-    )
+    return extract(fetch(targets), cap).drop("content")
 
 
 def readable(prepared: DataFrame) -> DataFrame:

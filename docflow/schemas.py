@@ -17,8 +17,6 @@ PDF_SUBTYPE = "application/pdf"
 DEFAULT_PAGE_CAP = 10
 DEFAULT_VISIBILITY_SECONDS = 600
 DEFAULT_DELAY_SECONDS = 30
-TEXT_MESSAGES_PER_POLL = 4
-PREVIEW_MESSAGES_PER_POLL = 2
 
 NOTIFICATION = T.StructType(
     [

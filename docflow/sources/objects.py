@@ -42,15 +42,18 @@ def save_objects_table(objects: DataFrame, table: str, buckets: int) -> None:
     )
 
 
-def store_fetcher(base_uri: str) -> Fetcher:
+def store_fetcher(base_uri: str, tasks: int | None = None) -> Fetcher:
     """Lookup of single objects at ``base_uri/Bucket/Key``, one read per row.
 
     For small batches against a large store: the work grows with the notifications
     and not with what is stored. A missing object gives no row; any other failure
-    fails the task, which Spark retries.
+    fails the task, which Spark retries. The few bytes of the keys would be put
+    into one partition, so they are spread over ``tasks`` (four per core) instead.
     """
 
     def fetch(notifications: DataFrame) -> DataFrame:
+        cores = notifications.sparkSession.sparkContext.defaultParallelism
+        notifications = notifications.repartition(tasks or 4 * cores, *OBJECT_KEY)
         schema = T.StructType(
             [*notifications.schema.fields, T.StructField("content", T.BinaryType())]
         )

@@ -53,14 +53,16 @@ def test_bad_cap(cap):
 def test_line_extractor(spark):
     texts = ["", "a", "a\nb\nc\nd\ne", "a\nb\nc\nd\ne\nf", "\n" * 10, None]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, content string")
-    rows = {r.doc_id: r for r in line_extractor()(docs).collect()}
+    rows = {r.doc_id: r for r in line_extractor()(docs, None).collect()}
+    capped = {r.doc_id: r for r in line_extractor()(docs, 1).collect()}
     for i, text in enumerate(texts):
         if text is None:
             assert rows[i].pages is None and not rows[i].readable
         else:
             lines = text.split("\n")
             assert rows[i].pages == [lines[k : k + 5] for k in range(0, len(lines), 5)]
-            assert rows[i].readable
+            assert rows[i].readable and rows[i].n_pages == len(rows[i].pages)
+            assert capped[i].pages == rows[i].pages[:1] and capped[i].n_pages == rows[i].n_pages
     counts = docs.select("doc_id", paging.line_page_count("content").alias("n")).collect()
     for r in counts:
         assert r.n == (len(rows[r.doc_id].pages) if rows[r.doc_id].pages is not None else None)
@@ -72,18 +74,21 @@ def test_binary_content(spark):
 
 
 def test_python_extractor(spark):
-    def read_pages(content):
+    def open_document(content):
         text = bytes(content).decode()
         if text == "broken":
             raise ValueError(text)
-        return [page.split(" ") for page in text.split("\f")]
+        pages = text.split("\f")
+        return len(pages), (page.split(" ") for page in pages)
 
     rows = [(1, bytearray(b"a b\fc")), (2, bytearray(b"broken")), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, content binary")
-    paged = python_extractor(read_pages)(docs)
+    paged = python_extractor(open_document)(docs, None)
     assert paged.schema["pages"].dataType == PAGES
-    got = {r.doc_id: (r.pages, r.readable) for r in paged.collect()}
-    assert got == {1: ([["a", "b"], ["c"]], True), 2: (None, False), 3: (None, False)}
+    got = {r.doc_id: (r.pages, r.n_pages, r.readable) for r in paged.collect()}
+    assert got == {1: ([["a", "b"], ["c"]], 2, True), 2: (None, None, False), 3: (None, None, False)}
+    first = python_extractor(open_document)(docs, 1).where("doc_id = 1").first()
+    assert (first.pages, first.n_pages) == ([["a", "b"]], 2)
 
 
 def test_page_table_is_one_based_and_capped(spark):
@@ -96,7 +101,7 @@ def hot_page_table(spark):
     """A third of all rows belongs to one document; pages come in no order."""
     return spark.range(3000).select(
         F.when(F.col("id") < 1000, 0).otherwise(F.col("id") % 50 + 1).alias("doc"),
-        (F.col("id") * 7919 % 3001).alias("page"),
+        (F.col("id") * 7919 % 3001).alias("page_no"),
         F.concat(F.lit("p"), "id").alias("text"),
     )
 
@@ -106,13 +111,13 @@ def test_flat_matches_brute_force(spark, cap):
     table = hot_page_table(spark)
     by_doc = {}
     for r in table.collect():
-        by_doc.setdefault(r.doc, []).append((r.page, r.text))
+        by_doc.setdefault(r.doc, []).append((r.page_no, r.text))
     want = {d: [t for _, t in sorted(rows)[:cap]] for d, rows in by_doc.items()}
-    got = {r.doc: r for r in assemble_pages(table, ["doc"], ["page"], "text", cap).collect()}
+    got = {r.doc: r for r in assemble_pages(table, ["doc"], ["page_no"], "text", cap).collect()}
     assert {d: (r.pages_processed, r.text) for d, r in got.items()} == {
         d: (len(t), "".join(t)) for d, t in want.items()
     }
-    numbered = first_n_pages(table, ["doc"], ["page"], cap).collect()
+    numbered = first_n_pages(table, ["doc"], ["page_no"], cap).collect()
     assert sorted((r.doc, r.page_no, r.text) for r in numbered) == sorted(
         (d, i + 1, t) for d, texts in want.items() for i, t in enumerate(texts)
     )
@@ -122,6 +127,6 @@ def test_nested_equals_flat(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     paged = line_extractor("text")(docs).drop("text", "readable")
     nested = extract_text(paged).select("doc_id", "text", "content_length")
-    flat = assemble_pages(page_table(paged), ["doc_id"], ["page_no"], "page_text", 10)
+    flat = assemble_pages(page_table(line_extractor("text")(docs, None)), ["doc_id"], ["page_no"], "page_text", 10)
     flat = flat.select("doc_id", "text", "content_length")
     assert nested.exceptAll(flat).isEmpty() and flat.exceptAll(nested).isEmpty()

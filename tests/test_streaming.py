@@ -139,13 +139,13 @@ def test_missing_object_comes_back_until_it_is_there(spark, tmp_path, objects, w
 
 
 def test_unreadable_document_goes_to_the_ledger(spark, tmp_path, objects):
-    def read_pages(content):
+    def open_document(content):
         if "7." in content:
             raise ValueError("unreadable")
-        return [[content]]
+        return 1, [[content]]
 
     send(spark, f"{tmp_path}/inbox", ["k1", "k7"])
-    run(spark, tmp_path, objects, python_extractor(read_pages), stages=("text",))
+    run(spark, tmp_path, objects, python_extractor(open_document), stages=("text",))
     assert set(texts(spark, tmp_path)) == {"k1"}
     rows = read_or_empty(spark, f"{tmp_path}/out/{runner.LEDGER_DIR}", RETRY_LEDGER).collect()
     assert [(r.Key, r.reason) for r in rows] == [("k7", "document is unreadable")]
