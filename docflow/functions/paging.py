@@ -17,10 +17,6 @@ def check_cap(cap: int) -> int:
     return cap
 
 
-def page_count(pages: Column | str) -> Column:
-    return F.size(pages).cast("bigint")
-
-
 def line_page_count(content: Column | str, lines_per_page: int = LINES_PER_PAGE) -> Column:
     """Pages the line splitter would make of ``content``, without building them."""
     lines = F.size(F.split(content, "\n"))
@@ -40,16 +36,24 @@ def page_text(items: Column | str) -> Column:
     return F.array_join(items, " ", "")
 
 
-def first_pages(pages: Column | str, cap: int = DEFAULT_PAGE_CAP) -> Column:
-    return F.slice(pages, 1, check_cap(cap))
+def page_count(pages: Column | str) -> Column:
+    return F.size(pages).cast("bigint")
+
+
+def first_pages(pages: Column | str, cap: int | None = DEFAULT_PAGE_CAP) -> Column:
+    """Pages up to the cap, None meaning all; a missing array stays missing."""
+    column = F.col(pages) if isinstance(pages, str) else pages
+    return column if cap is None else F.slice(column, 1, check_cap(cap))
+
 
+def page_texts(pages: Column | str, cap: int | None = DEFAULT_PAGE_CAP) -> Column:
+    """Text of each page; the slice comes first, so no page beyond the cap is joined."""
+    return F.transform(first_pages(pages, cap), page_text)
 
-def document_text(pages: Column | str, cap: int = DEFAULT_PAGE_CAP) -> Column:
-    """Text of the first ``cap`` pages, put together without a separator.
 
-    The slice comes first so that pages beyond the cap are never joined.
-    """
-    return F.array_join(F.transform(first_pages(pages, cap), page_text), "", "")
+def document_text(texts: Column | str, cap: int | None = DEFAULT_PAGE_CAP) -> Column:
+    """Page texts up to the cap put together, without a separator."""
+    return F.array_join(first_pages(texts, cap), "", "")
 
 
 def content_length(text: Column | str) -> Column:

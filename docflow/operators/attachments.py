@@ -34,7 +34,7 @@ def merge_attachments(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame
     return (
         docs.withColumn(
             "text",
-            F.concat(paging.document_text("pages", cap), F.array_join(texts, "", "")),
+            F.concat(paging.document_text(paging.page_texts("pages", cap), cap), F.array_join(texts, "", "")),
         )
         .drop("_limit", "pages", "attachments")
         .withColumn("content_length", paging.content_length("text"))

@@ -14,8 +14,8 @@ from pyspark.sql import window as win
 from docflow.functions import paging
 from docflow.schemas import DEFAULT_PAGE_CAP, PAGES
 
-# Takes documents and a page cap (None for all pages) and adds the columns
-# `pages` (no more than the cap), `n_pages` (of the whole document) and `readable`.
+# Takes documents and a page cap (None for all pages) and adds `page_texts` (no more
+# than the cap), `n_pages` (of the whole document) and `readable`.
 Extractor = Callable[[DataFrame, int | None], DataFrame]
 
 RANK_SALTS = 32
@@ -28,17 +28,20 @@ def line_extractor(
 
     def extract(docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
         # The lines are a projection of their own, or the text would be split
-        # again for every page.
+        # again for every page. Pages go straight from lines to text: arrays of
+        # arrays in between would be copied from row to row.
         lines = docs.withColumn("_lines", F.split(F.col(content_col).cast("string"), "\n"))
         n_pages = F.ceil(F.size("_lines") / lines_per_page).cast("bigint")
         wanted = n_pages if cap is None else paging.pages_processed(n_pages, cap)
-        pages = F.transform(
+        texts = F.transform(
             F.sequence(F.lit(0), (wanted - 1).cast("int")),
-            lambda i: F.slice("_lines", i * lines_per_page + 1, F.lit(lines_per_page)),
+            lambda i: paging.page_text(
+                F.slice("_lines", i * lines_per_page + 1, F.lit(lines_per_page))
+            ),
         )
         return lines.withColumns(
             {
-                "pages": F.when(F.col("_lines").isNotNull(), pages),
+                "page_texts": F.when(F.col("_lines").isNotNull(), texts),
                 "n_pages": n_pages,
                 "readable": F.col(content_col).isNotNull(),
             }
@@ -87,15 +90,20 @@ def python_extractor(
                     readable=[count is not None for count in counts],
                 )
 
-        return docs.mapInPandas(run, schema)
+        return join_items(docs.mapInPandas(run, schema), cap)
 
     return extract
 
 
-def page_stats(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
-    """Add n_pages (where missing), pages_processed and truncated."""
+def join_items(docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
+    """Replace ``pages``, arrays of text items, by ``page_texts``; adds n_pages."""
     if "n_pages" not in docs.columns:
         docs = docs.withColumn("n_pages", paging.page_count("pages"))
+    return docs.withColumn("page_texts", paging.page_texts("pages", cap)).drop("pages")
+
+
+def page_stats(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
+    """Add pages_processed and truncated."""
     n_pages = F.col("n_pages")
     return docs.withColumns(
         {
@@ -106,11 +114,11 @@ def page_stats(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
 
 
 def extract_text(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
-    """Replace ``pages`` by the capped document text and its length; no shuffle."""
+    """Replace ``page_texts`` by the capped document text and its length; no shuffle."""
     return (
         page_stats(docs, cap)
-        .withColumn("text", paging.document_text("pages", cap))
-        .drop("pages")
+        .withColumn("text", paging.document_text("page_texts", cap))
+        .drop("page_texts")
         .withColumn("content_length", paging.content_length("text"))
     )
 
@@ -119,12 +127,10 @@ def page_table(docs: DataFrame, cap: int | None = None) -> DataFrame:
     """One row per page with its 1-based number and text, up to ``cap`` if given."""
     # Never a bare column: Spark would filter on its size below the projection that
     # makes it, and so make the pages twice.
-    pages = F.coalesce("pages", F.array()) if cap is None else paging.first_pages("pages", cap)
-    others = [c for c in docs.columns if c != "pages"]
-    return docs.select(*others, F.posexplode(pages).alias("_at", "_items")).select(
-        *others,
-        (F.col("_at") + 1).cast("bigint").alias("page_no"),
-        paging.page_text("_items").alias("page_text"),
+    texts = F.coalesce(paging.first_pages("page_texts", cap), F.array())
+    others = [c for c in docs.columns if c != "page_texts"]
+    return docs.select(*others, F.posexplode(texts).alias("_at", "page_text")).select(
+        *others, (F.col("_at") + 1).cast("bigint").alias("page_no"), "page_text"
     )
 
 

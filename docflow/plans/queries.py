@@ -159,8 +159,7 @@ def previews_rendered(spark, sf_dir):
 def sticky_success(spark, sf_dir):
     """Flags of a document side by side in its row: no shuffle."""
     flags = F.transform(
-        "pages",
-        lambda items: F.length(paging.page_text(items)) >= fx.MIN_PAGE_CHARS,
+        "page_texts", lambda text: F.length(text) >= fx.MIN_PAGE_CHARS
     )
     docs = _paged(spark, sf_dir).select("doc_id", flags.alias("ok_flags"))
     return previews.sticky_flags(docs)

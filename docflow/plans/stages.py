@@ -4,8 +4,8 @@ A stage is a function from prepared documents to output rows. Decoding, lookup,
 paging, writing and retries around it are shared; a new stage is one
 ``register`` call and a subscription of its queue.
 
-Prepared documents have ``uid, Bucket, Key, n_pages`` and ``pages``, the latter cut
-to the largest page cap of the stages; whatever a stage returns has ``Bucket``, ``Key``, ``output_key``
+Prepared documents have ``uid, Bucket, Key, n_pages`` and ``page_texts``, the latter
+cut to the largest page cap of the stages; whatever a stage returns has ``Bucket``, ``Key``, ``output_key``
 and ``content_length``.
 """
 
@@ -58,7 +58,7 @@ def preview_stage(
     draw = render or column_renderer()
 
     def process(docs: DataFrame) -> DataFrame:
-        pages = page_table(docs.select("uid", "Bucket", "Key", "pages"), cap)
+        pages = page_table(docs.select("uid", "Bucket", "Key", "page_texts"), cap)
         return rendered_only(draw(pages)).select(
             "uid",
             "Bucket",

@@ -8,16 +8,16 @@ from docflow.operators.pages import (
     assemble_pages,
     extract_text,
     first_n_pages,
+    join_items,
     line_extractor,
     page_table,
     python_extractor,
 )
-from docflow.schemas import PAGES
 
 
 def texts_of(spark, pages, cap=10):
     docs = spark.createDataFrame([(1, pages)], "doc_id long, pages array<array<string>>")
-    return extract_text(docs, cap).first()
+    return extract_text(join_items(docs, cap), cap).first()
 
 
 @pytest.mark.parametrize(
@@ -57,20 +57,20 @@ def test_line_extractor(spark):
     capped = {r.doc_id: r for r in line_extractor()(docs, 1).collect()}
     for i, text in enumerate(texts):
         if text is None:
-            assert rows[i].pages is None and not rows[i].readable
+            assert rows[i].page_texts is None and not rows[i].readable
         else:
             lines = text.split("\n")
-            assert rows[i].pages == [lines[k : k + 5] for k in range(0, len(lines), 5)]
-            assert rows[i].readable and rows[i].n_pages == len(rows[i].pages)
-            assert capped[i].pages == rows[i].pages[:1] and capped[i].n_pages == rows[i].n_pages
+            assert rows[i].page_texts == [" ".join(lines[k : k + 5]) for k in range(0, len(lines), 5)]
+            assert rows[i].readable and rows[i].n_pages == len(rows[i].page_texts)
+            assert capped[i].page_texts == rows[i].page_texts[:1] and capped[i].n_pages == rows[i].n_pages
     counts = docs.select("doc_id", paging.line_page_count("content").alias("n")).collect()
     for r in counts:
-        assert r.n == (len(rows[r.doc_id].pages) if rows[r.doc_id].pages is not None else None)
+        assert r.n == rows[r.doc_id].n_pages
 
 
 def test_binary_content(spark):
     docs = spark.createDataFrame([(1, bytearray("é\nb".encode()))], "doc_id long, content binary")
-    assert line_extractor()(docs).first().pages == [["é", "b"]]
+    assert line_extractor()(docs).first().page_texts == ["é b"]
 
 
 def test_python_extractor(spark):
@@ -84,15 +84,14 @@ def test_python_extractor(spark):
     rows = [(1, bytearray(b"a b\fc")), (2, bytearray(b"broken")), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, content binary")
     paged = python_extractor(open_document)(docs, None)
-    assert paged.schema["pages"].dataType == PAGES
-    got = {r.doc_id: (r.pages, r.n_pages, r.readable) for r in paged.collect()}
-    assert got == {1: ([["a", "b"], ["c"]], 2, True), 2: (None, None, False), 3: (None, None, False)}
+    got = {r.doc_id: (r.page_texts, r.n_pages, r.readable) for r in paged.collect()}
+    assert got == {1: (["a b", "c"], 2, True), 2: (None, None, False), 3: (None, None, False)}
     first = python_extractor(open_document)(docs, 1).where("doc_id = 1").first()
-    assert (first.pages, first.n_pages) == ([["a", "b"]], 2)
+    assert (first.page_texts, first.n_pages) == (["a b"], 2)
 
 
 def test_page_table_is_one_based_and_capped(spark):
-    docs = spark.createDataFrame([(7, [["a"], ["b"], ["c"]])], "doc_id long, pages array<array<string>>")
+    docs = spark.createDataFrame([(7, ["a", "b", "c"])], "doc_id long, page_texts array<string>")
     assert [(r.page_no, r.page_text) for r in page_table(docs).collect()] == [(1, "a"), (2, "b"), (3, "c")]
     assert page_table(docs, 2).count() == 2
 
@@ -125,7 +124,7 @@ def test_flat_matches_brute_force(spark, cap):
 
 def test_nested_equals_flat(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    paged = line_extractor("text")(docs).drop("text", "readable")
+    paged = line_extractor("text")(docs).drop("text")
     nested = extract_text(paged).select("doc_id", "text", "content_length")
     flat = assemble_pages(page_table(line_extractor("text")(docs, None)), ["doc_id"], ["page_no"], "page_text", 10)
     flat = flat.select("doc_id", "text", "content_length")
