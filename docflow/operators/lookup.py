@@ -28,11 +28,18 @@ def missing_objects(notifications: DataFrame, objects: DataFrame) -> DataFrame:
     return notifications.join(objects.select(*OBJECT_KEY), OBJECT_KEY, "left_anti")
 
 
-def table_fetcher(objects: DataFrame, content_col: str = "content") -> Fetcher:
-    """Lookup in a table of objects."""
-    stored = objects.select(*OBJECT_KEY, F.col(content_col).alias("content"))
+def table_fetcher(
+    objects: DataFrame | Callable[[], DataFrame], content_col: str = "content"
+) -> Fetcher:
+    """Lookup in a table of objects.
+
+    A stream takes a function that opens the table: it is called for each batch and
+    so sees what was stored since the last one.
+    """
 
     def fetch(notifications: DataFrame) -> DataFrame:
+        table = objects if isinstance(objects, DataFrame) else objects()
+        stored = table.select(*OBJECT_KEY, F.col(content_col).alias("content"))
         return fetch_objects(notifications, stored)
 
     return fetch

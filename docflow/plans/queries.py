@@ -296,7 +296,7 @@ def stream_dedup(spark, sf_dir):
         spark.readStream.schema(events.schema)
         .option("maxFilesPerTrigger", -(-2 * files // MICRO_BATCHES))
         .parquet(f"{work}/inbox")
-        .withColumn("received_at", F.col("_metadata.file_modification_time"))
+        .withColumn("received_at", F.current_timestamp())
     )
     query = (
         dedup_stream(stream, "event_id", "received_at", "1 hour")

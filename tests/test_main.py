@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import pytest
+
+from docflow.__main__ import main
+from docflow.plans import stages
+
+
+@pytest.fixture(autouse=True)
+def default_stages():
+    yield
+    stages.register(stages.text_stage())
+    stages.register(stages.preview_stage())
+
+
+def test_publish_run_redeliver(spark, tmp_path):
+    store, inbox, out = tmp_path / "store", tmp_path / "inbox", tmp_path / "out"
+    (store / "b" / "in").mkdir(parents=True)
+    for i in range(5):
+        (store / "b" / "in" / f"{i}.txt").write_text("\n".join(f"{i}.{n}" for n in range(12)))
+    main(["publish", "--store", str(store / "b"), "--bucket", "b", "--inbox", str(inbox)], spark)
+    (store / "b" / "in" / "3.txt").unlink()
+    arguments = [
+        "run", "--inbox", str(inbox), "--out", str(out), "--checkpoint", str(tmp_path / "c"),
+        "--store", store.as_uri(), "--max-pages", "2", "--retry", "linear",
+    ]
+    main(arguments, spark)
+    texts = spark.read.parquet(str(out / "stage_text")).collect()
+    assert {r.Key: (r.text, r.n_pages, r.truncated) for r in texts} == {
+        f"in/{i}.txt": (
+            f"{i}.0 {i}.1 {i}.2 {i}.3 {i}.4{i}.5 {i}.6 {i}.7 {i}.8 {i}.9", 3, True,
+        )
+        for i in (0, 1, 2, 4)
+    }
+    previews = spark.read.parquet(str(out / "stage_previews"))
+    assert previews.count() == 8
+    assert previews.where("output_key = 'image-parsed/in/0.txt/2.png'").count() == 1
+
+    (store / "b" / "in" / "3.txt").write_text("late")
+    # The delay of the first failure is a second, which has long passed.
+    main(["redeliver", "--out", str(out), "--inbox", str(inbox)], spark)
+    main(arguments, spark)
+    late = spark.read.parquet(str(out / "stage_text")).where("Key = 'in/3.txt'").first()
+    assert late.text == "late"
+
+
+def test_max_pages_is_checked(spark, tmp_path):
+    with pytest.raises(ValueError, match="page cap"):
+        main(
+            ["run", "--inbox", "i", "--out", "o", "--checkpoint", "c", "--store", "s", "--max-pages", "0"],
+            spark,
+        )

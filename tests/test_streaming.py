@@ -138,6 +138,28 @@ def test_missing_object_comes_back_until_it_is_there(spark, tmp_path, objects, w
     assert run(spark, tmp_path, objects, **config) == []
 
 
+def test_objects_stored_while_the_stream_runs(spark, tmp_path, objects):
+    table = f"{tmp_path}/objects"
+    objects.where("Key = 'k1'").write.parquet(table)
+    (tmp_path / "inbox").mkdir()
+    query = runner.start(
+        stream_bodies(spark, f"{tmp_path}/inbox", 1),
+        table_fetcher(lambda: spark.read.parquet(table)),
+        f"{tmp_path}/out",
+        f"{tmp_path}/checkpoint",
+        runner.StreamConfig(stages=("text",), poll_interval="0 seconds"),
+    )
+    try:
+        send(spark, f"{tmp_path}/inbox", ["k1"])
+        query.processAllAvailable()
+        objects.where("Key = 'k2'").write.mode("append").parquet(table)
+        send(spark, f"{tmp_path}/inbox", ["k2"])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert texts(spark, tmp_path) == expected(["k1", "k2"])
+
+
 def test_unreadable_document_goes_to_the_ledger(spark, tmp_path, objects):
     def open_document(content):
         if "7." in content:
@@ -200,7 +222,7 @@ def test_dedup_stream_with_a_hot_message(spark, tmp_path, salts):
         spark.readStream.schema("id long")
         .option("maxFilesPerTrigger", 5)
         .parquet(f"{tmp_path}/in")
-        .withColumn("at", F.col("_metadata.file_modification_time"))
+        .withColumn("at", F.current_timestamp())
     )
     query = (
         dedup_stream(stream, "id", "at", "1 hour", salts)
