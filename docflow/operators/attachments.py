@@ -16,29 +16,17 @@ def is_readable(subtype: Column, content: Column) -> Column:
     return content.isNotNull() & (subtype == PDF_SUBTYPE)
 
 
-def merge_attachments(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
-    """Nested form: ``docs`` carry pages and an ordered ``attachments`` array.
+def attached_text(attachments: Column | str, limit: Column) -> Column:
+    """Nested form: text of a document's ordered ``attachments`` array.
 
     Attachments keep their order and are read up to the page limit of the main
-    document, ``min(cap, its pages)``. No shuffle.
+    document, ``min(cap, its pages)``.
     """
-    docs = docs.withColumn("_limit", paging.pages_processed(paging.page_count("pages"), cap))
     kept = F.filter(
-        F.coalesce("attachments", F.array()),
-        lambda a: is_readable(a["subtype"], a["pages"]),
-    )
-    texts = F.transform(
-        F.flatten(F.transform(kept, lambda a: F.slice(a["pages"], F.lit(1), F.col("_limit").cast("int")))),
-        paging.page_text,
-    )
-    return (
-        docs.withColumn(
-            "text",
-            F.concat(paging.document_text(paging.page_texts("pages", cap), cap), F.array_join(texts, "", "")),
-        )
-        .drop("_limit", "pages", "attachments")
-        .withColumn("content_length", paging.content_length("text"))
+        F.coalesce(attachments, F.array()), lambda a: is_readable(a["subtype"], a["pages"])
     )
+    pages = F.flatten(F.transform(kept, lambda a: F.slice(a["pages"], F.lit(1), limit.cast("int"))))
+    return F.array_join(F.transform(pages, paging.page_text), "", "")
 
 
 def append_attachments(

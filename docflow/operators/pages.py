@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql import window as win
 
 from docflow.functions import paging
+from docflow.operators.attachments import attached_text
 from docflow.schemas import DEFAULT_PAGE_CAP, PAGES
 
 # Takes documents and a page cap (None for all pages) and adds `page_texts` (no more
@@ -114,11 +115,17 @@ def page_stats(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
 
 
 def extract_text(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
-    """Replace ``page_texts`` by the capped document text and its length; no shuffle."""
+    """Replace ``page_texts`` by the capped document text and its length; no shuffle.
+
+    Where the extractor gave ``attachments`` too, their text is appended.
+    """
+    text = paging.document_text("page_texts", cap)
+    if "attachments" in docs.columns:
+        text = F.concat(text, attached_text("attachments", F.col("pages_processed")))
     return (
         page_stats(docs, cap)
-        .withColumn("text", paging.document_text("page_texts", cap))
-        .drop("page_texts")
+        .withColumn("text", text)
+        .drop("page_texts", "attachments")
         .withColumn("content_length", paging.content_length("text"))
     )
 

@@ -4,9 +4,9 @@ A stage is a function from prepared documents to output rows. Decoding, lookup,
 paging, writing and retries around it are shared; a new stage is one
 ``register`` call and a subscription of its queue.
 
-Prepared documents have ``uid, Bucket, Key, n_pages`` and ``page_texts``, the latter
-cut to the largest page cap of the stages; whatever a stage returns has ``Bucket``, ``Key``, ``output_key``
-and ``content_length``.
+Prepared documents have ``uid, Bucket, Key, n_pages``, ``page_texts`` - the latter cut
+to the largest page cap of the stages - and ``attachments`` if the extractor gives
+them. Whatever a stage returns has ``Bucket, Key, output_key, content_length``.
 """
 
 from __future__ import annotations
@@ -17,8 +17,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from docflow.functions import keys, paging
+from docflow.functions.paging import check_cap
 from docflow.operators.lookup import Fetcher, missing_objects
 from docflow.operators.pages import Extractor, extract_text, line_extractor, page_table
 from docflow.operators.previews import Renderer, column_renderer, rendered_only
@@ -53,13 +55,25 @@ def text_stage(cap: int = DEFAULT_PAGE_CAP, layout: str = "nested") -> Stage:
 
 
 def preview_stage(
-    cap: int = DEFAULT_PAGE_CAP, layout: str = "nested", render: Renderer | None = None
+    cap: int = DEFAULT_PAGE_CAP,
+    layout: str = "nested",
+    render: Renderer | None = None,
+    on_failure: str = "skip",
 ) -> Stage:
+    """``on_failure`` "skip" leaves out a page that does not render, "stop" that page
+    and all later ones of its document."""
+    if on_failure not in ("skip", "stop"):
+        raise ValueError(f"on_failure must be 'skip' or 'stop', got {on_failure!r}")
     draw = render or column_renderer()
 
     def process(docs: DataFrame) -> DataFrame:
-        pages = page_table(docs.select("uid", "Bucket", "Key", "page_texts"), cap)
-        return rendered_only(draw(pages)).select(
+        pages = draw(page_table(docs.select("uid", "Bucket", "Key", "page_texts"), check_cap(cap)))
+        if on_failure == "stop":
+            # A document comes once and with no more than `cap` pages, so its pages fit
+            # a window, and unlike a join back to them that renders each only once.
+            so_far = Window.partitionBy("Bucket", "Key").orderBy("page_no")
+            pages = pages.withColumn("ok", F.min(F.coalesce("ok", F.lit(False))).over(so_far))
+        return rendered_only(pages).select(
             "uid",
             "Bucket",
             "Key",

@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from docflow.operators.attachments import append_attachments, merge_attachments
+from docflow.operators.attachments import append_attachments
+from docflow.operators.pages import extract_text, join_items
 from docflow.schemas import ATTACHMENTS, PAGES
 from pyspark.sql import types as T
 
@@ -36,7 +37,7 @@ def attachment(name, subtype, *pages):
 )
 def test_nested(spark, main, attached, text):
     docs = spark.createDataFrame([(1, [[p] for p in main], attached)], DOCS)
-    row = merge_attachments(docs).first()
+    row = extract_text(join_items(docs)).first()
     assert (row.text, row.content_length) == (text, len(text))
 
 

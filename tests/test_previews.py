@@ -12,6 +12,7 @@ from docflow.operators.previews import (
     sticky_flags,
     sticky_success,
 )
+from docflow.plans.stages import preview_stage
 
 
 def test_manifest(spark):
@@ -83,6 +84,17 @@ def test_sticky_nested(spark):
     assert len(CASES) not in got
 
 
+@pytest.mark.parametrize(("on_failure", "left"), [("skip", [1, 2, 4, 11]), ("stop", [1, 2, 11])])
+def test_stage_skips_or_stops_at_a_bad_page(spark, on_failure, left):
+    docs = spark.createDataFrame(
+        [("u", "b", "k", ["a", "b", "bad", "d"]), ("u", "b", "l", ["x"])],
+        "uid string, Bucket string, Key string, page_texts array<string>",
+    )
+    draw = python_renderer(lambda text: None if text == "bad" else text.encode())
+    rows = preview_stage(render=draw, on_failure=on_failure).process(docs).collect()
+    assert sorted(r.page_no + (10 if r.Key == "l" else 0) for r in rows) == left
+
+
 def test_key_formats(spark):
     row = spark.range(1).select(
         keys.source_key(F.lit("u"), F.lit("flyer.pdf")).alias("source"),
