@@ -56,6 +56,14 @@ wrapped AS (
   SELECT *, CASE WHEN attempt > 10 THEN attempt % 10 ELSE attempt END AS n FROM attempts
 )"""
 
+_TEXT = f"""
+WITH {_PAGED}
+SELECT doc_id, n_pages, pages_processed, truncated, text, content_length FROM measured"""
+
+_RENDERED = f"""
+WITH {_PAGED}
+SELECT doc_id, page_no, page_text FROM capped WHERE length(page_text) >= 200"""
+
 _STICKY = f"""
 WITH {_PAGED},
 flags AS (SELECT doc_id, page_no, length(page_text) >= 200 AS ok FROM capped)
@@ -64,9 +72,8 @@ SELECT doc_id, page_no, ok,
 FROM flags"""
 
 ORACLES: dict[str, str] = {
-    "extract_text": f"""
-WITH {_PAGED}
-SELECT doc_id, n_pages, pages_processed, truncated, text, content_length FROM measured""",
+    "extract_text": _TEXT,
+    "extract_text_python": _TEXT,
     "page_text": f"""
 WITH {_PAGED}
 SELECT doc_id, page_no, page_text FROM page_rows""",
@@ -141,9 +148,8 @@ WITH {_PAGED}
 SELECT c."Bucket", c."Key", p.n_pages, c.page_no,
        'image-parsed/' || c."Key" || '/' || c.page_no || '.png' AS output_key
 FROM capped c JOIN paged p ON p.doc_id = c.doc_id""",
-    "previews_rendered": f"""
-WITH {_PAGED}
-SELECT doc_id, page_no, page_text FROM capped WHERE length(page_text) >= 200""",
+    "previews_rendered": _RENDERED,
+    "previews_rendered_python": _RENDERED,
     "sticky_success": _STICKY,
     "sticky_success_flat": _STICKY,
     "retry_schedule": f"""

@@ -43,6 +43,19 @@ def extract_text(spark, sf_dir):
     return pages.extract_text(_paged(spark, sf_dir))
 
 
+def extract_text_python(spark, sf_dir):
+    """The same with a Python reader in the extractor slot."""
+
+    def open_document(text):
+        lines = text.split("\n")
+        starts = range(0, len(lines), paging.LINES_PER_PAGE)
+        return len(starts), (lines[i : i + paging.LINES_PER_PAGE] for i in starts)
+
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    paged = pages.python_extractor(open_document, "text")(docs)
+    return pages.extract_text(paged.drop("text", "readable"))
+
+
 def page_text(spark, sf_dir):
     return pages.page_table(_paged(spark, sf_dir, cap=None).drop("n_pages"))
 
@@ -156,6 +169,17 @@ def previews_rendered(spark, sf_dir):
     return rendered.select("doc_id", "page_no", "page_text")
 
 
+def previews_rendered_python(spark, sf_dir):
+    """The same with a Python renderer in the renderer slot."""
+
+    def draw(text):
+        return text.encode() if len(text) >= fx.MIN_PAGE_CHARS else None
+
+    table = pages.page_table(_paged(spark, sf_dir).drop("n_pages"))
+    rendered = previews.rendered_only(previews.python_renderer(draw)(table))
+    return rendered.select("doc_id", "page_no", F.decode("payload", "UTF-8").alias("page_text"))
+
+
 def sticky_success(spark, sf_dir):
     """Flags of a document side by side in its row: no shuffle."""
     flags = F.transform(
@@ -312,6 +336,7 @@ def stream_dedup(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "extract_text": extract_text,
+    "extract_text_python": extract_text_python,
     "page_text": page_text,
     "page_stats": page_stats,
     "first_n_pages": first_n_pages,
@@ -328,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "missing_objects": missing_objects,
     "preview_manifest": preview_manifest,
     "previews_rendered": previews_rendered,
+    "previews_rendered_python": previews_rendered_python,
     "sticky_success": sticky_success,
     "sticky_success_flat": sticky_success_flat,
     "retry_schedule": retry_schedule,
