@@ -13,40 +13,64 @@ from docflow.functions.retry import delayed, retry_delay_ms
 from docflow.schemas import DEFAULT_DELAY_SECONDS
 
 
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
+
+
 def number_attempts(
     failures: DataFrame,
     key_cols: Sequence[str],
     at_col: str,
     tie_cols: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
     grain: str = "hour",
 ) -> DataFrame:
     """Add ``attempt``: 1, 2, ... per key in time order.
 
-    Rows are numbered within one ``grain`` of time per key, then shifted by the
-    count of earlier ones, so the failures of one key are spread over tasks by
-    time instead of sorted in a single one.
+    A key of more than ``hot_rows`` rows is not sorted in a single task: its rows
+    are numbered within one ``grain`` of time and shifted by the count of earlier
+    ones. Those keys are broadcast after they have been counted; beyond
+    ``max_hot_keys`` of them all keys are treated that way.
     """
     keys = list(key_cols)
-    # A struct is never null itself, so null keys and times are numbered as well.
-    sliced = failures.withColumn("_slice", F.date_trunc(grain, F.col(at_col))).withColumn(
-        "_group", F.struct(*keys, "_slice")
-    )
-    counts = sliced.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    time_slice = F.date_trunc(grain, F.col(at_col))
+    hot = failures.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
+    n_hot = hot.limit(max_hot_keys + 1).count()
+    if n_hot == 0:
+        return _row_numbers(failures, keys, at_col, tie_cols)
+    if n_hot <= max_hot_keys:
+        marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        rows = _null_safe_join(failures, marked, keys).withColumn(
+            "_slice", F.when(F.col("_hot"), time_slice)
+        )
+    else:
+        rows = failures.withColumns({"_hot": F.lit(True), "_slice": time_slice})
     earlier = (
-        win.Window.partitionBy(*[F.col("_group")[k] for k in keys])
-        .orderBy(F.col("_group")["_slice"])
+        win.Window.partitionBy(*keys)
+        .orderBy("_slice")
         .rowsBetween(win.Window.unboundedPreceding, -1)
     )
-    shifts = counts.select(
-        "_group", F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("bigint")).alias("_shift")
-    )
-    within = win.Window.partitionBy("_group").orderBy(at_col, *tie_cols)
-    return (
-        sliced.withColumn("_row", F.row_number().over(within))
-        .join(shifts, "_group")
-        .withColumn("attempt", (F.col("_row") + F.col("_shift")).cast("bigint"))
-        .drop("_group", "_slice", "_row", "_shift")
-    )
+    counts = rows.where("_hot").groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    shifts = counts.select(*keys, "_slice", F.sum("_n").over(earlier).alias("_shift"))
+    numbered = _row_numbers(rows, [*keys, "_slice"], at_col, tie_cols)
+    shifted = _null_safe_join(numbered, shifts, [*keys, "_slice"])
+    attempt = F.col("attempt") + F.coalesce("_shift", F.lit(0).cast("bigint"))
+    return shifted.select(*failures.columns, attempt.alias("attempt"))
+
+
+def _row_numbers(
+    rows: DataFrame, group_cols: Sequence[str], at_col: str, tie_cols: Sequence[str]
+) -> DataFrame:
+    within = win.Window.partitionBy(*group_cols).orderBy(at_col, *tie_cols)
+    return rows.withColumn("attempt", F.row_number().over(within).cast("bigint"))
+
+
+def _null_safe_join(rows: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on keys that may be null; keys are kept once."""
+    renamed = extra.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return rows.join(renamed, same, "left").drop(*[f"_right_{k}" for k in keys])
 
 
 def schedule(

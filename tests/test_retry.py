@@ -47,8 +47,11 @@ def test_unknown_strategy_is_linear(spark):
     assert delays(spark, "no such thing", [3], base_ms=2000) == [3000]
 
 
-@pytest.mark.parametrize("grain", ["hour", "day"])
-def test_attempt_numbers(spark, grain):
+@pytest.mark.parametrize(
+    ("hot_rows", "max_hot_keys"), [(10**6, 10), (500, 10), (100, 100), (100, 1), (0, 0)]
+)
+@pytest.mark.parametrize("grain", ["minute", "day"])
+def test_attempt_numbers(spark, grain, hot_rows, max_hot_keys):
     start = datetime(2024, 1, 1)
     # One key holds a third of the rows; some times are equal, some are missing.
     rows = [
@@ -56,7 +59,8 @@ def test_attempt_numbers(spark, grain):
         for i in range(3000)
     ]
     df = spark.createDataFrame(rows, "id long, key long, at timestamp_ntz").repartition(7)
-    got = {r.id: r.attempt for r in number_attempts(df, ["key"], "at", ["id"], grain).collect()}
+    numbered = number_attempts(df, ["key"], "at", ["id"], hot_rows, max_hot_keys, grain)
+    got = {r.id: r.attempt for r in numbered.collect()}
     by_key = {}
     for i, key, at in rows:
         by_key.setdefault(key, []).append((at is not None, at or start, i))
