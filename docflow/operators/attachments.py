@@ -57,11 +57,9 @@ def append_attachments(
     # Parts of all attachments, as telling the readable ones takes their contents.
     all_parts = attachments.select(doc_col, part.alias("_part")).distinct()
     part_limits = all_parts.join(limits, doc_col)
+    allowed = F.slice("_pages", F.lit(1), F.col("_limit").cast("int"))
     pieces = kept.join(part_limits, [doc_col, "_part"]).select(
-        doc_col,
-        "_part",
-        "ordinal",
-        F.array_join(F.slice("_pages", F.lit(1), F.col("_limit").cast("int")), "", "").alias("_piece"),
+        doc_col, "_part", "ordinal", F.array_join(allowed, "", "").alias("_piece")
     )
     parts = pieces.groupBy(doc_col, "_part").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -72,8 +70,9 @@ def append_attachments(
         F.expr("listagg(_text, '') within group (order by _part)").alias("_text"),
     )
     others = [c for c in main.columns if c != "text"]
-    return main.join(whole, doc_col, "left").select(
+    merged = main.join(whole, doc_col, "left").select(
         *others,
         F.coalesce("_n", F.lit(0).cast("bigint")).alias("n_attachments"),
         F.concat(F.col("text"), F.coalesce("_text", F.lit(""))).alias("text"),
-    ).withColumn("content_length", paging.content_length("text"))
+    )
+    return merged.withColumn("content_length", paging.content_length("text"))

@@ -99,10 +99,12 @@ def sticky_flags(docs: DataFrame, ok_col: str = "ok_flags") -> DataFrame:
     others = [c for c in docs.columns if c != ok_col]
     # array_position counts from one and gives zero where all pages are fine.
     flags = F.transform(ok_col, lambda ok: F.coalesce(ok, F.lit(False)))
+    # Not a bare column, or Spark would filter on its size below, computing it twice.
+    exploded = F.coalesce("_flags", F.array())
     return (
         docs.withColumn("_flags", flags)
         .withColumn("_first_bad", F.array_position("_flags", F.lit(False)))
-        .select(*others, "_first_bad", F.posexplode(F.coalesce("_flags", F.array())).alias("_at", "ok"))
+        .select(*others, "_first_bad", F.posexplode(exploded).alias("_at", "ok"))
         .withColumn("page_no", (F.col("_at") + 1).cast("bigint"))
         .withColumn(
             "success", (F.col("_first_bad") == 0) | (F.col("page_no") < F.col("_first_bad"))

@@ -14,7 +14,8 @@ _BODIES = (
     + """,
 bodies AS (
   SELECT *, CAST(json_object('Message', CAST(
-           json_object('uid', uid, 'Bucket', "Bucket", 'Key', "Key") AS VARCHAR)) AS VARCHAR) AS "Body"
+           json_object('uid', uid, 'Bucket', "Bucket", 'Key', "Key") AS VARCHAR)) AS VARCHAR)
+         AS "Body"
   FROM notes
 )"""
 )
@@ -164,7 +165,9 @@ SELECT w.event_id, w.attempt, w.n * 1000 AS linear_ms, f.a * 1000 AS fibonacci_m
 FROM wrapped w JOIN fib f ON f.n = w.n JOIN fib g ON g.n = least(w.attempt, 77)""",
     "retry_due": f"""
 WITH {_ATTEMPTS},
-planned AS (SELECT event_id, attempt, ts + to_milliseconds(n * 1000) AS next_attempt_at FROM wrapped)
+planned AS (
+  SELECT event_id, attempt, ts + to_milliseconds(n * 1000) AS next_attempt_at FROM wrapped
+)
 SELECT event_id, attempt, next_attempt_at FROM planned
 WHERE next_attempt_at <= TIMESTAMP '2024-01-15 00:00:00'""",
     "run_stages": f"""

@@ -15,7 +15,14 @@ from docflow.operators import notifications as notes
 from docflow.operators.fanout import fan_out, subscribed_queues
 from docflow.plans import fixtures as fx
 from docflow.plans import stages
-from docflow.schemas import DEFAULT_PAGE_CAP, DOCUMENT_TEXT, PREVIEW_PAGES, QUARANTINE, RETRY_LEDGER, TOPIC
+from docflow.schemas import (
+    DEFAULT_PAGE_CAP,
+    DOCUMENT_TEXT,
+    PREVIEW_PAGES,
+    QUARANTINE,
+    RETRY_LEDGER,
+    TOPIC,
+)
 from docflow.session import scratch_dir
 from docflow.sources.notifications import publish, stream_bodies
 from docflow.sources.sinks import read_batches, read_or_empty
@@ -245,7 +252,9 @@ def run_summary(spark, sf_dir):
 # --- streams -----------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf_dir: str, stage_names: tuple[str, ...], objects: DataFrame) -> str:
+def _stream(
+    spark: SparkSession, sf_dir: str, stage_names: tuple[str, ...], objects: DataFrame
+) -> str:
     """Publish all notifications to a folder, run the stages until it is read."""
     work = scratch_dir(spark, "stream")
     files = max(MICRO_BATCHES, spark.sparkContext.defaultParallelism)

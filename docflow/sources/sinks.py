@@ -87,6 +87,8 @@ def put_objects(rows: DataFrame, base_uri: str, body_col: str) -> DataFrame:
     return bodies.mapInPandas(run, RECEIPT)
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, key_cols: Sequence[str]) -> DataFrame:
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, key_cols: Sequence[str]
+) -> DataFrame:
     """Current outputs of a table written by ``write_batch``."""
     return latest(read_or_empty(spark, path, schema), key_cols).drop("batch_id")

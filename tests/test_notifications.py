@@ -32,6 +32,13 @@ def body(message):
         (body(json.dumps(NOTE))[:-5], "body is not JSON"),
         ("not json", "body is not JSON"),
         ("", "body is not JSON"),
+        (body(json.dumps(NOTE)) + " x", "body is not JSON"),
+        (body(json.dumps(NOTE)) + "," + body(json.dumps(NOTE)), "body is not JSON"),
+        (body(json.dumps(NOTE)).replace('"Message"', "'Message'"), "body is not JSON"),
+        (f"  {body(json.dumps(NOTE))}\n", None),
+        (json.dumps({"Message": NOTE}), "Message is not a string"),
+        ('{"Message":5}', "Message is not a string"),
+        (body(json.dumps(NOTE) + "}"), "message is not JSON"),
         (None, "body is not JSON"),
         ("null", "body has no Message"),
         ("0", "body has no Message"),

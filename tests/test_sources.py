@@ -5,7 +5,6 @@ import io
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from docflow.operators.lookup import broadcast_if_small, fetch_objects, missing_objects, row_bytes, table_fetcher
 from docflow.operators.notifications import accepted, build_bodies, decode_bodies
