@@ -7,8 +7,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# AQE coalesces small shuffle partitions and splits skewed join partitions, so
-# the shuffle width below is an upper bound and may stay generous on a cluster.
+# AQE coalesces small shuffle partitions, so the width they start from may be
+# generous on a cluster. `spark.sql.shuffle.partitions` is left alone: it also is
+# the number of state stores of a stream, which nothing coalesces.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 10
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -34,7 +38,17 @@ def build_session(app: str = "docflow", master: str | None = None, **conf: str)
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        widen_shuffles(spark)
+    return spark
+
+
+def widen_shuffles(spark: SparkSession) -> None:
+    """Start batch shuffles with some partitions per core, unless that is set."""
+    if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(INITIAL_PARTITIONS, str(PARTITIONS_PER_CORE * cores))
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

@@ -2,7 +2,9 @@
 
 Every table below the output folder is written under ``batch_id=<id>`` in overwrite
 mode. A batch is acknowledged by the checkpoint once all its writes are done; if it
-is run again it replaces exactly what it wrote before.
+is run again it replaces what it wrote before. Only a document that was missing the
+first time and is there the second keeps its ledger row: it is delivered once more
+and gives the same outputs.
 """
 
 from __future__ import annotations

@@ -52,6 +52,7 @@ def body(message):
         (body(json.dumps({"uid": "u", "Bucket": "b"})), "message has no Key"),
         (body(json.dumps({"uid": "u", "Key": "k"})), "message has no Bucket"),
         (body(json.dumps({"Bucket": "b", "Key": "k"})), None),
+        (body(json.dumps({"uid": None, "Bucket": "b", "Key": "k"})), None),
     ],
 )
 def test_reasons(spark, text, reason):

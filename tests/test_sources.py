@@ -10,7 +10,7 @@ from docflow.operators.lookup import broadcast_if_small, fetch_objects, missing_
 from docflow.operators.notifications import accepted, build_bodies, decode_bodies
 from docflow.plans import fixtures as fx
 from docflow.schemas import DOCUMENT_TEXT
-from docflow.session import scratch_dir
+from docflow.session import INITIAL_PARTITIONS, PARTITIONS_PER_CORE, scratch_dir, widen_shuffles
 from docflow.sources.notifications import publish, read_bodies
 from docflow.sources.objects import read_objects, save_objects_table, store_fetcher
 from docflow.sources.sinks import latest, put_objects, read_or_empty, write_batch
@@ -111,6 +111,17 @@ def test_batches_are_replaced_and_the_last_one_counts(spark, tmp_path):
     assert rows.count() == 3
 
 
+def test_shuffle_width_follows_the_cluster(spark):
+    session = spark.newSession()
+    widen_shuffles(session)
+    want = str(PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism)
+    assert session.conf.get(INITIAL_PARTITIONS) == want
+    session.conf.set(INITIAL_PARTITIONS, "7")
+    widen_shuffles(session)
+    assert session.conf.get(INITIAL_PARTITIONS) == "7"
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
