@@ -34,28 +34,30 @@ def json_property(document: Column | str, name: str, sql_type: str) -> Column:
     return F.from_json(document, f"`{name}` {sql_type}")[name]
 
 
-def is_json(text: Column) -> Column:
-    """Whether ``text`` is one JSON value and nothing else.
+def is_json(text: Column, parsed: Column) -> Column:
+    """Whether ``text``, which parses to the variant ``parsed``, is nothing more.
 
     Parsers stop behind the first value, so what may follow it is found by reading
     the text as the only element of an array.
     """
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    return F.coalesce(alone, F.lit(False)) & F.try_parse_json(text).isNotNull()
+    return parsed.isNotNull() & F.coalesce(alone, F.lit(False))
 
 
-def failure_reason(body: Column, message: Column, bucket: Column, key: Column) -> Column:
+def failure_reason(
+    body: Column, parsed: Column, message: Column, bucket: Column, key: Column
+) -> Column:
     """Why a body gives no usable notification, null where it does.
 
     A body that parses to something without a Message (``null``, ``0``, an array)
     is told apart from one that does not parse at all.
     """
-    sent = F.try_variant_get(F.try_parse_json(body), "$.Message", "variant")
+    sent = F.try_variant_get(parsed, "$.Message", "variant")
     return (
-        F.when(~is_json(body), "body is not JSON")
+        F.when(~is_json(body, parsed), "body is not JSON")
         .when(message.isNull(), "body has no Message")
         .when(F.schema_of_variant(sent) != "STRING", "Message is not a string")
-        .when(~is_json(message), "message is not JSON")
+        .when(~is_json(message, F.try_parse_json(message)), "message is not JSON")
         .when(key.isNull(), "message has no Key")
         .when(bucket.isNull(), "message has no Bucket")
     )

@@ -27,10 +27,11 @@ def decode_bodies(bodies: DataFrame) -> DataFrame:
     pushed below and parse every body a second time.
     """
     outer = bodies.select("*", F.json_tuple("Body", "Message").alias("_message"))
+    outer = outer.withColumn("_parsed", F.try_parse_json("Body"))
     inner = outer.select("*", F.json_tuple("_message", "uid", "Bucket", "Key"))
-    inner = inner.toDF(*bodies.columns, "_message", "uid", "Bucket", "Key")
-    reason = failure_reason(F.col("Body"), F.col("_message"), F.col("Bucket"), F.col("Key"))
-    return inner.withColumn("reason", reason).drop("_message")
+    inner = inner.toDF(*outer.columns, "uid", "Bucket", "Key")
+    reason = failure_reason(*map(F.col, ("Body", "_parsed", "_message", "Bucket", "Key")))
+    return inner.withColumn("reason", reason).drop("_message", "_parsed")
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
