@@ -52,11 +52,13 @@ def extract_text(spark, sf_dir):
 
 def extract_text_python(spark, sf_dir):
     """The same with a Python reader in the extractor slot."""
+    # Plain values only: Python workers need not have this package.
+    per_page = paging.LINES_PER_PAGE
 
     def open_document(text):
         lines = text.split("\n")
-        starts = range(0, len(lines), paging.LINES_PER_PAGE)
-        return len(starts), (lines[i : i + paging.LINES_PER_PAGE] for i in starts)
+        starts = range(0, len(lines), per_page)
+        return len(starts), (lines[i : i + per_page] for i in starts)
 
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
     paged = pages.python_extractor(open_document, "text")(docs)
@@ -178,9 +180,10 @@ def previews_rendered(spark, sf_dir):
 
 def previews_rendered_python(spark, sf_dir):
     """The same with a Python renderer in the renderer slot."""
+    least = fx.MIN_PAGE_CHARS
 
     def draw(text):
-        return text.encode() if len(text) >= fx.MIN_PAGE_CHARS else None
+        return text.encode() if len(text) >= least else None
 
     table = pages.page_table(_paged(spark, sf_dir).drop("n_pages"))
     rendered = previews.rendered_only(previews.python_renderer(draw)(table))
