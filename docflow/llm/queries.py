@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import langid, neardup, packing, tokens
+from docflow.llm import ann, chat, decontaminate, langid, neardup, packing, sharding, suffixtree, tokens, urls
 from docflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SHARDS = 40
+PROBE_CONV, PROBE_TEXT = -7, "</s>[INST] ok [/INST]"
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "allow"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -29,6 +38,27 @@ def op1_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_decontamination(spark, sf_dir):
+    return decontaminate.benchmark_matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op3_sharding(spark, sf_dir):
+    """Whole documents go to their shards; what is returned is taken from them there."""
+    placed = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), SHARDS)
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op4_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = tokens.token_file_digest(docs, tokenizer_path())
@@ -39,6 +69,38 @@ def op5_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op6_suffix_tree(spark, sf_dir):
+    held_out = _crc_mod(10) == 0
+    scored = suffixtree.score_texts(table(spark, sf_dir, "documents"), learn=~held_out)
+    return scored.select(
+        "doc_id",
+        (_crc_mod(10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
+def op7_chat(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(PROBE_CONV, turn, role, PROBE_TEXT) for turn, role in enumerate(("user", "assistant"))], rows.schema
+    )
+    every = rows.unionAll(probe)
+    record = F.to_variant_object(F.struct("role", "text"))
+    turns = chat.canonical_turns(every.select("conv_id", "turn", record.alias("record")), "record")
+    formatted = chat.format_conversations(turns, "conv_id", ["turn"])
+    return chat.conversation_digest(chat.read_back(formatted, "conv_id"), "conv_id")
+
+
+def op8_urls(spark, sf_dir):
+    rules = spark.createDataFrame([urls.parse_rule(*r) for r in URL_RULES], urls.RULES)
+    judged = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 def op9_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = _crc_mod(4) == 2
@@ -47,10 +109,21 @@ def op9_language(spark, sf_dir):
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
+    "op3_sharding": op3_sharding,
     "op4_token_files": op4_token_files,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_suffix_tree": op6_suffix_tree,
+    "op7_chat": op7_chat,
+    "op8_urls": op8_urls,
     "op9_language": op9_language,
+    "op10_neighbours": op10_neighbours,
 }
 ORACLES: dict[str, str] = {}

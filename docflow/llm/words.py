@@ -75,7 +75,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return mix(np.add.reduceat(value * powers[place], first) + lengths.astype(np.uint64))
 
 
-def _cut(data: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+def cut(data: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
     """Slices of about ``size`` bytes that end behind white space or at the end."""
     white, _ = byte_tables()
     at = 0
@@ -104,7 +104,7 @@ def hashed(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int, np.n
         part, edges = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         if j == i + 1 and len(part) > size:
             hashes = [
-                hash_spans(part[a:b], *spans(part[a:b], np.array([0, b - a]))) for a, b in _cut(part, size)
+                hash_spans(part[a:b], *spans(part[a:b], np.array([0, b - a]))) for a, b in cut(part, size)
             ]
             hashes = np.concatenate(hashes)
             yield i, j, hashes, np.array([len(hashes)])
