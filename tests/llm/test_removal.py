@@ -1,0 +1,32 @@
+"""The rest has to import and register its queries without this subpackage."""
+
+from __future__ import annotations
+
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parents[2]
+
+SCRIPT = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("docflow.llm"):
+            raise ModuleNotFoundError(name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as entry
+names = entry.queries()
+assert names and not [n for n in names if n.startswith("op") and n[2].isdigit()] and "pipeline" not in names
+assert entry.oracle_sql().keys() <= names.keys()
+"""
+
+
+def test_entry_without_the_subpackage():
+    subprocess.run([sys.executable, "-c", SCRIPT], cwd=ROOT, check=True, timeout=120)
+
+
+def test_nothing_else_imports_it():
+    for file in (ROOT / "docflow").rglob("*.py"):
+        if "llm" not in file.parts:
+            assert "docflow.llm" not in file.read_text(), file
