@@ -86,8 +86,10 @@ def field_paths(record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
         found = F.map_keys(F.try_variant_get(record, path, "map<string,variant>"))
         return F.coalesce(found, F.array().cast("array<string>"))
 
-    nested = [F.transform(keys(f"$.{p}[0]"), lambda k, p=p: F.concat(F.lit(f"{p}[]."), k)) for p in lists]
-    every = F.concat(keys("$"), *nested)
+    def below(name: str) -> Column:
+        return F.transform(keys(f"$.{name}[0]"), lambda key: F.concat(F.lit(f"{name}[]."), key))
+
+    every = F.concat(keys("$"), *map(below, lists))
     return F.array_sort(F.array_intersect(every, F.array(*map(F.lit, known))))
 
 
