@@ -4,10 +4,14 @@ One hash of each shingle gives both its bin and its value; the least value of a
 bin is the bin's minimum, and empty bins borrow from bins picked by a hash of
 bin and attempt ("optimal densification", Shrivastava 2017). Bands of bins make
 buckets. A bucket of n sets gives n - 1 candidate edges, from one centre to the
-others; edges are confirmed on the full sets. Then buckets that still hold
-sets of several components get further centres, until every pair of one bucket
-was compared with each other or belongs to one component. So pair counts stay
-near the number of bucket members, and no candidate is dropped.
+others; edges are confirmed on the full sets. The centre is the set that shares
+most buckets, which of edited copies is the one least edited.
+
+Sets of buckets that still hold several components are hashed again into longer
+and more bands, whose buckets part what is merely alike. There, one centre after
+the other is compared with the sets of other components, until every pair of one
+bucket was compared or belongs to one component. So no candidate is dropped, and
+pair counts stay near the number of bucket members.
 
 Documents with equal sets are one class from the start: only a class's least
 document enters buckets.
@@ -24,18 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm.common import broadcast_if_small, ship, written
-from docflow.llm.graph import components
+from docflow.llm.graph import joined_components
 from docflow.llm.words import hashed, mix, shingle_sets
 
-ROWS_PER_BAND = 5
+ROWS_PER_BAND, ROWS_PER_FINE_BAND = 5, 16
 # Chance to miss a pair at the threshold in every band.
 MISS = 1e-7
-CENTRES = 8
+SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"
 
 
-def bands_for(percent: int) -> int:
+def bands_for(percent: int, rows: int) -> int:
     """Bands needed so that a pair at the threshold meets in one with chance 1 - MISS."""
-    meet = (percent / 100) ** ROWS_PER_BAND
+    meet = (percent / 100) ** rows
     return 1 if meet >= 1 else math.ceil(math.log(MISS) / math.log1p(-meet))
 
 
@@ -63,9 +67,10 @@ def signatures(sets: list[np.ndarray], bins: int) -> np.ndarray:
 
 def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     """A 64-bit bucket for each band of each row."""
-    parts = signature.reshape(len(signature), bands, ROWS_PER_BAND)
+    rows = signature.shape[1] // bands
+    parts = signature.reshape(len(signature), bands, rows)
     keys = np.tile(mix(np.arange(1, bands + 1, dtype=np.uint64)), (len(signature), 1))
-    for k in range(ROWS_PER_BAND):
+    for k in range(rows):
         with np.errstate(over="ignore"):
             keys = mix(keys * np.uint64(3) + parts[:, :, k])
     return keys
@@ -77,7 +82,7 @@ def _as_lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def _sketch(width: int, bands: int) -> Callable:
+def _sketch(width: int, bands: int, rows: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, hashes, counts in hashed(batch.column(1)):
@@ -88,7 +93,7 @@ def _sketch(width: int, bands: int) -> Callable:
                 some = [r for r, s in enumerate(sets) if len(s)]
                 keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(sets)
                 if some:
-                    made = band_keys(signatures([sets[r] for r in some], bands * ROWS_PER_BAND), bands)
+                    made = band_keys(signatures([sets[r] for r in some], bands * rows), bands)
                     for r, k in zip(some, made, strict=True):
                         keys[r] = k
                 yield pa.RecordBatch.from_arrays(
@@ -115,13 +120,17 @@ def _sets(width: int) -> Callable:
     return run
 
 
+def _texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents of some nodes; texts stay in place as long as few enough nodes are sent to them."""
+    named = written(nodes.select(F.col(nodes.columns[0]).alias("doc_id")).distinct(), "nodes")
+    return docs.join(broadcast_if_small(named, 16), "doc_id", "left_semi").select("doc_id", "text")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The candidate pairs whose full sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id")))
-    ends = written(ends.distinct(), "ends")
-    # Texts stay where they are as long as the ids are few enough to be sent to them.
-    needed = docs.join(broadcast_if_small(ends, 16), "doc_id", "left_semi").select("doc_id", "text")
-    sets = written(needed.mapInArrow(_sets(width), "id long, shingles array<long>"), "sets")
+    ends = pairs.select("a").unionAll(pairs.select("b"))
+    sets = _texts_of(ends, docs).mapInArrow(_sets(width), "id long, shingles array<long>")
+    sets = written(sets, "sets")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -130,6 +139,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     return joined.where(100 * common >= percent * both).select("a", "b")
 
 
+def _members(sketched: DataFrame) -> DataFrame:
+    """(bucket, node, n) of buckets with two members at least, from (node, n, buckets)."""
+    every = written(sketched.select(F.explode("buckets").alias("bucket"), "node", "n"), "buckets")
+    shared = every.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
+    return written(every.join(shared, "bucket"), "members")
+
+
 def _candidates(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of a centre and another member of its bucket whose sizes allow the similarity."""
     c = centres.select("bucket", F.col("node").alias("c"), F.col("n").alias("n_c"), F.col("comp").alias("comp_c"))
@@ -138,39 +154,57 @@ def _candidates(members: DataFrame, centres: DataFrame, percent: int) -> DataFra
     return pairs.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
 
 
-def _links(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Confirmed links that join all similar classes of the buckets, as star edges."""
-    spark = members.sparkSession
-    centre = members.groupBy("bucket").agg(
-        F.min_by(F.struct("node", "n"), F.xxhash64("node", "bucket")).alias("m")
+def _hubs(members: DataFrame) -> DataFrame:
+    """The member of each bucket that has the most company in all its buckets."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    company = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("company"))
+    best = F.max(F.struct("company", (-F.col("node")).alias("rank"), "n")).alias("m")
+    ranked = members.join(company, "node").groupBy("bucket").agg(best)
+    node = -F.col("m.rank")
+    return ranked.select("bucket", node.alias("node"), F.col("m.n").alias("n"), node.alias("comp"))
+
+
+def _open(members: DataFrame, centres: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members, but for centres, of buckets that hold several components still."""
+    # Centres have met all others of their bucket by now.
+    used = centres.select("bucket", "node")
+    names = comps.withColumnRenamed("component", "comp")
+    left = members.drop("comp").join(used, ["bucket", "node"], "left_anti").join(names, "node", "left")
+    left = left.withColumn("comp", F.coalesce("comp", "node"))
+    several = left.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("node").alias("first"), F.min("comp").alias("low"),
+        F.max("comp").alias("high"),
     )
+    several = several.where("low != high").select("bucket", "size", "first")
+    return written(left.join(several, "bucket"), "members")
+
+
+def _linked(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) of all classes that are similar to another one of a bucket."""
+    hubs = written(_hubs(members), "hubs")
     members = members.withColumn("comp", F.col("node"))
-    centre = centre.select("bucket", "m.node", "m.n", F.col("m.node").alias("comp"))
-    links, centres, wanted = None, centre, CENTRES
+    pairs = written(_candidates(members, hubs, percent), "pairs")
+    comps = joined_components(None, written(_confirmed(pairs, docs, width, percent), "links"))
+    nodes = _open(members, hubs, comps).select("node")
+    if nodes.isEmpty():
+        return comps
+    bands = bands_for(percent, ROWS_PER_FINE_BAND)
+    again = _texts_of(nodes, docs).mapInArrow(_sketch(width, bands, ROWS_PER_FINE_BAND), SKETCH)
+    members = _members(again.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "buckets"))
+    members = _open(members, members.limit(0), comps)
+    wanted = 1
     while not members.isEmpty():
-        pairs = written(_candidates(members, centres, percent), "pairs")
-        if not pairs.isEmpty():
-            found = written(_confirmed(pairs, docs, width, percent), "links")
-            links = found if links is None else links.unionAll(found)
-        if links is None:
-            links = pairs.select("a", "b")
-        comps = written(components(links), "components").withColumnRenamed("component", "comp")
-        # Centres have met all others of their bucket by now.
-        used = centres.select("bucket", "node")
-        left = members.drop("comp").join(used, ["bucket", "node"], "left_anti").join(comps, "node", "left")
-        left = left.withColumn("comp", F.coalesce("comp", "node"))
-        several = left.groupBy("bucket").agg(
-            F.count("*").alias("size"), F.min("node").alias("first"), F.min("comp").alias("low"),
-            F.max("comp").alias("high"),
-        )
-        several = several.where("low != high").select("bucket", "size", "first")
-        members = written(left.join(several, "bucket"), "members")
         one_in = F.ceil(F.col("size") / wanted)
         chance = F.pmod(F.xxhash64("bucket", "node", F.lit(wanted)), one_in)
         centres = members.where((chance == 0) | (F.col("node") == F.col("first")))
         members = members.select("bucket", "node", "n", "comp")
-        wanted *= 4
-    return spark.createDataFrame([], "a long, b long") if links is None else links
+        pairs = written(_candidates(members, centres, percent), "pairs")
+        if not pairs.isEmpty():
+            links = written(_confirmed(pairs, docs, width, percent), "links")
+            comps = joined_components(comps, links)
+        members = _open(members, centres, comps)
+        wanted *= 8
+    return comps
 
 
 def near_duplicates(
@@ -192,22 +226,18 @@ def near_duplicates(
     columns are ignored; an empty table gives no rows.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    bands = bands_for(percent)
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"
-    sketched = written(docs.mapInArrow(_sketch(width, bands), schema), "sketches")
+    bands = bands_for(percent, ROWS_PER_BAND)
+    sketched = written(docs.mapInArrow(_sketch(width, bands, ROWS_PER_BAND), SKETCH), "sketches")
     filled = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["n_shingles", "set_a", "set_b"]
     classes = filled.groupBy(*key).agg(
         F.min("doc_id").alias("class"), F.min_by("buckets", "doc_id").alias("buckets")
     )
     classes = written(classes, "classes")
-    exploded = classes.select(
-        F.explode("buckets").alias("bucket"), F.col("class").alias("node"), F.col("n_shingles").alias("n")
+    members = _members(
+        classes.select(F.col("class").alias("node"), F.col("n_shingles").alias("n"), "buckets")
     )
-    exploded = written(exploded, "buckets")
-    shared = exploded.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
-    members = written(exploded.join(shared, "bucket"), "members")
-    linked = components(_links(members, docs, width, percent))
+    linked = _linked(members, docs, width, percent)
     names = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").select(
         *key, F.coalesce("component", "class").alias("name")
     )
