@@ -19,16 +19,21 @@ def check_cap(cap: int) -> int:
 
 def line_page_count(content: Column | str, lines_per_page: int = LINES_PER_PAGE) -> Column:
     """Pages the line splitter would make of ``content``, without building them."""
-    lines = F.size(F.split(content, "\n"))
+    content = F.col(content) if isinstance(content, str) else content
+    lines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit(""))) + 1
     return F.ceil(lines / F.lit(lines_per_page)).cast("bigint")
 
 
-def pages_processed(n_pages: Column, cap: int = DEFAULT_PAGE_CAP) -> Column:
-    return F.least(n_pages, F.lit(check_cap(cap)).cast("bigint"))
+def pages_processed(n_pages: Column, cap: int | None = DEFAULT_PAGE_CAP) -> Column:
+    """Pages up to the cap, None meaning all; unknown where the count is."""
+    if cap is None:
+        return n_pages
+    limit = F.lit(check_cap(cap)).cast("bigint")
+    return F.when(n_pages.isNotNull(), F.least(n_pages, limit))
 
 
-def is_truncated(n_pages: Column, cap: int = DEFAULT_PAGE_CAP) -> Column:
-    return n_pages > check_cap(cap)
+def is_truncated(n_pages: Column, cap: int | None = DEFAULT_PAGE_CAP) -> Column:
+    return F.when(n_pages.isNotNull(), F.lit(False)) if cap is None else n_pages > check_cap(cap)
 
 
 def page_text(items: Column | str) -> Column:

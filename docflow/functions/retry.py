@@ -12,9 +12,11 @@ STEP_MS = 1000
 # Base of the steep curve in the text and in the preview stage.
 STEEP_TEXT_MS = 2000
 STEEP_PREVIEW_MS = 1000
-# The last attempt whose Fibonacci delay in ms still fits a bigint; later
-# attempts wait as long as this one.
-_LAST_FIBONACCI = 77
+# Sums of doubles are infinite from here on, so there is nothing to add up.
+INFINITE_FROM = 1476
+# Delays beyond some 285,000 years end behind the last timestamp there is.
+LONGEST_MS = 9.0e15
+DAY_MS = 86_400_000
 
 
 def wrap_attempt(attempt: Column | str, reset: bool = True, max_tries: int = MAX_TRIES) -> Column:
@@ -27,19 +29,18 @@ def linear_ms(attempt: Column | str, reset: bool = True) -> Column:
     return wrap_attempt(attempt, reset) * F.lit(STEP_MS)
 
 
-def _fibonacci_terms(count: int) -> list[int]:
-    terms = [1, 1]
-    while len(terms) < count:
-        terms.append(terms[-1] + terms[-2])
-    return terms[:count]
-
-
 def fibonacci_ms(attempt: Column | str, reset: bool = True) -> Column:
-    """Attempts 0, 1, 2, 3, 4 wait 1, 1, 2, 3, 5 steps."""
-    last = MAX_TRIES if reset else _LAST_FIBONACCI
-    n = F.least(wrap_attempt(attempt, reset), F.lit(last).cast("bigint")).cast("int")
-    terms = F.array(*[F.lit(t).cast("bigint") for t in _fibonacci_terms(last + 1)])
-    return F.element_at(terms, n + 1) * F.lit(STEP_MS)
+    """Attempts 0, 1, 2, 3, 4 wait 1, 1, 2, 3, 5 steps; a double, infinite in the end."""
+    n = wrap_attempt(attempt, reset)
+    start = F.struct(F.lit(1.0).alias("now"), F.lit(1.0).alias("next"))
+    term = F.aggregate(
+        F.sequence(F.lit(1).cast("bigint"), n),
+        start,
+        lambda t, _: F.struct(t["next"].alias("now"), (t["now"] + t["next"]).alias("next")),
+        lambda t: t["now"],
+    )
+    steps = F.when(n >= INFINITE_FROM, float("inf")).when(n >= 1, term).when(n.isNotNull(), 1.0)
+    return steps * F.lit(float(STEP_MS))
 
 
 def steep_ms(attempt: Column | str, reset: bool = True, base_ms: int = STEEP_TEXT_MS) -> Column:
@@ -63,7 +64,10 @@ def retry_delay_ms(attempt: Column | str, strategy: str = "linear", **options) -
 
 
 def delayed(at: Column | str, delay_ms: Column) -> Column:
-    """Point in time ``delay_ms`` after ``at``; keeps the timestamp type of ``at``."""
-    seconds = (delay_ms / F.lit(1000)).cast("decimal(18,6)")
+    """Point in time ``delay_ms`` after ``at``, of its timestamp type; null where no
+    timestamp is that late."""
     start = F.col(at) if isinstance(at, str) else at
-    return start + F.make_dt_interval(secs=seconds)
+    ms = F.when(delay_ms <= LONGEST_MS, delay_ms)
+    days = F.floor(ms / F.lit(DAY_MS))
+    seconds = ((ms - days * DAY_MS) / F.lit(1000)).cast("decimal(18,6)")
+    return start + F.make_dt_interval(days=days.cast("int"), secs=seconds)

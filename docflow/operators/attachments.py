@@ -45,7 +45,10 @@ def append_attachments(
     ordinals, so a document with very many attachments is spread over tasks and
     only its finished parts meet.
     """
-    part = F.col("ordinal") - F.pmod(F.col("ordinal"), F.lit(part_size))
+    # Attachments without an ordinal come first, in a part of their own.
+    part = F.coalesce(
+        F.col("ordinal") - F.pmod(F.col("ordinal"), F.lit(part_size)), F.lit(-(1 << 62))
+    )
     kept = attachments.where(is_readable(F.col("subtype"), F.col("content"))).select(
         doc_col,
         "ordinal",

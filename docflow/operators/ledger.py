@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as win
 
 from docflow.functions.retry import delayed, retry_delay_ms
+from docflow.operators.lookup import null_safe_join
 from docflow.schemas import DEFAULT_DELAY_SECONDS
 
 
+NEVER = "the next attempt is later than any timestamp"
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
 
@@ -41,7 +43,7 @@ def number_attempts(
         return _row_numbers(failures, keys, at_col, tie_cols)
     if n_hot <= max_hot_keys:
         marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        rows = _null_safe_join(failures, marked, keys).withColumn(
+        rows = null_safe_join(failures, marked, keys).withColumn(
             "_slice", F.when(F.col("_hot"), time_slice)
         )
     else:
@@ -54,7 +56,7 @@ def number_attempts(
     counts = rows.where("_hot").groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     shifts = counts.select(*keys, "_slice", F.sum("_n").over(earlier).alias("_shift"))
     numbered = _row_numbers(rows, [*keys, "_slice"], at_col, tie_cols)
-    shifted = _null_safe_join(numbered, shifts, [*keys, "_slice"])
+    shifted = null_safe_join(numbered, shifts, [*keys, "_slice"])
     attempt = F.col("attempt") + F.coalesce("_shift", F.lit(0).cast("bigint"))
     return shifted.select(*failures.columns, attempt.alias("attempt"))
 
@@ -66,19 +68,21 @@ def _row_numbers(
     return rows.withColumn("attempt", F.row_number().over(within).cast("bigint"))
 
 
-def _null_safe_join(rows: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on keys that may be null; keys are kept once."""
-    renamed = extra.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
-    return rows.join(renamed, same, "left").drop(*[f"_right_{k}" for k in keys])
-
-
 def schedule(
     attempts: DataFrame, at_col: str = "last_attempt_at", strategy: str = "linear", **options
 ) -> DataFrame:
-    """Add ``next_attempt_at``, the last attempt plus the delay of the strategy."""
-    delay = retry_delay_ms("attempt", strategy, **options)
-    return attempts.withColumn("next_attempt_at", delayed(at_col, delay))
+    """Add ``next_attempt_at``, the last attempt plus the delay of the strategy.
+
+    It is null where that is later than any timestamp, and then a ``reason`` says so.
+    """
+    planned = attempts.withColumn(
+        "next_attempt_at", delayed(at_col, retry_delay_ms("attempt", strategy, **options))
+    )
+    if "reason" not in attempts.columns:
+        return planned
+    never = F.col("next_attempt_at").isNull() & F.col(at_col).isNotNull()
+    told = F.concat_ws("; ", F.col("reason"), F.when(never, NEVER))
+    return planned.withColumn("reason", F.when(never, told).otherwise(F.col("reason")))
 
 
 def push_back(entries: DataFrame, seconds: int = DEFAULT_DELAY_SECONDS) -> DataFrame:

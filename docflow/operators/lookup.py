@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OBJECT_KEY = ["Bucket", "Key"]
+OBJECT_PART = "object_part"
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Takes notifications, gives those back whose object is stored, with its `content`.
@@ -29,22 +30,37 @@ def missing_objects(notifications: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def table_fetcher(
-    objects: DataFrame | Callable[[], DataFrame], content_col: str = "content"
+    objects: DataFrame | Callable[[], DataFrame],
+    content_col: str = "content",
+    parts: int | None = None,
 ) -> Fetcher:
     """Lookup in a table of objects.
 
     A stream takes a function that opens the table: it is called for each batch and
-    so sees what was stored since the last one.
+    so sees what was stored since the last one. Of a table stored in ``parts`` folders
+    by key hash, only those are read that hold keys of the batch; which they are is at
+    most ``parts`` numbers.
     """
 
     def fetch(notifications: DataFrame) -> DataFrame:
         table = objects if isinstance(objects, DataFrame) else objects()
+        if parts:
+            part = F.pmod(F.xxhash64(*OBJECT_KEY), F.lit(parts)).cast("int")
+            named = notifications.select(part.alias(OBJECT_PART)).distinct().collect()
+            table = table.where(F.col(OBJECT_PART).isin([row[0] for row in named]))
         stored = table.select(*OBJECT_KEY, F.col(content_col).alias("content"))
         return fetch_objects(notifications, stored)
 
     return fetch
 
 
+def null_safe_join(rows: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on keys that may be null; keys are kept once."""
+    renamed = extra.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return rows.join(renamed, same, "left").drop(*[f"_right_{k}" for k in keys])
+
+
 def row_bytes(rows: DataFrame) -> Column:
     """About how much memory the rows' strings need, summed over rows."""
     width = F.lit(64)

@@ -8,30 +8,39 @@ from pyspark.sql import functions as F
 from docflow.functions.envelope import (
     envelope_json,
     failure_reason,
+    fields_of,
     notification_json,
+    text_of,
 )
 
 
 def build_bodies(notifications: DataFrame) -> DataFrame:
-    """Add ``Body``, the queue form of each (uid, Bucket, Key[, attempt]) row."""
+    """Add ``Body``, the queue form of each (uid, Bucket, Key[, attempt][, topic]) row."""
+    topic = F.col("topic") if "topic" in notifications.columns else None
     attempt = F.col("attempt") if "attempt" in notifications.columns else None
     message = notification_json("uid", "Bucket", "Key")
-    return notifications.withColumn("Body", envelope_json(message, attempt))
+    return notifications.withColumn("Body", envelope_json(message, attempt, topic))
 
 
 def decode_bodies(bodies: DataFrame) -> DataFrame:
     """Add uid, Bucket, Key and ``reason``; the raw body stays beside them.
 
-    Rows with a null ``reason`` are usable. Both JSON levels are read by a generator:
-    a filter on what it yields stays above it, whereas one on ``from_json`` would be
-    pushed below and parse every body a second time.
+    Rows with a null ``reason`` are usable. Each JSON level is parsed once for its
+    fields and once for whether it is JSON at all, and all by generators: a filter on
+    what those yield stays above them, whereas one on ``from_json`` would be pushed
+    below and parse every body a second time.
     """
-    outer = bodies.select("*", F.json_tuple("Body", "Message").alias("_message"))
-    outer = outer.withColumn("_parsed", F.try_parse_json("Body"))
-    inner = outer.select("*", F.json_tuple("_message", "uid", "Bucket", "Key"))
-    inner = inner.toDF(*outer.columns, "uid", "Bucket", "Key")
-    reason = failure_reason(*map(F.col, ("Body", "_parsed", "_message", "Bucket", "Key")))
-    return inner.withColumn("reason", reason).drop("_message", "_parsed")
+    outer = bodies.select("*", F.inline(F.array(fields_of("Body", "Message"))))
+    outer = outer.toDF(*bodies.columns, "_message", "_bad_body")
+    inner = outer.select("*", F.inline(F.array(fields_of(text_of("_message"), "uid", "Bucket", "Key"))))
+    raw = inner.toDF(*outer.columns, "_uid", "_bucket", "_key", "_bad_message")
+    reason = failure_reason(
+        *map(F.col, ("Body", "_bad_body", "_message", "_bad_message", "_bucket", "_key"))
+    )
+    named = [text_of(c).alias(n) for c, n in (("_uid", "uid"), ("_bucket", "Bucket"), ("_key", "Key"))]
+    # A struct in an array of one: the generator that keeps the filter on reason up.
+    judged = F.struct(*named, reason.alias("reason"))
+    return raw.select(*bodies.columns, F.inline(F.array(judged)))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
@@ -61,5 +70,11 @@ def dedup_notifications(notifications: DataFrame) -> DataFrame:
 
 
 def distinct_targets(notifications: DataFrame) -> DataFrame:
-    """One row per object to process; outputs are keyed by object."""
-    return notifications.groupBy("Bucket", "Key").agg(F.min("uid").alias("uid"))
+    """One row per object to process; outputs are keyed by object.
+
+    Its ``queues``, if there are any, are those of all its messages.
+    """
+    found = [F.min("uid").alias("uid")]
+    if "queues" in notifications.columns:
+        found.append(F.array_distinct(F.flatten(F.collect_set("queues"))).alias("queues"))
+    return notifications.groupBy("Bucket", "Key").agg(*found)

@@ -16,7 +16,8 @@ from docflow.operators.attachments import attached_text
 from docflow.schemas import DEFAULT_PAGE_CAP, PAGES
 
 # Takes documents and a page cap (None for all pages) and adds `page_texts` (no more
-# than the cap), `n_pages` (of the whole document) and `readable`.
+# than the cap), `n_pages` (of the whole document), `readable`, and `error` where it
+# is not, which keeps an `error` that is there already.
 Extractor = Callable[[DataFrame, int | None], DataFrame]
 
 RANK_SALTS = 32
@@ -31,7 +32,10 @@ def line_extractor(
         # The lines are a projection of their own, or the text would be split
         # again for every page. Pages go straight from lines to text: arrays of
         # arrays in between would be copied from row to row.
-        lines = docs.withColumn("_lines", F.split(F.col(content_col).cast("string"), "\n"))
+        # Bytes that are no text are not split: they would come out damaged.
+        content = F.col(content_col).cast("string")
+        text = F.when(F.is_valid_utf8(content), content)
+        lines = docs.withColumn("_lines", F.split(text, "\n"))
         n_pages = F.ceil(F.size("_lines") / lines_per_page).cast("bigint")
         wanted = n_pages if cap is None else paging.pages_processed(n_pages, cap)
         texts = F.transform(
@@ -44,7 +48,11 @@ def line_extractor(
             {
                 "page_texts": F.when(F.col("_lines").isNotNull(), texts),
                 "n_pages": n_pages,
-                "readable": F.col(content_col).isNotNull(),
+                "readable": F.col("_lines").isNotNull(),
+                "error": F.coalesce(
+                    F.col("error") if "error" in docs.columns else F.lit(None).cast("string"),
+                    F.when(F.col("_lines").isNull(), "content is no UTF-8 text"),
+                ),
             }
         ).drop("_lines")
 
@@ -59,36 +67,44 @@ def python_extractor(
 
     ``open_document`` gives the number of pages and an iterable of them, of which
     only those up to the cap are taken. A document it fails on is not readable and
-    goes to the retry ledger.
+    goes to the retry ledger with the text of the failure. Contents go to Python
+    and do not come back.
     """
 
     def read(content, cap):
         if content is None:
-            return None, None
+            return None, None, "document has no content"
         try:
             n_pages, pages = open_document(content)
-            return n_pages, [list(items) for items in islice(pages, cap)]
-        except Exception:
-            return None, None
+            return n_pages, [list(items) for items in islice(pages, cap)], None
+        except Exception as error:
+            return None, None, f"{type(error).__name__}: {error}"[:500]
 
     def extract(docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
+        kept = [f for f in docs.schema.fields if f.name not in (content_col, "error")]
         schema = T.StructType(
             [
-                *docs.schema.fields,
+                *kept,
                 T.StructField("pages", PAGES),
                 T.StructField("n_pages", T.LongType()),
                 T.StructField("readable", T.BooleanType()),
+                T.StructField("error", T.StringType()),
             ]
         )
+        before = "error" in docs.columns
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 read_all = [read(content, cap) for content in batch[content_col]]
-                counts = [count for count, _ in read_all]
-                yield batch.assign(
-                    pages=pd.Series([p for _, p in read_all], index=batch.index, dtype=object),
+                counts = [count for count, _, _ in read_all]
+                errors = [error for _, _, error in read_all]
+                if before:
+                    errors = [old or new for old, new in zip(batch["error"], errors)]
+                yield batch[[f.name for f in kept]].assign(
+                    pages=pd.Series([p for _, p, _ in read_all], index=batch.index, dtype=object),
                     n_pages=pd.array(counts, dtype="Int64"),
                     readable=[count is not None for count in counts],
+                    error=pd.Series(errors, index=batch.index, dtype=object),
                 )
 
         return join_items(docs.mapInPandas(run, schema), cap)
@@ -103,7 +119,7 @@ def join_items(docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame
     return docs.withColumn("page_texts", paging.page_texts("pages", cap)).drop("pages")
 
 
-def page_stats(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
+def page_stats(docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
     """Add pages_processed and truncated."""
     n_pages = F.col("n_pages")
     return docs.withColumns(
@@ -114,7 +130,7 @@ def page_stats(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
     )
 
 
-def extract_text(docs: DataFrame, cap: int = DEFAULT_PAGE_CAP) -> DataFrame:
+def extract_text(docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
     """Replace ``page_texts`` by the capped document text and its length; no shuffle.
 
     Where the extractor gave ``attachments`` too, their text is appended.
@@ -149,7 +165,8 @@ def first_n_pages(
     Spark applies a rank limit to each map task before the shuffle, so no task
     receives more than ``cap`` rows per document and map task, however many pages
     a document has. It does not for large limits: those are first applied to parts
-    of a document.
+    of a document. ``order_cols`` have to tell the rows of a document apart: which
+    of tied rows come first is not defined.
     """
     paging.check_cap(cap)
     setting = "spark.sql.optimizer.windowGroupLimitThreshold"

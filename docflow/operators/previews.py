@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.functions import keys, paging
+from docflow.operators.lookup import null_safe_join
 from docflow.schemas import DEFAULT_PAGE_CAP
 
 # Takes pages, gives them back with `ok` and `payload` columns.
@@ -17,14 +19,13 @@ Renderer = Callable[[DataFrame], DataFrame]
 
 
 def preview_manifest(
-    docs: DataFrame, cap: int = DEFAULT_PAGE_CAP, layout: str = "nested"
+    docs: DataFrame, cap: int | None = DEFAULT_PAGE_CAP, layout: str = "nested"
 ) -> DataFrame:
     """One row per document and page up to the cap, with the key to store it at."""
     limit = paging.pages_processed(F.col("n_pages"), cap)
     numbers = F.sequence(F.lit(1).cast("bigint"), limit)
     return (
-        docs.where(F.col("n_pages") >= 1)
-        .withColumn("page_no", F.explode(numbers))
+        docs.withColumn("page_no", F.explode(F.when(F.col("n_pages") >= 1, numbers)))
         .withColumn("output_key", keys.preview_key("Key", "page_no", layout))
     )
 
@@ -88,12 +89,36 @@ def sticky_success(
     bad = ~F.coalesce(F.col(ok_col), F.lit(False))
     first_bad = pages.where(bad).groupBy(*doc_cols).agg(F.min(page_col).alias("_first_bad"))
     return (
-        pages.join(first_bad, list(doc_cols), "left")
+        null_safe_join(pages, first_bad, doc_cols)
         .withColumn("success", F.coalesce(F.col(page_col) < F.col("_first_bad"), F.lit(True)))
         .drop("_first_bad")
     )
 
 
+def until_failure(pages: DataFrame) -> DataFrame:
+    """Pages with ``ok`` false from the first failing page of their document on.
+
+    ``pages`` come as ``page_table`` and a renderer leave them: all of a document
+    (Bucket, Key) one after the other in one task. So a running AND needs no shuffle,
+    and each image is drawn once and stays where it is.
+    """
+    place = pages.columns.index("ok")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, failed = None, False
+        for batch in batches:
+            flags = []
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("Bucket", "Key", "ok")]
+            for bucket, key, ok in zip(*columns):
+                if (bucket, key) != last:
+                    last, failed = (bucket, key), False
+                failed = failed or not ok
+                flags.append(not failed)
+            yield batch.set_column(place, "ok", pa.array(flags, pa.bool_()))
+
+    return pages.mapInArrow(run, pages.schema)
+
+
 def sticky_flags(docs: DataFrame, ok_col: str = "ok_flags") -> DataFrame:
     """Nested form of ``sticky_success``: page flags are an array in page order."""
     others = [c for c in docs.columns if c != ok_col]

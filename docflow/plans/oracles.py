@@ -50,8 +50,9 @@ kept AS (SELECT * FROM numbered WHERE page_no <= 3)"""
 
 _ATTEMPTS = """
 attempts AS (
-  SELECT event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt
-  FROM events WHERE event_type = 'error'
+  SELECT event_id, ts,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS attempt
+  FROM events
 ),
 wrapped AS (
   SELECT *, CASE WHEN attempt > 10 THEN attempt % 10 ELSE attempt END AS n FROM attempts
@@ -72,6 +73,12 @@ SELECT doc_id, page_no, ok,
        bool_and(ok) OVER (PARTITION BY doc_id ORDER BY page_no) AS success
 FROM flags"""
 
+_FIBONACCI = """
+fib(n, a, b) AS (
+  SELECT CAST(0 AS BIGINT), CAST(1 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL SELECT n + 1, b, a + b FROM fib WHERE n < (SELECT max(attempt) FROM attempts)
+)"""
+
 ORACLES: dict[str, str] = {
     "extract_text": _TEXT,
     "extract_text_python": _TEXT,
@@ -134,11 +141,25 @@ FROM (SELECT * FROM notes UNION ALL SELECT * FROM notes)""",
 WITH {_NOTES}
 SELECT uid, "Bucket", "Key", queue
 FROM notes, (VALUES ('file-stream-text'), ('file-stream-images')) AS s(queue)""",
+    "fan_out_joined": f"""
+WITH {_NOTES},
+sent AS (SELECT *, CASE lang WHEN 'de' THEN 'archive' WHEN 'fr' THEN 'nobody'
+                   ELSE 'file-stream' END AS topic FROM notes)
+SELECT uid, "Bucket", "Key", topic, queue
+FROM sent JOIN (VALUES ('file-stream', 'file-stream-text'), ('file-stream', 'file-stream-images'),
+                       ('archive', 'file-stream-text')) AS s(topic, queue) USING (topic)""",
     "fetch_objects": f"""
 WITH {_NOTES}
 SELECT n.uid, n."Bucket", n."Key", o.text
 FROM notes n JOIN (SELECT * FROM notes WHERE lang <> 'fr') o
   ON o."Bucket" = n."Bucket" AND o."Key" = n."Key" """,
+    "store_lookup": f"""
+WITH {_NOTES}
+SELECT uid, "Key", text, CAST(NULL AS VARCHAR) AS error FROM notes WHERE lang <> 'fr'
+UNION ALL
+SELECT uid, '', NULL, 'key is empty or leaves the store' FROM notes WHERE lang = 'de'
+UNION ALL
+SELECT uid, '../' || "Key", NULL, 'key is empty or leaves the store' FROM notes WHERE lang = 'es'""",
     "missing_objects": f"""
 WITH {_NOTES}
 SELECT n.uid, n."Bucket", n."Key" FROM notes n
@@ -155,14 +176,18 @@ FROM capped c JOIN paged p ON p.doc_id = c.doc_id""",
     "sticky_success_flat": _STICKY,
     "retry_schedule": f"""
 WITH RECURSIVE {_ATTEMPTS},
-fib(n, a, b) AS (
-  SELECT CAST(0 AS BIGINT), CAST(1 AS BIGINT), CAST(1 AS BIGINT)
-  UNION ALL SELECT n + 1, b, a + b FROM fib WHERE n < 77
-)
+{_FIBONACCI}
 SELECT w.event_id, w.attempt, w.n * 1000 AS linear_ms, f.a * 1000 AS fibonacci_ms,
        2 * w.n * 2000 AS steep_text_ms, 2 * w.n * 1000 AS steep_preview_ms,
        w.attempt * 1000 AS linear_no_reset_ms, g.a * 1000 AS fibonacci_no_reset_ms
-FROM wrapped w JOIN fib f ON f.n = w.n JOIN fib g ON g.n = least(w.attempt, 77)""",
+FROM wrapped w JOIN fib f ON f.n = w.n JOIN fib g ON g.n = w.attempt""",
+    "retry_strategies": f"""
+WITH RECURSIVE {_ATTEMPTS},
+{_FIBONACCI}
+SELECT w.event_id, w.n * 1000 AS linear_ms, f.a * 1000 AS fibonacci_ms,
+       w.n * 4000 AS exponential_2000_ms, w.n * 2000 AS exponential_1000_ms,
+       w.n * 1000 AS unknown_ms, w.attempt * 4000 AS exponential_no_reset_ms
+FROM wrapped w JOIN fib f ON f.n = w.n""",
     "retry_due": f"""
 WITH {_ATTEMPTS},
 planned AS (
@@ -196,6 +221,28 @@ UNION ALL
 SELECT 'previews', 'image-parsed/' || "Key" || '/' || page_no || '.png',
        CAST(strlen(page_text) AS BIGINT)
 FROM capped""",
+    "stream_subscriptions": f"""
+WITH {_PAGED},
+topics AS (SELECT "Key", lang FROM notes)
+SELECT 'text' AS stage, 'text-parsed/' || "Key" AS output_key, content_length
+FROM measured JOIN topics USING ("Key") WHERE lang <> 'fr'
+UNION ALL
+SELECT 'previews', 'image-parsed/' || "Key" || '/' || page_no || '.png',
+       CAST(strlen(page_text) AS BIGINT)
+FROM capped JOIN topics USING ("Key") WHERE lang NOT IN ('de', 'fr')""",
+    "stored_outputs": f"""
+WITH {_PAGED}
+SELECT 'text-parsed/' || "Key" AS output_key, content_length, text AS body FROM measured
+UNION ALL
+SELECT 'image-parsed/' || "Key" || '/' || page_no || '.png', CAST(strlen(page_text) AS BIGINT),
+       page_text
+FROM capped""",
+    "stream_redeliver": f"""
+WITH {_PAGED},
+tries AS (SELECT unnest([1, 2]) AS attempt)
+SELECT m.uid, m."Key", CAST(t.attempt AS BIGINT) AS attempt,
+       CAST(2 * t.attempt * 2000 AS BIGINT) AS delay_ms, m.content_length
+FROM measured m JOIN notes n USING ("Key"), tries t WHERE n.lang = 'fr'""",
     "stream_retry_ledger": f"""
 WITH {_NOTES}
 SELECT uid, "Bucket", "Key", CAST(1 AS BIGINT) AS attempt, 'object is missing' AS reason

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions import keys, paging, retry
@@ -16,16 +17,20 @@ from docflow.operators.fanout import fan_out, subscribed_queues
 from docflow.plans import fixtures as fx
 from docflow.plans import stages
 from docflow.schemas import (
+    BUCKET,
     DEFAULT_PAGE_CAP,
     DOCUMENT_TEXT,
     PREVIEW_PAGES,
+    PREVIEW_QUEUE,
     QUARANTINE,
     RETRY_LEDGER,
+    TEXT_QUEUE,
     TOPIC,
 )
-from docflow.session import scratch_dir
+from docflow.session import scratch_dir, stored_once
 from docflow.sources.notifications import publish, stream_bodies
-from docflow.sources.sinks import read_batches, read_or_empty
+from docflow.sources.objects import read_objects, store_fetcher
+from docflow.sources.sinks import put_objects, read_batches, read_or_empty
 from docflow.streaming import runner
 from docflow.streaming.dedup import dedup_stream
 
@@ -40,7 +45,7 @@ split_lines = pages.line_extractor("text")
 
 def _paged(spark: SparkSession, sf_dir: str, cap: int | None = DEFAULT_PAGE_CAP) -> DataFrame:
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return split_lines(docs, cap).drop("text", "readable")
+    return split_lines(docs, cap).drop("text", "readable", "error")
 
 
 # --- documents and pages -----------------------------------------------------
@@ -62,7 +67,7 @@ def extract_text_python(spark, sf_dir):
 
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
     paged = pages.python_extractor(open_document, "text")(docs)
-    return pages.extract_text(paged.drop("text", "readable"))
+    return pages.extract_text(paged.drop("readable", "error"))
 
 
 def page_text(spark, sf_dir):
@@ -128,6 +133,21 @@ def dedup_notifications(spark, sf_dir):
     return notes.dedup_notifications(sent.unionByName(sent))
 
 
+def _topics(lang: Column) -> Column:
+    """Topic of a document's message: the default one, one with fewer queues, or one without any."""
+    return F.when(lang == "de", "archive").when(lang == fx.ODD_LANG, "nobody").otherwise(TOPIC)
+
+
+SUBSCRIPTIONS = ((TOPIC, TEXT_QUEUE), (TOPIC, PREVIEW_QUEUE), ("archive", TEXT_QUEUE))
+
+
+def fan_out_joined(spark, sf_dir):
+    """Fan-out by a table of subscriptions."""
+    sent = fx.objects(spark, sf_dir).select("uid", "Bucket", "Key", _topics(F.col("lang")).alias("topic"))
+    table = spark.createDataFrame(SUBSCRIPTIONS, "topic string, queue string")
+    return fan_out(sent, table).select("uid", "Bucket", "Key", "topic", "queue")
+
+
 def fan_out_query(spark, sf_dir):
     return fan_out(fx.notifications(spark, sf_dir)).select("uid", "Bucket", "Key", "queue")
 
@@ -139,6 +159,23 @@ def fetch_objects(spark, sf_dir):
     return lookup.fetch_objects(fx.notifications(spark, sf_dir), fx.stored(spark, sf_dir))
 
 
+def store_lookup(spark, sf_dir):
+    """Documents put into a store and read from it one by one, with keys that are
+    missing, empty or outside among those asked for."""
+    store = f"{scratch_dir(spark, 'store')}/objects"
+    docs = fx.objects(spark, sf_dir).select("uid", "Bucket", "Key", "lang", "text")
+    kept = docs.where(F.col("lang") != fx.ODD_LANG)
+    written = put_objects(kept.withColumnRenamed("Key", "output_key"), store, "text")
+    written.agg(F.sum("content_length")).first()
+    asked = docs.select("uid", "Bucket", "Key", "lang")
+    empty = asked.where("lang = 'de'").withColumn("Key", F.lit(""))
+    outside = asked.where("lang = 'es'").withColumn("Key", F.concat(F.lit("../"), "Key"))
+    every = asked.unionAll(empty).unionAll(outside).drop("lang")
+    return store_fetcher(store)(every).select(
+        "uid", "Key", F.decode("content", "UTF-8").alias("text"), "error"
+    )
+
+
 def missing_objects(spark, sf_dir):
     return lookup.missing_objects(fx.notifications(spark, sf_dir), fx.stored(spark, sf_dir))
 
@@ -209,9 +246,9 @@ def sticky_success_flat(spark, sf_dir):
 
 
 def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    errors = fx.table(spark, sf_dir, "events").where(F.col("event_type") == "error")
-    errors = errors.select("event_id", "user_id", "ts")
-    return ledger.number_attempts(errors, ["user_id"], "ts", ["event_id"])
+    """Every event is a failed attempt at what its user and type name."""
+    failures = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    return ledger.number_attempts(failures, ["user_id", "event_type"], "ts", ["event_id"])
 
 
 def retry_schedule(spark, sf_dir):
@@ -227,6 +264,22 @@ def retry_schedule(spark, sf_dir):
     )
 
 
+def retry_strategies(spark, sf_dir):
+    """Delays by the name of a strategy, as a configuration gives it."""
+    delays = {
+        "linear_ms": ("linear", {}),
+        "fibonacci_ms": ("fibonacci", {}),
+        "exponential_2000_ms": ("exponential", {"base_ms": retry.STEEP_TEXT_MS}),
+        "exponential_1000_ms": ("exponential", {"base_ms": retry.STEEP_PREVIEW_MS}),
+        "unknown_ms": ("no such strategy", {"base_ms": retry.STEEP_TEXT_MS}),
+        "exponential_no_reset_ms": ("exponential", {"reset": False}),
+    }
+    return _attempts(spark, sf_dir).select(
+        "event_id",
+        *(retry.retry_delay_ms("attempt", s, **o).alias(name) for name, (s, o) in delays.items()),
+    )
+
+
 def retry_due(spark, sf_dir):
     planned = ledger.schedule(_attempts(spark, sf_dir), "ts", "linear")
     return ledger.due(planned, F.lit(RETRY_NOW).cast("timestamp_ntz")).select(
@@ -242,7 +295,8 @@ def run_stages(spark, sf_dir):
     decoded = notes.decode_bodies(_bodies(spark, sf_dir).select("Body"))
     targets = notes.distinct_targets(notes.accepted(decoded))
     fetch = lookup.table_fetcher(fx.objects(spark, sf_dir), "text")
-    docs = stages.readable(stages.prepare(targets, fetch))
+    # Decoded, looked up and cut once, whatever the number of stages.
+    docs = stored_once(stages.readable(stages.prepare(targets, fetch)), "prepared")
     delivered = docs.withColumn("queues", subscribed_queues(F.lit(TOPIC)))
     outputs = stages.run_stages(delivered, stages.registered(["text", "previews"]))
     return stages.stage_summary(outputs)
@@ -259,19 +313,20 @@ def _stream(
     spark: SparkSession, sf_dir: str, stage_names: tuple[str, ...], objects: DataFrame
 ) -> str:
     """Publish all notifications to a folder, run the stages until it is read."""
-    work = scratch_dir(spark, "stream")
+    config = runner.StreamConfig(stages=stage_names)
+    return _run(spark, scratch_dir(spark, "stream"), fx.notifications(spark, sf_dir), objects, config)[0]
+
+
+def _run(spark, work: str, sent: DataFrame | None, objects: DataFrame, config) -> tuple[str, str]:
+    """Publish ``sent``, if anything, and read the inbox to its end; the folders of outputs and inbox."""
+    inbox, out = f"{work}/inbox", f"{work}/out"
     files = max(MICRO_BATCHES, spark.sparkContext.defaultParallelism)
-    publish(fx.notifications(spark, sf_dir).repartition(files), f"{work}/inbox")
-    bodies = stream_bodies(spark, f"{work}/inbox", -(-files // MICRO_BATCHES))
-    query = runner.start(
-        bodies,
-        lookup.table_fetcher(objects, "text"),
-        f"{work}/out",
-        f"{work}/checkpoint",
-        runner.StreamConfig(stages=stage_names),
-    )
-    query.awaitTermination()
-    return f"{work}/out"
+    if sent is not None:
+        publish(sent.repartition(files), inbox)
+    bodies = stream_bodies(spark, inbox, -(-files // MICRO_BATCHES))
+    fetch = lookup.table_fetcher(objects, "text")
+    runner.start(bodies, fetch, out, f"{work}/checkpoint", config).awaitTermination()
+    return out, inbox
 
 
 def stream_extract_text(spark, sf_dir):
@@ -292,6 +347,51 @@ def stream_fan_out(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def stream_subscriptions(spark, sf_dir):
+    """Messages of several topics reach the stages whose queues are subscribed."""
+    sent = fx.objects(spark, sf_dir).select("uid", "Bucket", "Key", _topics(F.col("lang")).alias("topic"))
+    config = runner.StreamConfig(stages=("text", "previews"), subscriptions=SUBSCRIPTIONS)
+    out, _ = _run(spark, scratch_dir(spark, "stream"), sent, fx.objects(spark, sf_dir), config)
+    key = ["Bucket", "output_key"]
+    parts = [
+        read_batches(spark, runner.stage_dir(out, name), schema, key).select(
+            F.lit(name).alias("stage"), "output_key", "content_length"
+        )
+        for name, schema in (("text", DOCUMENT_TEXT), ("previews", PREVIEW_PAGES))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def stored_outputs(spark, sf_dir):
+    """Texts and previews as objects under their output keys, read back from the store."""
+    work = scratch_dir(spark, "stream")
+    config = runner.StreamConfig(stages=("text", "previews"), put=f"{work}/store")
+    _run(spark, work, fx.notifications(spark, sf_dir), fx.objects(spark, sf_dir), config)
+    found = read_objects(spark, f"{work}/store/{BUCKET}", BUCKET)
+    return found.select(
+        F.col("Key").alias("output_key"),
+        F.col("length").alias("content_length"),
+        F.decode("content", "UTF-8").alias("body"),
+    )
+
+
+def stream_redeliver(spark, sf_dir):
+    """Messages that fail, are redelivered, fail again, are redelivered and succeed."""
+    work = scratch_dir(spark, "stream")
+    config = runner.StreamConfig(stages=("text",))
+    later = datetime.now(timezone.utc) + timedelta(days=1)
+    out, inbox = _run(spark, work, fx.notifications(spark, sf_dir), fx.stored(spark, sf_dir), config)
+    runner.redeliver(spark, out, inbox, later)
+    _run(spark, work, None, fx.stored(spark, sf_dir), config)
+    runner.redeliver(spark, out, inbox, later)
+    _run(spark, work, None, fx.objects(spark, sf_dir), config)
+    path = runner.stage_dir(out, "text")
+    texts = read_batches(spark, path, DOCUMENT_TEXT, ["Bucket", "output_key"]).select("Key", "content_length")
+    rows = read_or_empty(spark, f"{out}/{runner.LEDGER_DIR}", RETRY_LEDGER)
+    delay = F.unix_millis("next_attempt_at") - F.unix_millis("last_attempt_at")
+    return rows.join(texts, "Key").select("uid", "Key", "attempt", delay.alias("delay_ms"), "content_length")
+
+
 def stream_retry_ledger(spark, sf_dir):
     """Messages whose object is not stored end up in the ledger, once each."""
     out = _stream(spark, sf_dir, ("text",), fx.stored(spark, sf_dir))
@@ -361,7 +461,9 @@ QUERIES: dict[str, Query] = {
     "quarantine": quarantine,
     "dedup_notifications": dedup_notifications,
     "fan_out": fan_out_query,
+    "fan_out_joined": fan_out_joined,
     "fetch_objects": fetch_objects,
+    "store_lookup": store_lookup,
     "missing_objects": missing_objects,
     "preview_manifest": preview_manifest,
     "previews_rendered": previews_rendered,
@@ -369,11 +471,15 @@ QUERIES: dict[str, Query] = {
     "sticky_success": sticky_success,
     "sticky_success_flat": sticky_success_flat,
     "retry_schedule": retry_schedule,
+    "retry_strategies": retry_strategies,
     "retry_due": retry_due,
     "run_stages": run_stages,
     "run_summary": run_summary,
     "stream_extract_text": stream_extract_text,
     "stream_fan_out": stream_fan_out,
+    "stream_subscriptions": stream_subscriptions,
+    "stored_outputs": stored_outputs,
+    "stream_redeliver": stream_redeliver,
     "stream_retry_ledger": stream_retry_ledger,
     "stream_quarantine": stream_quarantine,
     "stream_dedup": stream_dedup,

@@ -17,27 +17,27 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docflow.functions import keys, paging
-from docflow.functions.paging import check_cap
 from docflow.operators.lookup import Fetcher, missing_objects
 from docflow.operators.pages import Extractor, extract_text, line_extractor, page_table
-from docflow.operators.previews import Renderer, column_renderer, rendered_only
+from docflow.operators.previews import Renderer, column_renderer, rendered_only, until_failure
 from docflow.schemas import DEFAULT_PAGE_CAP, PREVIEW_QUEUE, TEXT_QUEUE
 
 
 @dataclass(frozen=True)
 class Stage:
-    """``cap`` is how many pages the stage looks at, None for all of them."""
+    """``cap`` is how many pages the stage looks at, None for all of them; ``body`` the
+    column of its outputs that is stored as an object."""
 
     name: str
     queue: str
     process: Callable[[DataFrame], DataFrame]
     cap: int | None = None
+    body: str | None = None
 
 
-def text_stage(cap: int = DEFAULT_PAGE_CAP, layout: str = "nested") -> Stage:
+def text_stage(cap: int | None = DEFAULT_PAGE_CAP, layout: str = "nested") -> Stage:
     def process(docs: DataFrame) -> DataFrame:
         return extract_text(docs, cap).select(
             "uid",
@@ -51,11 +51,11 @@ def text_stage(cap: int = DEFAULT_PAGE_CAP, layout: str = "nested") -> Stage:
             "content_length",
         )
 
-    return Stage("text", TEXT_QUEUE, process, cap)
+    return Stage("text", TEXT_QUEUE, process, cap, "text")
 
 
 def preview_stage(
-    cap: int = DEFAULT_PAGE_CAP,
+    cap: int | None = DEFAULT_PAGE_CAP,
     layout: str = "nested",
     render: Renderer | None = None,
     on_failure: str = "skip",
@@ -67,12 +67,9 @@ def preview_stage(
     draw = render or column_renderer()
 
     def process(docs: DataFrame) -> DataFrame:
-        pages = draw(page_table(docs.select("uid", "Bucket", "Key", "page_texts"), check_cap(cap)))
+        pages = draw(page_table(docs.select("uid", "Bucket", "Key", "page_texts"), cap))
         if on_failure == "stop":
-            # A document comes once and with no more than `cap` pages, so its pages fit
-            # a window, and unlike a join back to them that renders each only once.
-            so_far = Window.partitionBy("Bucket", "Key").orderBy("page_no")
-            pages = pages.withColumn("ok", F.min(F.coalesce("ok", F.lit(False))).over(so_far))
+            pages = until_failure(pages)
         return rendered_only(pages).select(
             "uid",
             "Bucket",
@@ -83,7 +80,7 @@ def preview_stage(
             paging.content_length("payload").alias("content_length"),
         )
 
-    return Stage("previews", PREVIEW_QUEUE, process, cap)
+    return Stage("previews", PREVIEW_QUEUE, process, cap, "payload")
 
 
 _REGISTRY: dict[str, Stage] = {}
@@ -131,16 +128,19 @@ def prepare(
 
 
 def readable(prepared: DataFrame) -> DataFrame:
-    return prepared.where("readable").drop("readable")
+    return prepared.where("readable").drop("readable", "error")
 
 
 def failed(targets: DataFrame, prepared: DataFrame) -> DataFrame:
-    """Targets without a stored object or with one that gives no pages."""
+    """Targets without a stored object or with one that gives no pages, and why."""
     columns = ["uid", "Bucket", "Key"]
     missing = missing_objects(targets.select(*columns), prepared)
-    unreadable = prepared.where(~F.coalesce("readable", F.lit(False))).select(*columns)
+    told = F.lit("document is unreadable")
+    if "error" in prepared.columns:
+        told = F.coalesce(F.col("error"), told)
+    unreadable = prepared.where(~F.coalesce("readable", F.lit(False)))
     return missing.withColumn("reason", F.lit("object is missing")).unionByName(
-        unreadable.withColumn("reason", F.lit("document is unreadable"))
+        unreadable.select(*columns, told.alias("reason"))
     )
 
 

@@ -18,35 +18,8 @@ DEFAULT_PAGE_CAP = 10
 DEFAULT_VISIBILITY_SECONDS = 600
 DEFAULT_DELAY_SECONDS = 30
 
-NOTIFICATION = T.StructType(
-    [
-        T.StructField("uid", T.StringType()),
-        T.StructField("Bucket", T.StringType()),
-        T.StructField("Key", T.StringType()),
-    ]
-)
-
-# The queue hands over a JSON body whose Message is again JSON, as a string.
-ENVELOPE = T.StructType([T.StructField("Message", T.StringType())])
-
-# What a receive returns: the body and the attributes nobody reads.
-RECEIVED = T.StructType(
-    [
-        T.StructField("Body", T.StringType()),
-        T.StructField("Attributes", T.MapType(T.StringType(), T.StringType())),
-    ]
-)
-
 BODY = T.StructType([T.StructField("Body", T.StringType())])
 
-STORED_OBJECT = T.StructType(
-    [
-        T.StructField("Bucket", T.StringType()),
-        T.StructField("Key", T.StringType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
-
 PAGES = T.ArrayType(T.ArrayType(T.StringType()))
 
 ATTACHMENTS = T.ArrayType(
@@ -60,13 +33,6 @@ ATTACHMENTS = T.ArrayType(
     )
 )
 
-SUBSCRIPTION = T.StructType(
-    [
-        T.StructField("topic", T.StringType(), False),
-        T.StructField("queue", T.StringType(), False),
-    ]
-)
-
 DEFAULT_SUBSCRIPTIONS = [(TOPIC, TEXT_QUEUE), (TOPIC, PREVIEW_QUEUE)]
 
 DOCUMENT_TEXT = T.StructType(
@@ -118,8 +84,22 @@ RETRY_LEDGER = T.StructType(
     ]
 )
 
+STAGE_SUMMARY = T.StructType(
+    [
+        T.StructField("stage", T.StringType()),
+        T.StructField("messages", T.LongType()),
+        T.StructField("quarantined", T.LongType()),
+        T.StructField("failed", T.LongType()),
+        T.StructField("outputs", T.LongType()),
+        T.StructField("bytes_written", T.LongType()),
+        T.StructField("objects_stored", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 REDELIVERED = T.StructType(
     [
+        T.StructField("uid", T.StringType()),
         T.StructField("Bucket", T.StringType()),
         T.StructField("Key", T.StringType()),
         T.StructField("attempt", T.LongType()),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE coalesces small shuffle partitions, so the width they start from may be
 # generous on a cluster. `spark.sql.shuffle.partitions` is left alone: it also is
@@ -39,16 +39,37 @@ def build_session(app: str = "docflow", master: str | None = None, **conf: str)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         widen_shuffles(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def widen_shuffles(spark: SparkSession) -> None:
-    """Start batch shuffles with some partitions per core, unless that is set."""
-    if spark.conf.get(INITIAL_PARTITIONS, None) is None:
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set(INITIAL_PARTITIONS, str(PARTITIONS_PER_CORE * cores))
+    """Start batch shuffles with some partitions per core, unless that is set.
+
+    Executors may still be starting, so the configured most of them count if they are
+    named, and shuffles never get narrower than ``spark.sql.shuffle.partitions``.
+    """
+    if spark.conf.get(INITIAL_PARTITIONS, None) is not None:
+        return
+    conf = spark.sparkContext.getConf()
+    most = int(conf.get("spark.dynamicAllocation.maxExecutors", "0"))
+    cores = max(spark.sparkContext.defaultParallelism, most * int(conf.get("spark.executor.cores", "1")))
+    wanted = max(PARTITIONS_PER_CORE * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+
+
+def stored_once(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the scratch folder and read back, for what several readers share."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
@@ -61,7 +82,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="docflow-")
         spark.sparkContext.setCheckpointDir(root)

@@ -13,15 +13,32 @@ def read_bodies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BODY).json(path)
 
 
-def stream_bodies(spark: SparkSession, path: str, max_files_per_trigger: int) -> DataFrame:
+def stream_bodies(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str | None = None,
+    archive: str | None = None,
+    delete: bool = False,
+) -> DataFrame:
     """Bodies as a stream, with the time of their batch as ``received_at``.
 
+    A batch is bounded by files or by bytes. Files that were read may be moved to the
+    folder ``archive`` or deleted; otherwise the inbox, and with it the listing the
+    driver makes for each batch, grows with every message ever sent.
+
     The messages carry no time of their own, and by the time they are received
     none is ever late: a watermark on it bounds state but drops no message.
     """
+    options = {
+        "maxFilesPerTrigger": max_files_per_trigger,
+        "maxBytesPerTrigger": max_bytes_per_trigger,
+        "cleanSource": "archive" if archive else "delete" if delete else None,
+        "sourceArchiveDir": archive,
+    }
     return (
         spark.readStream.schema(BODY)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .options(**{k: v for k, v in options.items() if v is not None})
         .json(path)
         .select("Body", F.current_timestamp().alias("received_at"))
     )

@@ -6,13 +6,14 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.operators.lookup import OBJECT_KEY, Fetcher
+from docflow.operators.lookup import OBJECT_KEY, OBJECT_PART, Fetcher
 
 BYTES_PER_BATCH = 64 * 1024 * 1024
+READERS = 8
 
 
 def read_objects(spark: SparkSession, path: str, bucket: str, glob: str = "*") -> DataFrame:
@@ -31,6 +32,20 @@ def read_objects(spark: SparkSession, path: str, bucket: str, glob: str = "*") -
     )
 
 
+def object_part(parts: int) -> Column:
+    """Part of a partitioned object table that an object belongs to."""
+    return F.pmod(F.xxhash64(*OBJECT_KEY), F.lit(parts)).cast("int")
+
+
+def save_partitioned(objects: DataFrame, path: str, parts: int) -> None:
+    """Store objects in ``parts`` folders by a hash of their key.
+
+    ``table_fetcher(..., parts=parts)`` then reads only those that a batch names.
+    """
+    rows = objects.withColumn(OBJECT_PART, object_part(parts))
+    rows.repartition(parts, OBJECT_PART).write.mode("overwrite").partitionBy(OBJECT_PART).parquet(path)
+
+
 def save_objects_table(objects: DataFrame, table: str, buckets: int) -> None:
     """Store objects bucketed by (Bucket, Key), so that lookups of notifications
     bucketed or shuffled alike never move the contents again."""
@@ -46,39 +61,70 @@ def store_fetcher(base_uri: str, tasks: int | None = None) -> Fetcher:
     """Lookup of single objects at ``base_uri/Bucket/Key``, one read per row.
 
     For small batches against a large store: the work grows with the notifications
-    and not with what is stored. A missing object gives no row; any other failure
-    fails the task, which Spark retries. The few bytes of the keys would be put
-    into one partition, so they are spread over ``tasks`` (four per core) instead.
+    and not with what is stored. A missing object gives no row. One that cannot be
+    read, or whose key is empty or leaves its bucket, gives a row without content and
+    with an ``error``; only a failing connection fails the task, which Spark retries.
+    The few bytes of the keys would be put into one partition, so they are spread
+    over ``tasks`` (four per core) instead, and each task reads ``READERS`` at once.
     """
 
     def fetch(notifications: DataFrame) -> DataFrame:
         cores = notifications.sparkSession.sparkContext.defaultParallelism
         notifications = notifications.repartition(tasks or 4 * cores, *OBJECT_KEY)
         schema = T.StructType(
-            [*notifications.schema.fields, T.StructField("content", T.BinaryType())]
+            [
+                *notifications.schema.fields,
+                T.StructField("content", T.BinaryType()),
+                T.StructField("error", T.StringType()),
+            ]
         )
+        readers = READERS
+        bytes_per_batch = BYTES_PER_BATCH
+
+        def with_contents(rows, found):
+            contents = pd.Series([c for c, _ in found], index=rows.index, dtype=object)
+            errors = pd.Series([e for _, e in found], index=rows.index, dtype=object)
+            return rows.assign(content=contents, error=errors)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            from concurrent.futures import ThreadPoolExecutor
+
             from pyarrow import fs as arrow_fs
 
             store, root = arrow_fs.FileSystem.from_uri(base_uri)
-            for batch in batches:
-                rows: list[int] = []
-                contents: list[bytes] = []
-                size = 0
-                for row, (bucket, key) in enumerate(zip(batch["Bucket"], batch["Key"])):
-                    try:
-                        with store.open_input_stream(f"{root}/{bucket}/{key}") as stream:
-                            contents.append(stream.read())
-                    except FileNotFoundError:
-                        continue
-                    rows.append(row)
-                    size += len(contents[-1])
-                    if size >= BYTES_PER_BATCH:
-                        yield batch.iloc[rows].assign(content=contents)
-                        rows, contents, size = [], [], 0
-                if rows:
-                    yield batch.iloc[rows].assign(content=contents)
+
+            def read(bucket, key):
+                """Content and error of an object, None if there is none."""
+                if not bucket or not key or "/" in bucket or key.startswith("/"):
+                    return None, "key is empty or leaves the store"
+                if {".", ".."} & {bucket} or ".." in key.split("/"):
+                    return None, "key is empty or leaves the store"
+                try:
+                    with store.open_input_stream(f"{root}/{bucket}/{key}") as stream:
+                        return stream.read(), None
+                except FileNotFoundError:
+                    return None
+                except (ConnectionError, TimeoutError):
+                    raise
+                except OSError as error:
+                    return None, f"{type(error).__name__}: {error}"[:500]
+
+            with ThreadPoolExecutor(readers) as pool:
+                for batch in batches:
+                    rows, found, size = [], [], 0
+                    for at in range(0, len(batch), readers):
+                        some = batch.iloc[at : at + readers]
+                        for row, got in enumerate(pool.map(read, some["Bucket"], some["Key"]), at):
+                            if got is None:
+                                continue
+                            rows.append(row)
+                            found.append(got)
+                            size += len(got[0] or b"")
+                        if size >= bytes_per_batch:
+                            yield with_contents(batch.iloc[rows], found)
+                            rows, found, size = [], [], 0
+                    if rows:
+                        yield with_contents(batch.iloc[rows], found)
 
         return notifications.mapInPandas(run, schema)
 

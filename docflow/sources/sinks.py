@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docflow.operators.lookup import broadcast_if_small, row_bytes
+
 RECEIPT = T.StructType(
     [
         T.StructField("Bucket", T.StringType()),
@@ -38,8 +40,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def latest(rows: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Of outputs written in several batches under one key, the last one.
 
-    Only keys written more than once reach the anti join, and that side is small
-    unless much was reprocessed, so the outputs themselves rarely get shuffled.
+    The keys alone are read first, for those written more than once and their size:
+    up to the broadcast limit they are sent to the outputs, which stay where they are.
+    Beyond it both sides are shuffled, and the rows are the same.
     """
     keys = list(key_cols)
     rewritten = (
@@ -47,8 +50,13 @@ def latest(rows: DataFrame, key_cols: Sequence[str]) -> DataFrame:
         .agg(F.max("batch_id").alias("_newest"), F.min("batch_id").alias("_oldest"))
         .where("_newest > _oldest")
         .select(*keys, "_newest")
-        .alias("newest")
+        .persist()
     )
+    size = rewritten.agg(row_bytes(rewritten)).first()[0]
+    if size == 0:
+        rewritten.unpersist()
+        return rows
+    rewritten = broadcast_if_small(rewritten, size).alias("newest")
     older = F.col("rows.batch_id") < F.col("newest._newest")
     for key in keys:
         older = older & (F.col(f"rows.{key}") == F.col(f"newest.{key}"))

@@ -10,16 +10,20 @@ and gives the same outputs.
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from docflow.functions.envelope import attempt_of
-from docflow.operators.ledger import due, schedule
+from docflow.functions.envelope import attempt_of, topic_of
+from docflow.functions.retry import STEEP_TEXT_MS, STRATEGIES
+from docflow.operators.fanout import subscribed_queues
+from docflow.operators.ledger import due, push_back, schedule
 from docflow.operators.lookup import Fetcher, broadcast_if_small, row_bytes
 from docflow.operators.notifications import (
     accepted,
@@ -29,35 +33,72 @@ from docflow.operators.notifications import (
     quarantined,
 )
 from docflow.operators.pages import Extractor
-from docflow.plans.stages import Stage, failed, pages_needed, prepare, readable, registered
-from docflow.schemas import DEFAULT_VISIBILITY_SECONDS, REDELIVERED, RETRY_LEDGER
+from docflow.plans.stages import (
+    Stage,
+    failed,
+    pages_needed,
+    prepare,
+    readable,
+    registered,
+    run_stages,
+)
+from docflow.schemas import (
+    DEFAULT_VISIBILITY_SECONDS,
+    REDELIVERED,
+    RETRY_LEDGER,
+    STAGE_SUMMARY,
+    TOPIC,
+)
 from docflow.session import scratch_dir
 from docflow.sources.notifications import publish
-from docflow.sources.sinks import read_or_empty, write_batch
+from docflow.sources.sinks import put_objects, read_or_empty, write_batch
 from docflow.streaming.dedup import dedup_stream
 
 QUARANTINE_DIR = "quarantine"
 LEDGER_DIR = "retry_ledger"
 REDELIVERED_DIR = "redelivered"
+RECEIPTS_DIR = "stored"
+SUMMARY_DIR = "summary"
 
 
 DEFAULT_VISIBILITY = f"{DEFAULT_VISIBILITY_SECONDS} seconds"
 
 
+@dataclass(frozen=True)
+class RetryPolicy:
+    """Delay curve of failed messages; ``base_ms`` matters for the exponential one."""
+
+    strategy: str = "exponential"
+    base_ms: int = STEEP_TEXT_MS
+    reset: bool = True
+
+    def __post_init__(self) -> None:
+        if self.strategy not in STRATEGIES:
+            warnings.warn(f"no retry strategy {self.strategy!r}: delays are linear", stacklevel=2)
+
+    def options(self) -> dict:
+        return {"base_ms": self.base_ms, "reset": self.reset}
+
+
 @dataclass(frozen=True)
 class StreamConfig:
     """Settings of one run.
 
     ``poll_interval`` None means: read what is there, then stop. ``dedup_within``
     (say ``DEFAULT_VISIBILITY``) keeps state to drop copies that come in a later
-    batch; without it they are processed again and replace equal outputs.
+    batch; without it they are processed again and replace equal outputs. Bodies of
+    outputs are also stored as objects below the URI ``put``, if it is given. With
+    ``subscriptions``, pairs of topic and queue, a stage gets the messages of the
+    topics its queue is subscribed to; without them every stage gets all.
     """
 
     name: str = "docflow"
     stages: tuple[str, ...] = ("text", "previews")
     poll_interval: str | None = None
     dedup_within: str | None = None
-    retry_strategy: str = "exponential"
+    retry: RetryPolicy = RetryPolicy()
+    put: str | None = None
+    subscriptions: tuple[tuple[str, str], ...] | None = None
 
 
 def stage_dir(out: str, stage: str) -> str:
@@ -71,10 +112,14 @@ def process_batch(
     fetch: Fetcher,
     stages: Sequence[Stage],
     extract: Extractor | None = None,
-    retry_strategy: str = "exponential",
+    retry: RetryPolicy = RetryPolicy(),
     now: datetime | None = None,
+    put: str | None = None,
 ) -> None:
-    """Look up, run every stage and write all outputs of one batch of decoded bodies."""
+    """Look up, run every stage and write all outputs of one batch of decoded bodies.
+
+    With a ``queues`` column a stage gets the documents of messages to its queue.
+    """
     now = now or datetime.now(timezone.utc)
     decoded = decoded.persist()
     prepared = None
@@ -83,18 +128,32 @@ def process_batch(
             F.count(F.lit(1)), F.count("reason"), row_bytes(accepted(decoded))
         ).first()
         if bad:
-            write_batch(quarantined(decoded), f"{out}/{QUARANTINE_DIR}", batch_id)
+            write_batch(quarantined(decoded).drop("queues"), f"{out}/{QUARANTINE_DIR}", batch_id)
         if rows == bad:
             return
+        spark = decoded.sparkSession
         targets = broadcast_if_small(distinct_targets(accepted(decoded)), size)
         # Each stage and the ledger read this; it is looked up and cut only once.
         prepared = prepare(targets, fetch, extract, pages_needed(stages)).persist()
-        docs = readable(prepared)
-        for stage in stages:
-            write_batch(docs.transform(stage.process), stage_dir(out, stage.name), batch_id)
         failures = failed(targets, prepared)
-        if not failures.isEmpty():
-            record_failures(failures, batch_id, out, retry_strategy, now)
+        n_failed = failures.count()
+        counts = []
+        for name, outputs in run_stages(readable(prepared), stages).items():
+            stage = next(s for s in stages if s.name == name)
+            write_batch(outputs, stage_dir(out, name), batch_id)
+            done = spark.read.schema(outputs.schema).parquet(f"{stage_dir(out, name)}/batch_id={batch_id}")
+            stored = 0
+            if put and stage.body:
+                # Reading the receipts writes the objects; a replay writes them again alike.
+                receipts = f"{out}/{RECEIPTS_DIR}_{name}"
+                write_batch(put_objects(done, put, stage.body), receipts, batch_id)
+                stored = spark.read.parquet(f"{receipts}/batch_id={batch_id}").count()
+            n, size = done.agg(F.count(F.lit(1)), F.sum("content_length")).first()
+            counts.append((name, rows, bad, n_failed, n, size or 0, stored))
+        if n_failed:
+            record_failures(failures, batch_id, out, retry, now)
+        summary = T.StructType(STAGE_SUMMARY.fields[:-1])
+        write_batch(spark.createDataFrame(counts, summary).coalesce(1), f"{out}/{SUMMARY_DIR}", batch_id)
     finally:
         if prepared is not None:
             prepared.unpersist()
@@ -102,20 +161,27 @@ def process_batch(
 
 
 def record_failures(
-    failures: DataFrame, batch_id: int, out: str, strategy: str, now: datetime
+    failures: DataFrame, batch_id: int, out: str, retry: RetryPolicy, now: datetime
 ) -> None:
     """Move failed messages to the ledger, one attempt further than before.
 
-    Only batches before this one count, so a replay gives the same attempts.
+    Attempts are counted by message: another message about the same object starts
+    from one. Only batches before this one count, so a replay gives the same attempts,
+    and only the ledger's rows of these messages are aggregated.
     """
     path = f"{out}/{LEDGER_DIR}"
+    failures = failures.withColumn("_id", delivery_id())
+    ids = failures.select("_id").distinct()
+    size = ids.agg(row_bytes(ids)).first()[0]
     before = (
         read_or_empty(failures.sparkSession, path, RETRY_LEDGER)
         .where(F.col("batch_id") < batch_id)
-        .groupBy("Bucket", "Key")
+        .select(delivery_id().alias("_id"), "attempt")
+        .join(broadcast_if_small(ids, size), "_id", "left_semi")
+        .groupBy("_id")
         .agg(F.max("attempt").alias("_tried"))
     )
-    rows = failures.join(before, ["Bucket", "Key"], "left").select(
+    rows = failures.join(before, "_id", "left").select(
         "uid",
         "Bucket",
         "Key",
@@ -123,7 +189,25 @@ def record_failures(
         "reason",
         F.lit(now).alias("last_attempt_at"),
     )
-    write_batch(schedule(rows, "last_attempt_at", strategy), path, batch_id)
+    planned = schedule(rows, "last_attempt_at", retry.strategy, **retry.options())
+    write_batch(planned, path, batch_id)
+
+
+def delay(spark: SparkSession, out: str, messages: DataFrame, seconds: int) -> None:
+    """Keep failed messages, named by their ``uid``, back for ``seconds`` after their last attempt."""
+    ledger = latest_attempts(read_or_empty(spark, f"{out}/{LEDGER_DIR}", RETRY_LEDGER))
+    asked = ledger.join(messages.select("uid").distinct(), "uid", "left_semi")
+    columns = [c for c in RETRY_LEDGER.fieldNames() if c != "batch_id"]
+    rows = push_back(asked, seconds).select(*columns)
+    rows.write.mode("append").parquet(f"{out}/{LEDGER_DIR}/batch_id=-1")
+
+
+def latest_attempts(ledger: DataFrame) -> DataFrame:
+    """The last entry of each message; of one attempt, that with the latest time."""
+    columns = [c for c in RETRY_LEDGER.fieldNames() if c != "batch_id"]
+    order = F.struct("attempt", "next_attempt_at")
+    last = ledger.groupBy(delivery_id().alias("_id")).agg(F.max_by(F.struct(*columns), order).alias("_last"))
+    return last.select("_last.*")
 
 
 def start(
@@ -146,11 +230,16 @@ def start(
         )
         decoded = dedup_stream(decoded, "_id", "received_at", config.dedup_within).drop("_id")
 
+    if config.subscriptions is not None:
+        topic = F.coalesce(topic_of("Body"), F.lit(TOPIC))
+        decoded = decoded.withColumn("queues", subscribed_queues(topic, config.subscriptions))
     # Only a body that could not be read is needed any further.
     decoded = decoded.withColumn("Body", F.when(F.col("reason").isNotNull(), F.col("Body")))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, out, fetch, stages, extract, config.retry_strategy)
+        process_batch(
+            batch, batch_id, out, fetch, stages, extract, config.retry, put=config.put
+        )
 
     writer = (
         decoded.drop("received_at")
@@ -175,16 +264,11 @@ def redeliver(spark: SparkSession, out: str, inbox: str, now: datetime | None =
         spark.sparkContext.setCheckpointDir(scratch_dir(spark, "redeliver"))
     ledger = read_or_empty(spark, f"{out}/{LEDGER_DIR}", RETRY_LEDGER)
     done = read_or_empty(spark, f"{out}/{REDELIVERED_DIR}", REDELIVERED)
-    last = (
-        ledger.groupBy("Bucket", "Key")
-        .agg(F.max(F.struct("attempt", "next_attempt_at", "uid")).alias("_last"))
-        .select("Bucket", "Key", "_last.*")
-    )
-    ready = due(last, now).join(
-        done.select("Bucket", "Key", "attempt"), ["Bucket", "Key", "attempt"], "left_anti"
-    )
+    sent = done.select(delivery_id().alias("_id"), "attempt")
+    ready = due(latest_attempts(ledger), now).withColumn("_id", delivery_id())
+    ready = ready.join(sent, ["_id", "attempt"], "left_anti")
     ready = ready.checkpoint()
     publish(ready.select("uid", "Bucket", "Key", "attempt"), inbox)
-    ready.select("Bucket", "Key", "attempt").write.mode("overwrite").parquet(
+    ready.select("uid", "Bucket", "Key", "attempt").write.mode("overwrite").parquet(
         f"{out}/{REDELIVERED_DIR}/run_id={run_id}"
     )

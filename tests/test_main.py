@@ -50,3 +50,44 @@ def test_max_pages_is_checked(spark, tmp_path):
             ["run", "--inbox", "i", "--out", "o", "--checkpoint", "c", "--store", "s", "--max-pages", "0"],
             spark,
         )
+
+
+READER = """
+def open_document(content):
+    pages = content.decode().split("\\f")
+    return len(pages), ([page] for page in pages)
+
+
+def draw(text):
+    if "bad" in text:
+        raise ValueError(text)
+    return text.upper().encode()
+"""
+
+
+def test_own_reader_and_renderer_and_stored_objects(spark, tmp_path):
+    (tmp_path / "form_feeds.py").write_text(READER)
+    # Makes the module known to the driver and to the workers.
+    spark.sparkContext.addPyFile(str(tmp_path / "form_feeds.py"))
+    store, inbox, out = tmp_path / "store", tmp_path / "inbox", tmp_path / "out"
+    (store / "b").mkdir(parents=True)
+    (store / "b" / "one.pdf").write_text("first\fbad page\flast")
+    (store / "b" / "two.pdf").write_bytes(b"\xff\xfe")
+    main(["publish", "--store", str(store / "b"), "--bucket", "b", "--inbox", str(inbox)], spark)
+    main(
+        [
+            "run", "--inbox", str(inbox), "--out", str(out), "--checkpoint", str(tmp_path / "c"),
+            "--store", store.as_uri(), "--max-pages", "all", "--put", (tmp_path / "put").as_uri(),
+            "--extractor", "form_feeds:open_document", "--renderer", "form_feeds:draw",
+        ],
+        spark,
+    )
+    put = tmp_path / "put" / "b"
+    assert (put / "text-parsed" / "one.pdf").read_text() == "firstbad pagelast"
+    assert sorted(p.name for p in (put / "image-parsed" / "one.pdf").iterdir() if p.suffix == ".png") == ["1.png", "3.png"]
+    assert (put / "image-parsed" / "one.pdf" / "3.png").read_text() == "LAST"
+    failed = spark.read.parquet(str(out / "retry_ledger")).collect()
+    assert [(r.Key, r.reason.split(":")[0]) for r in failed] == [("two.pdf", "UnicodeDecodeError")]
+    summary = {r.stage: r for r in spark.read.parquet(str(out / "summary")).collect()}
+    assert (summary["text"].messages, summary["text"].failed, summary["text"].outputs) == (2, 1, 1)
+    assert (summary["previews"].outputs, summary["previews"].objects_stored) == (2, 2)

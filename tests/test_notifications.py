@@ -53,6 +53,17 @@ def body(message):
         (body(json.dumps({"uid": "u", "Key": "k"})), "message has no Bucket"),
         (body(json.dumps({"Bucket": "b", "Key": "k"})), None),
         (body(json.dumps({"uid": None, "Bucket": "b", "Key": "k"})), None),
+        (body(json.dumps({"uid": 5, "Bucket": "b", "Key": "k"})), None),
+        ('{"Message":"x","Message":' + json.dumps(json.dumps(NOTE)) + "}", None),
+        (body('{"Key":"a","Key":"k","Bucket":"b"}'), None),
+        (body(json.dumps({"Bucket": "b", "Key": ""})), "Key is no text or empty"),
+        (body(json.dumps({"Bucket": "b", "Key": {"x": 1}})), "Key is no text or empty"),
+        (body(json.dumps({"Bucket": "", "Key": "k"})), "Bucket is no text or empty"),
+        (body(json.dumps({"Bucket": ["b"], "Key": "k"})), "Bucket is no text or empty"),
+        (body(json.dumps({"Bucket": "b", "Key": "../../secret"})), "Key leaves the store"),
+        (body(json.dumps({"Bucket": "b", "Key": "a/../../s"})), "Key leaves the store"),
+        (body(json.dumps({"Bucket": "..", "Key": "k"})), "Key leaves the store"),
+        (body(json.dumps({"Bucket": "b", "Key": "a..b/c"})), None),
     ],
 )
 def test_reasons(spark, text, reason):

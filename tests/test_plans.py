@@ -7,8 +7,13 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from docflow.operators.lookup import table_fetcher
 from docflow.plans.queries import QUERIES
+from docflow.sources.objects import save_partitioned
+from docflow.sources.sinks import read_batches, write_batch
 
 
 def plan_of(df) -> str:
@@ -58,13 +63,59 @@ def test_page_limit_runs_before_the_shuffle(spark, sf_dir):
 
 
 def test_filters_reach_the_scan(spark, sf_dir):
-    assert "EqualTo(event_type,error)" in plan_of(QUERIES["retry_schedule"](spark, sf_dir))
     assert "Not(EqualTo(lang,fr))" in plan_of(QUERIES["fetch_objects"](spark, sf_dir))
 
 
-@pytest.mark.parametrize("name", ["page_text", "sticky_success", "previews_rendered"])
+@pytest.mark.parametrize("name", ["extract_text", "page_text", "sticky_success", "previews_rendered"])
 def test_text_is_split_once(spark, sf_dir, name):
-    assert plan_of(QUERIES[name](spark, sf_dir)).count("split(text") == 1
+    assert plan_of(QUERIES[name](spark, sf_dir)).count("split(") == 1
+
+
+@pytest.mark.parametrize("name", ["page_stats", "output_keys", "preview_manifest"])
+def test_pages_are_counted_once_and_without_splitting(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert "split(" not in plan and plan.count("replace(text") == 1
+
+
+def test_bodies_are_parsed_once(spark, sf_dir):
+    plan = plan_of(QUERIES["decode_notification"](spark, sf_dir))
+    assert plan.count("from_json") == 2
+
+
+def test_shared_work_of_stages_is_done_once(spark, sf_dir):
+    plan = plan_of(QUERIES["run_stages"](spark, sf_dir))
+    assert "from_json" not in plan and "split(" not in plan and "documents.parquet" not in plan
+
+
+def test_only_parts_of_a_batch_are_read(spark, tmp_path):
+    rows = [("b", f"k{i}", f"text {i}") for i in range(200)]
+    objects = spark.createDataFrame(rows, "Bucket string, Key string, content string")
+    save_partitioned(objects, f"{tmp_path}/objects", 16)
+    fetch = table_fetcher(lambda: spark.read.parquet(f"{tmp_path}/objects"), parts=16)
+    asked = spark.createDataFrame([("u", "b", "k7"), ("v", "b", "none")], "uid string, Bucket string, Key string")
+    found = fetch(asked)
+    assert [(r.Key, r.content) for r in found.collect()] == [("k7", "text 7")]
+    assert re.search(r"PartitionFilters: \[object_part#\d+ (IN|=)|PartitionFilters: \[.*object_part", plan_of(found))
+
+
+def test_rewritten_outputs_do_not_move_the_others(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    rows = spark.range(3000).select(
+        F.lit("b").alias("Bucket"), F.concat(F.lit("k"), "id").alias("output_key"), F.repeat(F.lit("x"), 500).alias("text")
+    )
+    write_batch(rows, path, 0)
+    write_batch(rows.where("output_key IN ('k1', 'k2')"), path, 1)
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = read_batches(spark, path, schema, ["Bucket", "output_key"])
+        assert kept.count() == 3000
+        plan = plan_of(kept)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan.split(
+            "InMemoryRelation")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 @pytest.mark.parametrize("name", QUERIES)

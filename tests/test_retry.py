@@ -21,7 +21,7 @@ def wrap(n):
 
 
 def fibonacci(n):
-    a, b = 1, 1
+    a, b = 1.0, 1.0
     for _ in range(n):
         a, b = b, a + b
     return a
@@ -35,7 +35,23 @@ def test_linear(spark):
 def test_fibonacci(spark):
     assert delays(spark, "fibonacci") == [fibonacci(wrap(n)) * 1000 for n in ATTEMPTS]
     assert delays(spark, "fibonacci", [0, 1, 2, 3, 4]) == [1000, 1000, 2000, 3000, 5000]
-    assert delays(spark, "fibonacci", [11, 77, 78], reset=False) == [144000] + [fibonacci(77) * 1000] * 2
+    tries = [11, 58, 59, 77, 78, 200, 1400]
+    assert delays(spark, "fibonacci", tries, reset=False) == [fibonacci(n) * 1000.0 for n in tries]
+    assert delays(spark, "fibonacci", [1476, 10**12], reset=False) == [float("inf")] * 2
+    assert delays(spark, "fibonacci", [None], reset=False) == [None]
+
+
+def test_schedule_never_fails(spark):
+    at = datetime(2024, 1, 1)
+    tries = [57, 58, 59, 60, 77, 78, 200, 1500]
+    rows = [(n, "x", at) for n in tries]
+    df = spark.createDataFrame(rows, "attempt long, reason string, last_attempt_at timestamp_ntz")
+    planned = schedule(df, "last_attempt_at", "fibonacci", reset=False)
+    got = {r.attempt: (r.late, r.reason) for r in planned.selectExpr(
+        "attempt", "next_attempt_at > timestamp_ntz'9000-01-01' AS late", "reason").collect()}
+    assert set(got) == set(tries)
+    assert got[57] == got[59] == (True, "x")
+    assert got[78][0] is None and got[1500][0] is None and got[78][1].startswith("x; ")
 
 
 @pytest.mark.parametrize("base", [2000, 1000])

@@ -111,7 +111,7 @@ def test_bad_bodies_go_to_quarantine(spark, tmp_path, objects, within):
 @pytest.mark.parametrize("within", [None, "10 minutes"])
 def test_missing_object_comes_back_until_it_is_there(spark, tmp_path, objects, within):
     out, inbox = f"{tmp_path}/out", f"{tmp_path}/inbox"
-    config = {"stages": ("text",), "retry_strategy": "linear", "dedup_within": within}
+    config = {"stages": ("text",), "retry": runner.RetryPolicy("linear"), "dedup_within": within}
     partial = objects.where("Key <> 'k5'")
     send(spark, inbox, ["k4", "k5"])
     run(spark, tmp_path, partial, **config)
@@ -170,7 +170,7 @@ def test_unreadable_document_goes_to_the_ledger(spark, tmp_path, objects):
     run(spark, tmp_path, objects, python_extractor(open_document), stages=("text",))
     assert set(texts(spark, tmp_path)) == {"k1"}
     rows = read_or_empty(spark, f"{tmp_path}/out/{runner.LEDGER_DIR}", RETRY_LEDGER).collect()
-    assert [(r.Key, r.reason) for r in rows] == [("k7", "document is unreadable")]
+    assert [(r.Key, r.reason) for r in rows] == [("k7", "ValueError: unreadable")]
 
 
 def test_replayed_batch_replaces_what_it_wrote(spark, tmp_path, objects):
