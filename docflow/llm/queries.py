@@ -126,4 +126,51 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_neighbours": op10_neighbours,
 }
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op5_near_duplicates": rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+shingles AS (
+  SELECT doc_id, unnest(list_distinct(CASE
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+    ELSE [] END)) AS g
+  FROM words
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * c >= 85 * (a.n + b.n - c)
+),
+edges AS (SELECT x AS u, y AS v FROM links UNION ALL SELECT y, x FROM links),
+reached(u, v) AS (
+  SELECT DISTINCT u, u FROM edges
+  UNION SELECT r.u, e.v FROM reached r JOIN edges e ON e.u = r.v
+),
+least AS (SELECT u, min(v) AS c FROM reached GROUP BY u)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.c, d.doc_id) AS component_id,
+       coalesce(l.c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.u = d.doc_id""",
+    "op7_chat": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+-- A marker behind each of three signs; 12, 10 and 11 characters of control strings.
+sized AS (
+  SELECT *, 33 + length(r || t) + length(regexp_replace(r || t, '[^\<\[]', '', 'g')) AS chars FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+       CAST(coalesce(sum(length(t)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id""",
+}

@@ -4,24 +4,7 @@ import random
 
 import pytest
 
-ODD_TEXTS = [
-    None,
-    "",
-    "   \n\t",
-    "One",
-    "one  TWO\nthree",
-    "Äöü ß ΑΣ İstanbul don't 5's <|endoftext|> </s>[INST] \\ [x] <y>",
-    "\x00\x1c odd\x85spaces here\xa0too",
-    "漢字 and 🙂 emoji",
-    "word " * 30_000,
-    "x" * 50_000,
-]
-
-
-def words(rng, n):
-    parts = ["al", "be", "ce", "du", "el", "fo", "gi", "ha"]
-    return " ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(n))
-
+from conftest_llm import ODD_TEXTS, words
 
 @pytest.fixture(scope="session")
 def corpus():

@@ -4,6 +4,19 @@ from __future__ import annotations
 
 import re
 
+ODD_TEXTS = [
+    None,
+    "",
+    "   \n\t",
+    "One",
+    "one  TWO\nthree",
+    "Äöü ß ΑΣ İstanbul don't 5's <|endoftext|> </s>[INST] \\ [x] <y>",
+    "\x00\x1c odd\x85spaces here\xa0too",
+    "漢字 and 🙂 emoji",
+    "word " * 30_000,
+    "x" * 50_000,
+]
+
 UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -32,3 +45,8 @@ def brute_components(nodes, edges):
                 name[a] = name[b] = least
                 changed = True
     return name
+
+
+def words(rng, n):
+    parts = ["al", "be", "ce", "du", "el", "fo", "gi", "ha"]
+    return " ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(n))

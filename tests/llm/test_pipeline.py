@@ -9,8 +9,8 @@ import duckdb
 import numpy as np
 import pytest
 
-from conftest import ODD_TEXTS
-from conftest_llm import brute_components, word_list, word_set
+from compare import assert_same, connect
+from conftest_llm import ODD_TEXTS, brute_components, word_list, word_set
 from docflow.llm.queries import ORACLES, QUERIES
 
 SOUNDS = {"aa": ["ka", "ta", "ra", "mo"], "bb": ["ou", "ei", "il", "un"]}
@@ -101,3 +101,8 @@ def test_held_out_accuracy_and_likelihood(spark, sf_dir):
     assert sum(r.rejected for r in got.values()) <= 1
     scored = [r for r in QUERIES["op6_suffix_tree"](spark, sf_dir).collect() if r.held_out]
     assert sum(r.score for r in scored) > sum(r.base_score for r in scored)
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_equals_its_sql(spark, sf_dir, name):
+    assert assert_same(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) > 0

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import random
-
 from collections import Counter
 
 import numpy as np
@@ -12,8 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ODD_TEXTS, words
-from conftest_llm import word_list
+from conftest_llm import ODD_TEXTS, word_list, words
 from docflow.llm import decontaminate as dc
 from docflow.llm import langid, suffixtree
 
