@@ -146,17 +146,23 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Co
     """Learn centroids from labelled rows; rows without text, letters or language are left out.
 
     Each language is clustered in a task of its own from ``SAMPLE`` rows at
-    most, taken in the order of ``order`` (default: a hash of the text). An
+    most, those of least ``order``, a 64-bit hash (default: of the text). An
     empty table gives a model that rejects everything.
     """
     rank = F.xxhash64(F.col(text_col)) if order is None else order
     labelled = df.select(
         F.col(lang_col).cast("string").alias("lang"), F.lower(text_col).alias("text"), rank.alias("rank")
     ).where(F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & F.col("text").rlike(r"\p{L}"))
-    # Ranks alone are compared; whole texts are read for the chosen ones only.
-    best = W.partitionBy("lang").orderBy("rank")
+    # Ranks alone are compared; whole texts are read for the chosen ones only. Ranks
+    # are uniform, so a share of them that follows from their number holds the first
+    # SAMPLE, and some thousand rows a language are sorted however many there are.
     ranks = labelled.select("lang", "rank").distinct()
-    chosen = ranks.withColumn("place", F.row_number().over(best)).where(F.col("place") <= SAMPLE)
+    totals = ranks.groupBy("lang").agg(F.count("*").alias("total"))
+    place = (F.col("rank").cast("double") + 2.0**63) / 2.0**64
+    near = ranks.join(totals, "lang").where(place * F.col("total") <= 4 * SAMPLE)
+    best = W.partitionBy("lang").orderBy("rank")
+    chosen = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= SAMPLE)
+    chosen = chosen.select("lang", "rank")
     texts = labelled.join(chosen, ["lang", "rank"]).dropDuplicates(["lang", "rank"]).select("lang", "text")
     spread = texts.repartition(df.sparkSession.sparkContext.defaultParallelism)
     counted = spread.mapInArrow(_count_texts, "lang string, slots array<int>, counts array<long>").persist()
