@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docflow.llm.common import fresh, ship
+from docflow.llm.common import broadcast_if_small, fresh, ship, written
 from docflow.llm.words import flat, groups
 
 UNKNOWN = "und"
@@ -162,7 +162,8 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Co
     near = ranks.join(totals, "lang").where(place * F.col("total") <= 4 * SAMPLE)
     best = W.partitionBy("lang").orderBy("rank")
     chosen = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= SAMPLE)
-    chosen = chosen.select("lang", "rank")
+    # SAMPLE rows a language: texts stay where they are.
+    chosen = broadcast_if_small(written(chosen.select("lang", "rank"), "chosen"), 64)
     texts = labelled.join(chosen, ["lang", "rank"]).dropDuplicates(["lang", "rank"]).select("lang", "text")
     spread = texts.repartition(df.sparkSession.sparkContext.defaultParallelism)
     counted = spread.mapInArrow(_count_texts, "lang string, slots array<int>, counts array<long>").persist()
