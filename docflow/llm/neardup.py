@@ -7,8 +7,11 @@ buckets. A bucket of n sets gives n - 1 candidate edges, from one centre to the
 others; edges are confirmed on the full sets. The centre is the set that shares
 most buckets, which of edited copies is the one least edited.
 
-Sets of buckets that still hold several components are hashed again into longer
-and more bands, whose buckets part what is merely alike. There, one centre after
+Sets of buckets that still hold several components are first counted: what a set
+has in common with one of another component is bounded by how many of its
+shingles occur in other components, and pairs that cannot reach the threshold by
+that bound are never made. The rest is hashed again into longer and more bands, whose buckets
+part what is merely alike. There, one centre after
 the other is compared with the sets of other components, until every pair of one
 bucket was compared or belongs to one component. So no candidate is dropped, and
 pair counts stay near the number of bucket members.
@@ -31,9 +34,11 @@ from docflow.llm.common import broadcast_if_small, ship, written
 from docflow.llm.graph import joined_components
 from docflow.llm.words import hashed, mix, shingle_sets
 
-ROWS_PER_BAND, ROWS_PER_FINE_BAND = 5, 16
+ROWS_PER_BAND, ROWS_PER_FINE_BAND = 5, 20
 # Chance to miss a pair at the threshold in every band.
 MISS = 1e-7
+# Signature bins held at once, so that memory does not follow the number of bands.
+HELD_BINS = 1 << 19
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"
 
 
@@ -92,9 +97,11 @@ def _sketch(width: int, bands: int, rows: int) -> Callable:
                     two = [mix(s ^ np.uint64(0xA24BAED4963EE407)).sum(dtype=np.uint64) for s in sets]
                 some = [r for r, s in enumerate(sets) if len(s)]
                 keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(sets)
-                if some:
-                    made = band_keys(signatures([sets[r] for r in some], bands * rows), bands)
-                    for r, k in zip(some, made, strict=True):
+                step = max(1, HELD_BINS // (bands * rows))
+                for at in range(0, len(some), step):
+                    part = some[at : at + step]
+                    made = band_keys(signatures([sets[r] for r in part], bands * rows), bands)
+                    for r, k in zip(part, made, strict=True):
                         keys[r] = k
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -115,7 +122,7 @@ def _sets(width: int) -> Callable:
         for batch in batches:
             for i, j, hashes, counts in hashed(batch.column(1)):
                 sets = _as_lists(shingle_sets(hashes, counts, width))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), sets], ["id", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), sets], ["node", "shingles"])
 
     return run
 
@@ -129,39 +136,54 @@ def _texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The candidate pairs whose full sets are similar enough."""
     ends = pairs.select("a").unionAll(pairs.select("b"))
-    sets = _texts_of(ends, docs).mapInArrow(_sets(width), "id long, shingles array<long>")
+    sets = _texts_of(ends, docs).mapInArrow(_sets(width), "node long, shingles array<long>")
     sets = written(sets, "sets")
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     common = F.size(F.array_intersect("set_a", "set_b"))
     both = F.size("set_a") + F.size("set_b") - common
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
     return joined.where(100 * common >= percent * both).select("a", "b")
 
 
+def _most_in_common(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, n, most): sizes of sets, and how many of their shingles a set of another component has too."""
+    sets = _texts_of(nodes, docs).mapInArrow(_sets(width), "node long, shingles array<long>")
+    every = sets.join(nodes, "node").select("node", "comp", F.explode("shingles").alias("shingle"))
+    every = written(every, "shingles")
+    spread = every.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    shared = every.join(spread.where("low != high").select("shingle"), "shingle", "left_semi")
+    most = shared.groupBy("node").agg(F.count("*").alias("most"))
+    return every.groupBy("node").agg(F.count("*").alias("n")).join(most, "node")
+
+
 def _members(sketched: DataFrame) -> DataFrame:
-    """(bucket, node, n) of buckets with two members at least, from (node, n, buckets)."""
-    every = written(sketched.select(F.explode("buckets").alias("bucket"), "node", "n"), "buckets")
+    """(bucket, node, n, most) of buckets with two members at least, from (node, n, most, buckets)."""
+    every = written(sketched.select(F.explode("buckets").alias("bucket"), "node", "n", "most"), "buckets")
     shared = every.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
     return written(every.join(shared, "bucket"), "members")
 
 
 def _candidates(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of a centre and another member of its bucket whose sizes allow the similarity."""
-    c = centres.select("bucket", F.col("node").alias("c"), F.col("n").alias("n_c"), F.col("comp").alias("comp_c"))
-    pairs = members.join(c, "bucket").where("node != c AND comp != comp_c")
-    pairs = pairs.where(100 * F.least("n", "n_c") >= percent * F.greatest("n", "n_c"))
-    return pairs.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+    """Distinct pairs of a centre and another member of its bucket that may be similar enough.
+
+    ``most`` bounds what a set has in common with any other one.
+    """
+    c = centres.select("bucket", *(F.col(x).alias(f"{x}_c") for x in ("node", "n", "most", "comp")))
+    pairs = members.join(c, "bucket").where("node != node_c AND comp != comp_c")
+    common = F.least("most", "most_c")
+    pairs = pairs.where((100 + percent) * common >= percent * (F.col("n") + F.col("n_c")))
+    return pairs.select(F.least("node", "node_c").alias("a"), F.greatest("node", "node_c").alias("b")).distinct()
 
 
 def _hubs(members: DataFrame) -> DataFrame:
     """The member of each bucket that has the most company in all its buckets."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
     company = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("company"))
-    best = F.max(F.struct("company", (-F.col("node")).alias("rank"), "n")).alias("m")
+    best = F.max(F.struct("company", (-F.col("node")).alias("rank"), "n", "most")).alias("m")
     ranked = members.join(company, "node").groupBy("bucket").agg(best)
     node = -F.col("m.rank")
-    return ranked.select("bucket", node.alias("node"), F.col("m.n").alias("n"), node.alias("comp"))
+    return ranked.select("bucket", node.alias("node"), "m.n", "m.most", node.alias("comp"))
 
 
 def _open(members: DataFrame, centres: DataFrame, comps: DataFrame) -> DataFrame:
@@ -185,19 +207,22 @@ def _linked(members: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     members = members.withColumn("comp", F.col("node"))
     pairs = written(_candidates(members, hubs, percent), "pairs")
     comps = joined_components(None, written(_confirmed(pairs, docs, width, percent), "links"))
-    nodes = _open(members, hubs, comps).select("node")
+    nodes = _open(members, hubs, comps).select("node", "comp").distinct()
     if nodes.isEmpty():
         return comps
     bands = bands_for(percent, ROWS_PER_FINE_BAND)
-    again = _texts_of(nodes, docs).mapInArrow(_sketch(width, bands, ROWS_PER_FINE_BAND), SKETCH)
-    members = _members(again.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "buckets"))
+    bound = _most_in_common(nodes, docs, width)
+    bound = written(bound.where(100 * F.col("most") >= percent * F.col("n")), "bounds")
+    again = _texts_of(bound, docs).mapInArrow(_sketch(width, bands, ROWS_PER_FINE_BAND), SKETCH)
+    again = again.select(F.col("doc_id").alias("node"), "buckets")
+    members = _members(again.join(bound, "node"))
     members = _open(members, members.limit(0), comps)
     wanted = 1
     while not members.isEmpty():
         one_in = F.ceil(F.col("size") / wanted)
         chance = F.pmod(F.xxhash64("bucket", "node", F.lit(wanted)), one_in)
         centres = members.where((chance == 0) | (F.col("node") == F.col("first")))
-        members = members.select("bucket", "node", "n", "comp")
+        members = members.select("bucket", "node", "n", "most", "comp")
         pairs = written(_candidates(members, centres, percent), "pairs")
         if not pairs.isEmpty():
             links = written(_confirmed(pairs, docs, width, percent), "links")
@@ -235,7 +260,12 @@ def near_duplicates(
     )
     classes = written(classes, "classes")
     members = _members(
-        classes.select(F.col("class").alias("node"), F.col("n_shingles").alias("n"), "buckets")
+        classes.select(
+            F.col("class").alias("node"),
+            F.col("n_shingles").alias("n"),
+            F.col("n_shingles").alias("most"),
+            "buckets",
+        )
     )
     linked = _linked(members, docs, width, percent)
     names = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").select(
