@@ -9,18 +9,22 @@ is smoothed by the next shorter one (Witten-Bell), down to a uniform one; each
 byte is scored from its longest state.
 
 Counting covers all training texts, in one pass, with partial counts in each
-task. Transitions enter the tree from the count down at which they number
-``ENTRIES`` at most, so it can be sent to all tasks; what stays out is left to
-shorter contexts. Word counts for the unigram base are joined: the ``FREQUENT``
-most frequent words are sent to all tasks, all others by a shuffle.
+task. The tree holds every state that the test keeps, so it grows with the
+texts. It is sent in blocks of some ``ENTRIES`` transitions: ranges of contexts
+read backwards, which hold all states that a gram can need. A task takes a chunk
+of its texts through one block after the other and holds one block at a time.
+Word counts for the unigram base are joined: the ``FREQUENT`` most frequent words
+are sent to all tasks, all others by a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +38,7 @@ SYMBOLS = 256 - 6 + 2
 SEPARATOR, CLOSE = 32, 10
 WORD, GRAM, CLOSED = 0, 1, 2
 HELD_COUNTS = 1 << 20
+CHUNK = 1 << 23
 
 
 def spell(data: np.ndarray, edges: np.ndarray, lead: np.ndarray, close: bool) -> tuple:
@@ -171,8 +176,17 @@ def _diverging(moves: DataFrame, states: DataFrame, shorter: DataFrame, shorter_
     return tested.where(F.col("gain") >= 0.5 * F.col("kinds") * F.log(F.col("all"))).drop("gain")
 
 
-def grow_tree(grams: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each context length: contexts, their back-off weights, transitions, their shares."""
+def places(context: Column) -> Column:
+    """A context read backwards, its last byte first, as a number of ``DEPTH`` bytes.
+
+    In this order a context stands before all longer ones that end with it.
+    """
+    byte = [F.shiftright(context, 8 * k).bitwiseAND(F.lit(255)) for k in range(DEPTH)]
+    return sum((F.shiftleft(b, 8 * (DEPTH - 1 - k)) for k, b in enumerate(byte)), F.lit(0).cast("long"))
+
+
+def grow(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(length, place, context, back) of all states, (length, place, move, share) of all their transitions."""
     levels: list[tuple[DataFrame, DataFrame]] = []
     moves = grams.select(F.col("key").alias("move"), "n")
     for length in range(DEPTH, -1, -1):
@@ -182,27 +196,51 @@ def grow_tree(grams: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray
         moves = written(moves.withColumn("context", F.shiftright("move", 8)), "moves")
         states = moves.groupBy("context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
         levels.insert(0, (moves, written(states, "states")))
-    counts = levels[0][0].select("n")
-    for moves, _ in levels[1:]:
-        counts = counts.unionAll(moves.select("n"))
-    least = least_count(counts, ENTRIES) or 1
-    tree = []
+    backs, shares = [], []
+    weight = F.col("all") + F.col("kinds")
     for length, (moves, states) in enumerate(levels):
-        kept = states.where(F.col("all") >= least)
         if length:
-            kept = _diverging(moves, kept, *levels[length - 1], length)
-        kept = written(kept, "kept")
-        weight = F.col("all") + F.col("kinds")
-        stored = moves.where(F.col("n") >= least).join(kept, "context")
-        shares = written(stored.select("move", "context", (F.col("n") / weight).alias("share")), "shares")
-        taken = shares.groupBy("context").agg(F.sum("share").alias("taken"))
-        backs = kept.join(taken, "context", "left")
-        backs = backs.select("context", (1 - F.coalesce("taken", F.lit(0.0))).alias("back"))
-        # All levels together hold ENTRIES transitions at most, and no more contexts.
-        b, s = backs.toArrow().sort_by("context"), shares.select("move", "share").toArrow().sort_by("move")
-        columns = (b.column(0), b.column(1), s.column(0), s.column(1))
-        tree.append(tuple(np.ascontiguousarray(c.to_numpy()) for c in columns))
-    return tree
+            states = written(_diverging(moves, states, *levels[length - 1], length), "kept")
+        at = (F.lit(length).alias("length"), places(F.col("context")).alias("place"))
+        backs.append(states.select(*at, "context", (F.col("kinds") / weight).alias("back")))
+        shares.append(moves.join(states, "context").select(*at, "move", (F.col("n") / weight).alias("share")))
+    return tuple(written(reduce(DataFrame.unionAll, x), name) for x, name in ((backs, "backs"), (shares, "shares")))
+
+
+def collected(backs: DataFrame, shares: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each context length: contexts, their back-off weights, transitions, their shares."""
+    halves = []
+    for df, key, value in ((backs, "context", "back"), (shares, "move", "share")):
+        found = df.select("length", key, value).toArrow()
+        length, keys, values = (found.column(c).to_numpy() for c in range(3))
+        order = np.lexsort((keys, length))
+        edges = np.searchsorted(length[order], np.arange(DEPTH + 2))
+        parts = [order[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        halves.append([(keys[part], values[part]) for part in parts])
+    return [(*back, *share) for back, share in zip(*halves, strict=True)]
+
+
+def grow_tree(grams: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The tree in one piece, for counts that are few."""
+    return collected(*grow(grams))
+
+
+def block_starts(shares: DataFrame) -> list[int]:
+    """The places from which blocks of some ``ENTRIES`` transitions reach up to the next; the first is 0."""
+    n = -(-shares.count() // ENTRIES)
+    if n < 2:
+        return [0]
+    # Ranks are off by a 100,000th of all transitions; those of one place are some thousand at most.
+    ranks = [k / n for k in range(1, n)]
+    return [0, *sorted(set(shares.agg(F.percentile_approx("place", ranks, 100_000)).first()[0]) - {0})]
+
+
+def tree_blocks(backs: DataFrame, shares: DataFrame, starts: list[int]) -> Iterator[list]:
+    """The levels of each block: its range of places, and what the first place in it goes back to."""
+    for start, end in zip(starts, [*starts[1:], 1 << 8 * DEPTH], strict=True):
+        suffixes = sorted({start >> 8 * k << 8 * k for k in range(DEPTH + 1)})
+        inside = F.col("place").between(start, end - 1) | F.col("place").isin(suffixes)
+        yield collected(backs.where(inside), shares.where(inside))
 
 
 def look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
@@ -222,26 +260,71 @@ def gram_log10(levels: list, keys: np.ndarray) -> np.ndarray:
     return np.log10(p)
 
 
+def key_places(keys: np.ndarray) -> np.ndarray:
+    """``places`` of the contexts of grams."""
+    place = np.zeros(len(keys), np.uint64)
+    for k in range(DEPTH):
+        byte = (keys >> np.uint64(8 * (k + 1))) & np.uint64(255)
+        place |= byte << np.uint64(8 * (DEPTH - 1 - k))
+    return place.astype(np.int64)
+
+
+def blocked_log10(starts: list[int], blocks: list[Callable[[], list]], keys: np.ndarray) -> np.ndarray:
+    """``gram_log10`` over all blocks, of which one is held at a time."""
+    if len(blocks) == 1:
+        return gram_log10(blocks[0](), keys)
+    place = key_places(keys)
+    order = np.argsort(place)
+    edges = [*np.searchsorted(place[order], starts), len(keys)]
+    out = np.zeros(len(keys))
+    for load, a, b in zip(blocks, edges[:-1], edges[1:], strict=True):
+        if b > a:
+            out[order[a:b]] = gram_log10(load(), keys[order[a:b]])
+    return out
+
+
+def _read(shared: Broadcast, hold: bool) -> list:
+    """The value of a broadcast; unless ``hold``, the worker reads it from its file each time."""
+    value = shared.value
+    if not hold and getattr(shared, "_path", None) is not None:
+        vars(shared).pop("_value", None)
+    return value
+
+
 SCORED = (
     "row long, doc_id long, learned boolean, words long, known long, base double, score double, rare array<long>"
 )
 
 
+def settle(held: list[tuple], score: np.ndarray, starts: list[int], blocks: list[Callable[[], list]]) -> None:
+    """Add the grams of ``held`` runs of texts to the scores of these."""
+    if not held:
+        return
+    every = np.unique(np.concatenate([kinds for _, _, kinds, _, _ in held]))
+    values = blocked_log10(starts, blocks, every)
+    for i, j, kinds, inverse, owner in held:
+        value = values[np.searchsorted(every, kinds)][inverse]
+        score[i:j] += np.bincount(owner, weights=value, minlength=j - i)
+
+
 def _score(model: Callable[[], tuple]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        levels, frequent, logs = model()
+        starts, blocks, frequent, logs = model()
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             n = batch.num_rows
             score, base = np.zeros(n), np.zeros(n)
             words_in, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
             rare: list[list[np.ndarray]] = [[] for _ in range(n)]
+            held: list[tuple] = []
             for i, j, keys, owner, words, of in spelled(batch.column(2)):
                 kinds, inverse = np.unique(keys, return_inverse=True)
-                value = gram_log10(levels, kinds)[inverse]
-                score[i:j] += np.bincount(owner, weights=value, minlength=j - i)
+                held.append((i, j, kinds, inverse.astype(np.int32), owner.astype(np.int32)))
+                if len(blocks) == 1 or sum(len(h[3]) for h in held) >= CHUNK:
+                    settle(held, score, starts, blocks)
+                    held = []
                 words_in[i:j] += np.bincount(of, minlength=j - i)
                 if not len(words):
                     continue
@@ -253,6 +336,7 @@ def _score(model: Callable[[], tuple]) -> Callable:
                 edges = np.searchsorted(left_of, np.arange(j - i + 1))
                 for d in np.flatnonzero(np.diff(edges)):
                     rare[i + d].append(left[edges[d] : edges[d + 1]])
+            settle(held, score, starts, blocks)
             lists = [np.concatenate(r) if r else np.zeros(0, np.uint64) for r in rare]
             ends = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
             flat_rare = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
@@ -299,15 +383,26 @@ def score_texts(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     tokens = n_of.get(WORD, 0) + closes
     kinds = v_of.get(WORD, 0) + (closes > 0)
     scale = tokens + 0.1 * (kinds + 1)
-    levels = grow_tree(counted.where(F.col("kind") == GRAM)) if closes else []
+    starts, blocks = [0], [[]]
+    if closes:
+        backs, shares = grow(counted.where(F.col("kind") == GRAM))
+        starts = block_starts(shares)
+        blocks = tree_blocks(backs, shares, starts)
+    # A block is sent before the next one is collected.
+    sent = [spark.sparkContext.broadcast(block) for block in blocks]
 
     words = counted.where(F.col("kind") == WORD).select(F.col("key").alias("word"), "n")
     least = least_count(words.select("n"), FREQUENT)
     often = words.where(F.col("n") >= (least if least is not None else F.lit(None))).toArrow().sort_by("word")
     frequent = np.ascontiguousarray(often.column(0).to_numpy())
     logs = np.log10((often.column(1).to_numpy() + 0.1) / scale)
-    shared = spark.sparkContext.broadcast((levels, frequent, logs))
-    scored = written(docs.mapInArrow(_score(lambda: shared.value), SCORED), "scored")
+    shared = spark.sparkContext.broadcast((frequent, logs))
+    hold = len(sent) == 1
+
+    def model() -> tuple:
+        return starts, [partial(_read, block, hold) for block in sent], *shared.value
+
+    scored = written(docs.mapInArrow(_score(model), SCORED), "scored")
 
     rare = scored.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("m"))
     rest = words.where(F.col("n") < least) if least is not None else words

@@ -191,6 +191,17 @@ def test_rare_words_are_joined(docs, corpus, monkeypatch):
         assert a.base_score == pytest.approx(b.base_score)
 
 
+def test_a_tree_in_blocks_is_the_whole_tree(spark, docs, monkeypatch):
+    """However little a block holds, no state is left out and no score changes."""
+    key = lambda r: (str(r.doc_id), r.n_tokens, r.score)
+    whole = sorted(suffixtree.score_texts(docs, F.lit(True)).collect(), key=key)
+    monkeypatch.setattr(suffixtree, "ENTRIES", 700)
+    monkeypatch.setattr(suffixtree, "CHUNK", 1 << 14)
+    cut = sorted(suffixtree.score_texts(docs, F.lit(True)).collect(), key=key)
+    for a, b in zip(whole, cut, strict=True):
+        assert (a.doc_id, a.n_known, a.score) == (b.doc_id, b.n_known, pytest.approx(b.score))
+
+
 def test_states_are_distributions(spark):
     """The chances of all symbols after any context add up to one."""
     rng = random.Random(11)
