@@ -4,7 +4,8 @@ Vectors are brought to unit length and rotated by fast Hadamard transforms with
 random signs, differently for each table; a vector's bucket is the signed axis
 it is nearest to. A query looks into the buckets of its ``probes`` nearest axes
 in each table, and what it finds is ranked by exact distances of the original
-vectors.
+vectors. Queries whose buckets hold fewer than ``k`` rows are asked again, of
+all rows.
 
 Every row is in every table of its own task's index. Queries are sent to all
 tasks in blocks of bounded size; a task answers with its nearest few for each
@@ -79,21 +80,21 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Tables of a batch of vectors: rows in the order of their buckets."""
+    """Tables of a batch of vectors: rows in the order of their buckets; no tables if all rows are searched."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, whole: bool = False):
         self.ids, self.vectors = ids, vectors
         x = unit(vectors)
         self.tables = []
-        for table in range(TABLES):
+        for table in range(0 if whole else TABLES):
             y = rotated(x, table)
             code = axes(y, 1)[:, 0]
             order = np.argsort(code, kind="stable")
             self.tables.append((order, np.searchsorted(code[order], np.arange(2 * y.shape[1] + 1))))
 
     def search(self, query_id: int, query: np.ndarray, probes: np.ndarray, k: int) -> tuple:
-        """The ``k`` nearest of all rows in the probed buckets: scores and ids."""
-        seen = np.zeros(len(self.ids), bool)
+        """The ``k`` nearest of all rows in the probed buckets, without tables of all: scores and ids."""
+        seen = np.full(len(self.ids), not self.tables)
         for (order, edges), codes in zip(self.tables, probes, strict=True):
             for code in codes:
                 seen[order[edges[code] : edges[code + 1]]] = True
@@ -111,12 +112,14 @@ def nearest(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return score[first], ids[first]
 
 
-def _answer(block: Callable[[], tuple], k: int) -> Callable:
+def _answer(block: Callable[[], tuple], k: int, whole: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = {}
         for dims, (ids, vectors) in clean(*block()).items():
             x = unit(vectors)
-            probes = np.stack([axes(rotated(x, t), PROBES) for t in range(TABLES)], axis=1)
+            probes = np.zeros((len(ids), 0, 0), np.int64)
+            if not whole:
+                probes = np.stack([axes(rotated(x, t), PROBES) for t in range(TABLES)], axis=1)
             queries[dims] = (ids, vectors, probes)
         best: dict[tuple[int, int], tuple] = {}
         for batch in batches:
@@ -125,7 +128,7 @@ def _answer(block: Callable[[], tuple], k: int) -> Callable:
                 for dims, (ids, vectors) in clean(some.column(0), some.column(1)).items():
                     if dims not in queries:
                         continue
-                    index = Index(ids, vectors)
+                    index = Index(ids, vectors, whole)
                     for row, (query_id, query, probes) in enumerate(zip(*queries[dims], strict=True)):
                         score, found = index.search(query_id, query, probes, k)
                         if (dims, row) in best:
@@ -158,25 +161,38 @@ def nearest_neighbours(
     take no part, and vectors are compared with those of as many dimensions
     only. Of rows that repeat an id the nearest counts, and queries that repeat
     an id are answered together. Other columns are ignored; without queries or
-    candidates there are no rows. Fewer than ``k`` rows come back only if the
-    probed buckets hold fewer.
+    candidates there are no rows. Fewer than ``k`` rows come back only if there
+    are fewer candidates.
     """
-    spark = df.sparkSession
 
     def slim(x: DataFrame) -> DataFrame:
         return x.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"))
 
+    rows = slim(df)
     asked = written(slim(queries).where("vec_id IS NOT NULL AND vector IS NOT NULL"), "queries")
+    found = written(_ranked(rows, asked, k, False), "found")
+    full = found.groupBy("query_id").count().where(F.col("count") >= k).select(F.col("query_id").alias("vec_id"))
+    short = written(asked.join(full, "vec_id", "left_anti"), "short")
+    if short.isEmpty():
+        return found
+    # All rows are searched for these, so what the buckets held comes again.
+    answered = found.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi")
+    return answered.unionAll(_ranked(rows, short, k, True))
+
+
+def _ranked(rows: DataFrame, asked: DataFrame, k: int, whole: bool) -> DataFrame:
+    """The ``k`` nearest for each query, of the probed buckets or of the ``whole`` table."""
+    spark = rows.sparkSession
     n_blocks = -(-asked.count() // BLOCK_QUERIES)
     schema = "query_id long, vec_id long, score double"
     out = spark.createDataFrame([], schema)
     for block in range(n_blocks):
         # BLOCK_QUERIES rows or so: a bounded block of the query set.
-        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == block).toArrow()
+        some = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == block).toArrow()
         shared = spark.sparkContext.broadcast(
-            (rows.column(0).combine_chunks(), rows.column(1).combine_chunks())
+            (some.column(0).combine_chunks(), some.column(1).combine_chunks())
         )
-        answers = slim(df).mapInArrow(_answer(lambda s=shared: s.value, k), schema)
+        answers = rows.mapInArrow(_answer(lambda s=shared: s.value, k, whole), schema)
         out = out.unionAll(answers)
     best = out.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))

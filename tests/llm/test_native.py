@@ -284,6 +284,23 @@ def test_neighbours(spark):
     assert ann.nearest_neighbours(df.limit(0), df.where("vec_id = 2000")).count() == 0
 
 
+def test_small_tables_are_answered_in_full(spark, monkeypatch):
+    """A query gets k rows, or all there are, however few its buckets hold."""
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 8)
+    rng = np.random.default_rng(4)
+    for n in (2, 11, 30):
+        ids, x = np.arange(n), rng.normal(size=(n, 64))
+        rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(100, None), (101, [0.0] * 64), (102, [1.0, 2.0])]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+        got = defaultdict(list)
+        for r in ann.nearest_neighbours(df, df).orderBy("query_id", "rank").collect():
+            got[r.query_id].append(r.vec_id)
+        assert {q: len(found) for q, found in got.items()} == dict.fromkeys(range(n), min(10, n - 1))
+        if n <= 11:
+            score = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+            assert got == {q: [i for i in np.argsort(score[q]) if i != q] for q in ids}
+
+
 def test_rotation_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(20, 24))
     y = ann.rotated(x, 3)
