@@ -144,6 +144,17 @@ def test_languages_are_told_apart(spark, spoken):
     assert far.rejected and far.lang_pred in SOUNDS
 
 
+def test_languages_that_were_not_taught_are_rejected(spark, sf_dir):
+    """English is left in: a few of its texts are labelled as other languages, which teaches it all the same."""
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.01', 'sf0.1')}/documents.parquet")
+    docs = docs.where("doc_id % 2 = 0 AND lang IS NOT NULL").select("doc_id", "text", "lang")
+    for out in ("de", "es", "fr"):
+        model = langid.fit(docs.where(F.col("lang") != out).where("doc_id % 4 = 0"))
+        judged = langid.identify(docs.where("doc_id % 4 = 2 AND length(text) > 200"), model)
+        share = dict(judged.groupBy(F.col("lang") == out).agg(F.avg(F.col("rejected").cast("int"))).collect())
+        assert share[True] > 0.9 and share[False] < 0.01
+
+
 def test_long_texts_are_counted_whole():
     text = "katara " * 60_000 + "schnpf"
     counts = [c for _, _, c in langid.profiles(pa.array([text]))]
