@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import ann, chat, decontaminate, langid, neardup, packing, sharding, suffixtree, tokens, urls
+from docflow.llm import ann, chat, decontaminate, hardneg, langid, neardup, packing, sharding, suffixtree, tokens, urls
 from docflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,10 @@ def op10_neighbours(spark, sf_dir):
     return ann.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -125,10 +129,36 @@ QUERIES: dict[str, Query] = {
     "op8_urls": op8_urls,
     "op9_language": op9_language,
     "op10_neighbours": op10_neighbours,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op11_hard_negatives": r"""
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+anchors AS (SELECT * FROM kept WHERE vec_id % 100 = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS cand_id,
+         list_sum(list_transform(range(len(a.q)), lambda i: a.q[i + 1] * c.q[i + 1]))::BIGINT AS score
+  FROM anchors a JOIN kept c ON len(a.q) = len(c.q) AND c.vec_id <> a.vec_id
+),
+pos AS (
+  SELECT anchor_id, cand_id AS positive_id, coalesce(score, 0) AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY coalesce(score, 0) DESC, cand_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY coalesce(s.score, 0) DESC, s.cand_id) AS INT) AS rank,
+       s.cand_id AS negative_id, p.positive_score, coalesce(s.score, 0) AS negative_score
+FROM pos p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 30 * p.positive_score <= 100 * coalesce(s.score, 0) AND 100 * coalesce(s.score, 0) <= 90 * p.positive_score
+QUALIFY rank <= 10""",
     "op5_near_duplicates": rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
