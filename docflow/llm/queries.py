@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import ann, chat, decontaminate, hardneg, langid, neardup, packing, sharding, suffixtree, tokens, urls
+from docflow.llm import align, ann, chat, decontaminate, fingerprints, hardneg, langid, neardup, packing, sharding, suffixtree, tokens, urls
 from docflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,16 @@ def op11_hard_negatives(spark, sf_dir):
     return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark, sf_dir):
+    return align.align_documents(
+        table(spark, sf_dir, "documents"), tokenizer_path(align.A_TOKENIZER), tokenizer_path(align.B_TOKENIZER)
+    )
+
+
+def op13_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -130,6 +140,8 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_neighbours": op10_neighbours,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_alignment": op12_alignment,
+    "op13_fingerprints": op13_fingerprints,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
