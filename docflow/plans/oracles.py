@@ -79,6 +79,87 @@ fib(n, a, b) AS (
   UNION ALL SELECT n + 1, b, a + b FROM fib WHERE n < (SELECT max(attempt) FROM attempts)
 )"""
 
+# Each (queue, message) as a state machine. A delay keeps a message back only while
+# it is still hidden: every link of the chain of delays since its failure has to come
+# before the visibility set by the link before.
+_VISIBILITY = """
+WITH src AS (
+  SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS uid, epoch_us(ts) // 1000 AS at_ms, event_type FROM events
+),
+outcomes AS (
+  SELECT 'file-stream-text' AS queue, uid, at_ms, seq,
+         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS kind, CAST(NULL AS BIGINT) AS seconds
+  FROM src
+  UNION ALL
+  SELECT 'file-stream-images', uid, at_ms, seq,
+         CASE WHEN event_type IN ('error', 'view') THEN 'failed' WHEN event_type = 'purchase' THEN 'delay' ELSE 'ok' END,
+         CASE WHEN event_type = 'purchase' THEN 3600 END
+  FROM src
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY queue, uid
+           ORDER BY at_ms, CASE kind WHEN 'failed' THEN 0 WHEN 'delay' THEN 1 ELSE 2 END, seq) AS rn
+  FROM outcomes
+),
+grouped AS (
+  SELECT *,
+    coalesce(sum(CASE WHEN kind = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY queue, uid ORDER BY rn
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ok_group,
+    sum(CASE WHEN kind <> 'delay' THEN 1 ELSE 0 END) OVER (PARTITION BY queue, uid ORDER BY rn
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
+  FROM ordered
+),
+tried AS (
+  SELECT *,
+    CAST(sum(CASE WHEN kind = 'failed' THEN 1 ELSE 0 END) OVER (PARTITION BY queue, uid, ok_group ORDER BY rn
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS attempts,
+    first_value(kind) OVER (PARTITION BY queue, uid, seg ORDER BY rn) AS seg_kind
+  FROM grouped
+),
+wanted AS (
+  SELECT *,
+    CASE kind
+      WHEN 'failed' THEN at_ms + (CASE WHEN attempts > 10 THEN attempts % 10 ELSE attempts END)
+                               * (CASE WHEN queue = 'file-stream-text' THEN 4000 ELSE 2000 END)
+      WHEN 'delay' THEN at_ms + 1000 * seconds
+    END AS v_cand
+  FROM tried
+),
+linked AS (
+  SELECT *,
+    CASE WHEN kind <> 'delay' THEN TRUE
+         ELSE coalesce(lag(v_cand) OVER (PARTITION BY queue, uid ORDER BY rn) >= at_ms, FALSE) END AS link
+  FROM wanted
+),
+pending AS (
+  SELECT *,
+    kind = 'delay' AND seg > 0 AND seg_kind = 'failed'
+      AND bool_and(link) OVER (PARTITION BY queue, uid, seg ORDER BY rn
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS held
+  FROM linked
+),
+after AS (
+  SELECT *,
+    CASE WHEN kind = 'failed' OR held THEN v_cand END AS v_after
+  FROM pending
+),
+nexted AS (
+  SELECT *, lead(at_ms) OVER (PARTITION BY queue, uid ORDER BY rn) AS next_at,
+         max(at_ms) OVER () AS last_at
+  FROM after
+)
+SELECT queue, uid,
+       CASE kind WHEN 'failed' THEN 'failed' WHEN 'ok' THEN 'done'
+                 ELSE CASE WHEN held THEN 'delayed' ELSE 'ignored' END END AS step,
+       attempts AS attempt, at_ms,
+       CASE WHEN kind = 'failed' OR held THEN v_cand END AS visible_ms
+FROM nexted
+UNION ALL
+SELECT queue, uid, 'due', attempts + 1, v_after, v_after
+FROM nexted
+WHERE v_after IS NOT NULL AND v_after < coalesce(next_at, last_at)
+"""
+
 ORACLES: dict[str, str] = {
     "extract_text": _TEXT,
     "extract_text_python": _TEXT,
@@ -188,6 +269,7 @@ SELECT w.event_id, w.n * 1000 AS linear_ms, f.a * 1000 AS fibonacci_ms,
        w.n * 4000 AS exponential_2000_ms, w.n * 2000 AS exponential_1000_ms,
        w.n * 1000 AS unknown_ms, w.attempt * 4000 AS exponential_no_reset_ms
 FROM wrapped w JOIN fib f ON f.n = w.n""",
+    "stream_visibility": _VISIBILITY,
     "retry_due": f"""
 WITH {_ATTEMPTS},
 planned AS (

@@ -31,7 +31,7 @@ from docflow.session import scratch_dir, stored_once
 from docflow.sources.notifications import publish, stream_bodies
 from docflow.sources.objects import read_objects, store_fetcher
 from docflow.sources.sinks import put_objects, read_batches, read_or_empty
-from docflow.streaming import runner
+from docflow.streaming import runner, visibility
 from docflow.streaming.dedup import dedup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -446,6 +446,68 @@ def stream_dedup(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(f"{work}/out")
 
 
+# --- visibility timers ---------------------------------------------------------
+
+#: Outcomes a file of the timer stream holds at most; more rows, more files.
+RANGE_ROWS = 1 << 20
+#: Each queue retries with its own policy; a purchase asks previews for an hour more.
+VISIBILITY_POLICIES = {
+    TEXT_QUEUE: runner.RetryPolicy("exponential", retry.STEEP_TEXT_MS),
+    PREVIEW_QUEUE: runner.RetryPolicy("exponential", retry.STEEP_PREVIEW_MS),
+}
+DELAY_SECONDS = 3600
+
+
+def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event is a delivery of its user's message to both queues.
+
+    Text fails on errors; previews fail on errors and views, and a purchase asks
+    to keep the message back.
+    """
+    events = fx.table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    text = F.when(kind == "error", "failed").otherwise("ok")
+    preview = F.when(kind.isin("error", "view"), "failed").when(kind == "purchase", "delay").otherwise("ok")
+    seconds = F.when(kind == "purchase", F.lit(DELAY_SECONDS).cast("long"))
+    at = F.timestamp_millis(visibility.epoch_ms(events, "ts")).alias("at")
+    uid = F.col("user_id").cast("string").alias("uid")
+    return events.select(
+        F.lit(TEXT_QUEUE).alias("queue"), uid, at, text.alias("kind"), F.lit(None).cast("long").alias("seconds"),
+        F.col("event_id").alias("seq"),
+    ).unionByName(
+        events.select(
+            F.lit(PREVIEW_QUEUE).alias("queue"), uid, at, preview.alias("kind"), seconds.alias("seconds"),
+            F.col("event_id").alias("seq"),
+        )
+    )
+
+
+def stream_visibility(spark, sf_dir):
+    """Attempts, delays and redeliveries of each (queue, message), from a stream with timers."""
+    work = scratch_dir(spark, "visibility")
+    outcomes = _outcomes(spark, sf_dir)
+    ranges = max(MICRO_BATCHES, -(-outcomes.count() // RANGE_ROWS))
+    visibility.ranges_in_time(outcomes, f"{work}/inbox", ranges)
+    stream = spark.readStream.schema(visibility.OUTCOMES).option("maxFilesPerTrigger", 1).parquet(f"{work}/inbox")
+    query = (
+        visibility.visibility_steps(stream, VISIBILITY_POLICIES)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{work}/steps")
+    )
+    query.awaitTermination()
+    steps = spark.read.schema(visibility.STEPS_OUT).parquet(f"{work}/steps")
+    return steps.select(
+        "queue",
+        "uid",
+        "step",
+        "attempt",
+        F.unix_millis("at").alias("at_ms"),
+        F.unix_millis("visible_at").alias("visible_ms"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "extract_text": extract_text,
     "extract_text_python": extract_text_python,
@@ -483,4 +545,5 @@ QUERIES: dict[str, Query] = {
     "stream_retry_ledger": stream_retry_ledger,
     "stream_quarantine": stream_quarantine,
     "stream_dedup": stream_dedup,
+    "stream_visibility": stream_visibility,
 }
