@@ -24,6 +24,7 @@ the attempt it concerns, when it happened and the visibility it set.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -201,7 +202,7 @@ def ranges_in_time(outcomes: DataFrame, folder: str, ranges: int) -> int:
     order, and nothing comes behind the watermark. Returns the number of files.
     """
     spark = outcomes.sparkSession
-    staged = f"{folder}_staged"
+    staged = f"{folder}_staged/{uuid.uuid4().hex}"
     outcomes.repartitionByRange(ranges, "at", "seq").withColumn("_range", F.spark_partition_id()).write.partitionBy(
         "_range"
     ).parquet(staged)
