@@ -270,6 +270,20 @@ SELECT w.event_id, w.n * 1000 AS linear_ms, f.a * 1000 AS fibonacci_ms,
        w.n * 1000 AS unknown_ms, w.attempt * 4000 AS exponential_no_reset_ms
 FROM wrapped w JOIN fib f ON f.n = w.n""",
     "stream_visibility": _VISIBILITY,
+    # Text: done at once. Previews: done at once, but for one language, whose
+    # first delivery fails, is hidden 2 s, comes due and is done two minutes on.
+    "stream_queue_retries": f"""
+WITH {_NOTES}
+SELECT 'file-stream-text' AS queue, uid, "Key", 'done' AS step, 0 AS attempt, CAST(0 AS BIGINT) AS at_ms,
+       CAST(NULL AS BIGINT) AS hidden_ms
+FROM notes
+UNION ALL
+SELECT 'file-stream-images', uid, "Key", 'done', 0, 0, NULL FROM notes WHERE lang <> 'fr'
+UNION ALL
+SELECT 'file-stream-images', uid, "Key", s.step, s.attempt, s.at_ms, s.hidden_ms
+FROM notes, (VALUES ('failed', 1, 0, 2000), ('due', 2, 2000, 0), ('done', 1, 120000, NULL))
+     AS s(step, attempt, at_ms, hidden_ms)
+WHERE lang = 'fr'""",
     "retry_due": f"""
 WITH {_ATTEMPTS},
 planned AS (

@@ -31,7 +31,7 @@ from docflow.session import scratch_dir, stored_once
 from docflow.sources.notifications import publish, stream_bodies
 from docflow.sources.objects import read_objects, store_fetcher
 from docflow.sources.sinks import put_objects, read_batches, read_or_empty
-from docflow.streaming import runner, visibility
+from docflow.streaming import consumers, runner, visibility
 from docflow.streaming.dedup import dedup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -508,6 +508,42 @@ def stream_visibility(spark, sf_dir):
     )
 
 
+#: Time of the first delivery when recorded traffic is replayed.
+REPLAY_T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def stream_queue_retries(spark, sf_dir):
+    """Each queue consumes, acknowledges and retries on its own.
+
+    Text reads every object and succeeds. Previews first read a store that lacks
+    the documents of one language, so those deliveries fail there alone; only
+    they come again, after the previews' own delay, and then succeed.
+    """
+    work = scratch_dir(spark, "queues")
+    inbox, out, checkpoint = f"{work}/inbox", f"{work}/out", f"{work}/checkpoint"
+    files = max(MICRO_BATCHES, spark.sparkContext.defaultParallelism)
+    publish(fx.notifications(spark, sf_dir).repartition(files), inbox)
+    text, preview = stages.registered(["text", "previews"])
+    every = lookup.table_fetcher(fx.objects(spark, sf_dir), "text")
+    lagging = lookup.table_fetcher(fx.stored(spark, sf_dir), "text")
+    minute = timedelta(minutes=1)
+    for at, preview_fetch in ((REPLAY_T0, lagging), (REPLAY_T0 + 2 * minute, every)):
+        for stage, fetch in ((text, every), (preview, preview_fetch)):
+            consumers.consume(spark, inbox, out, checkpoint, stage, fetch, now=at).awaitTermination()
+        consumers.redeliver(spark, out, inbox, checkpoint, VISIBILITY_POLICIES, clock=at + minute).awaitTermination()
+    steps = spark.read.parquet(f"{out}/visibility").where(F.col("queue") != "")
+    since = (F.unix_millis("at") - F.lit(int(REPLAY_T0.timestamp() * 1000))).alias("at_ms")
+    return steps.select(
+        "queue",
+        "uid",
+        "Key",
+        "step",
+        "attempt",
+        since,
+        (F.unix_millis("visible_at") - F.unix_millis("at")).alias("hidden_ms"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "extract_text": extract_text,
     "extract_text_python": extract_text_python,
@@ -546,4 +582,5 @@ QUERIES: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "stream_dedup": stream_dedup,
     "stream_visibility": stream_visibility,
+    "stream_queue_retries": stream_queue_retries,
 }

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -98,14 +98,14 @@ def _wrapped(attempt: int) -> int:
     return attempt % MAX_TRIES if attempt > MAX_TRIES else attempt
 
 
-def _stepper(delays: dict[str, list[int]]):
+def _stepper(delays: dict[str, list[int]], names: list[str]):
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        queue, uid = key
+        queue, uid, *carried = key
         attempts, last_failed, visible = state.get if state.exists else (0, None, None)
         out = []
 
         def emit(kind, attempt, at_ms, visible_ms):
-            out.append((queue, uid, kind, attempt, at_ms, visible_ms))
+            out.append((queue, uid, kind, attempt, at_ms, visible_ms, *carried))
 
         if state.hasTimedOut:
             if visible is not None:
@@ -140,15 +140,22 @@ def _stepper(delays: dict[str, list[int]]):
             if visible is not None:
                 state.setTimeoutTimestamp(max(visible, 1))
         if out:
-            frame = pd.DataFrame(out, columns=STEPS.fieldNames())
+            frame = pd.DataFrame(out, columns=names)
             yield frame.astype({"attempt": "int32", "at_ms": "int64", "visible_ms": "Int64"})
 
     return step
 
 
-def visibility_steps(outcomes: DataFrame, policies: dict[str, RetryPolicy]) -> DataFrame:
-    """Steps of every (queue, uid) of a stream of ``OUTCOMES``; queues without a policy are linear."""
+def visibility_steps(outcomes: DataFrame, policies: dict[str, RetryPolicy], carry: Sequence[str] = ()) -> DataFrame:
+    """Steps of every (queue, uid) of a stream of ``OUTCOMES``; queues without a policy are linear.
+
+    ``carry`` names columns that belong to a message, such as its object: they are
+    part of its key and given out with each step. Rows of a kind other than the
+    three only move time on.
+    """
     spark = outcomes.sparkSession
+    carried = [outcomes.schema[c] for c in carry]
+    schema = T.StructType([*STEPS.fields, *carried])
     delays = _DefaultDelays(delay_table(spark, policies), delay_table(spark, {"": RetryPolicy("linear")})[""])
     # Milliseconds as numbers: the timers' unit, free of any time zone.
     timed = outcomes.select(
@@ -159,12 +166,13 @@ def visibility_steps(outcomes: DataFrame, policies: dict[str, RetryPolicy]) -> D
         "kind",
         "seconds",
         "seq",
+        *carry,
     ).where(F.col("at").isNotNull())
     steps = (
         timed.withWatermark("at", "0 seconds")
-        .groupBy("queue", "uid")
+        .groupBy("queue", "uid", *carry)
         .applyInPandasWithState(
-            _stepper(delays), STEPS, STATE, "append", GroupStateTimeout.EventTimeTimeout
+            _stepper(delays, schema.fieldNames()), schema, STATE, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
     return steps.select(
@@ -174,6 +182,7 @@ def visibility_steps(outcomes: DataFrame, policies: dict[str, RetryPolicy]) -> D
         "attempt",
         F.timestamp_millis("at_ms").alias("at"),
         F.timestamp_millis("visible_ms").alias("visible_at"),
+        *carry,
     )
 
 
