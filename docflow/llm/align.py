@@ -36,7 +36,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +102,10 @@ class Sides:
                 self.b_bytes.append(piece.replace("▁", " ").encode())
         self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        self.a_flat = np.frombuffer(b"".join(self.a_bytes), np.uint8)
+        self.b_flat = np.frombuffer(b"".join(self.b_bytes), np.uint8)
+        self.a_start = np.cumsum(self.a_len) - self.a_len
+        self.b_start = np.cumsum(self.b_len) - self.b_len
 
 
 def sides(a_path: str, b_path: str) -> Sides:
@@ -131,56 +135,107 @@ def coalesce(a_ids: np.ndarray, a_len: np.ndarray, b_ids: np.ndarray, b_len: np.
     return group[: len(a_ids)], group[len(a_ids) :], at_a, at_b
 
 
-def groups_text(a_ids, a_group, b_ids, b_group, n_groups: int) -> str:
-    """``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids, groups in order."""
-    a_cut = np.searchsorted(a_group, np.arange(n_groups + 1))
-    b_cut = np.searchsorted(b_group, np.arange(n_groups + 1))
-    a_str, b_str = [str(i) for i in a_ids.tolist()], [str(i) for i in b_ids.tolist()]
-    return ";".join(
-        ",".join(a_str[a_cut[g] : a_cut[g + 1]]) + "|" + ",".join(b_str[b_cut[g] : b_cut[g + 1]])
-        for g in range(n_groups)
-    )
+POWERS = 10 ** np.arange(19, dtype=np.int64)
+
+
+def decimal_bytes(ids: np.ndarray, seps: np.ndarray) -> np.ndarray:
+    """Bytes of each non-negative id in decimal followed by its separator byte (0: none)."""
+    digits = np.searchsorted(POWERS[1:], ids, side="right") + 1
+    widths = digits + (seps != 0)
+    starts = np.cumsum(widths) - widths
+    out = np.empty(int(widths.sum()), np.uint8)
+    for j in range(int(digits.max(initial=0))):
+        has = digits > j
+        place = POWERS[digits[has] - 1 - j]
+        out[starts[has] + j] = 48 + (ids[has] // place) % 10
+    cut = seps != 0
+    out[(starts + digits)[cut]] = seps[cut]
+    return out
+
+
+def groups_text(a_ids, a_group, b_ids, b_group) -> bytes:
+    """``a1,a2|b1;a3|b2,b3`` in UTF-8: each group's A ids, then its B ids, groups in order."""
+    ids = np.concatenate([a_ids, b_ids])
+    group = np.concatenate([a_group, b_group])
+    side = np.concatenate([np.zeros(len(a_ids), np.int8), np.ones(len(b_ids), np.int8)])
+    order = np.lexsort((np.arange(len(ids)), side, group))
+    ids, group, side = ids[order], group[order], side[order]
+    # Within a group A ids come first, then B ids; each group has both.
+    seps = np.full(len(ids), ord(","), dtype=np.uint8)
+    seps[:-1][side[:-1] != side[1:]] = ord("|")
+    seps[:-1][group[:-1] != group[1:]] = ord(";")
+    seps[-1:] = 0
+    return decimal_bytes(ids, seps).tobytes()
+
+
+def spelled(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The bytes of a sequence of ids, from all ids' bytes one after another."""
+    size = lengths[ids]
+    total = int(size.sum())
+    first = np.cumsum(size) - size
+    return flat[np.repeat(starts[ids] - first, size) + np.arange(total)]
 
 
 def _aligner(a_path: str, b_path: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = sides(a_path, b_path)
         for frame in batches:
-            for start in range(0, len(frame), BATCH):
-                part = frame.iloc[start : start + BATCH]
-                texts = [t if isinstance(t, str) else "" for t in part["text"]]
+            for start in range(0, frame.num_rows, BATCH):
+                part = frame.slice(start, BATCH)
+                texts = [t or "" for t in part.column("text").to_pylist()]
                 a_enc = s.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
                 b_enc = s.b.encode(texts, num_threads=1)
-                rows = []
-                for doc_id, text, a_e, b_list in zip(part["doc_id"], texts, a_enc, b_enc, strict=True):
-                    rows.append(_document(s, doc_id, text, np.array(a_e.ids, np.int64), np.array(b_list, np.int64)))
-                yield pd.DataFrame(rows, columns=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"])
+                docs = [
+                    _document(s, text, np.array(a_e.ids, np.int64), np.array(b_list, np.int64))
+                    for text, a_e, b_list in zip(texts, a_enc, b_enc, strict=True)
+                ]
+                yield _batch(part.column("doc_id"), docs)
 
     return run
 
 
-def _document(s: Sides, doc_id, text: str, a_ids: np.ndarray, b_ids: np.ndarray) -> tuple:
-    doc_id = None if pd.isna(doc_id) else int(doc_id)
-    whole = (" " + text).encode()
+def _batch(doc_ids: pa.Array, docs: list[tuple]) -> pa.RecordBatch:
+    counts = [pa.array([d[k] for d in docs], pa.int64()) for k in range(4)]
+    digests = pa.array([d[4] for d in docs], pa.string())
+    sizes = np.array([len(d[5]) for d in docs], np.int64)
+    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+    flat = [np.concatenate([d[k] for d in docs]) if docs else np.zeros(0, np.int64) for k in (5, 6, 7)]
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(flat[0].astype(np.int32)), pa.array(flat[1].astype(np.int32)), pa.array(flat[2].astype(np.int64))],
+        ["a", "b", "n"],
+    )
+    return pa.RecordBatch.from_arrays(
+        [doc_ids.cast(pa.int64()), *counts, digests, pa.ListArray.from_arrays(offsets, pairs)],
+        ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"],
+    )
+
+
+NOTHING = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _document(s: Sides, text: str, a_ids: np.ndarray, b_ids: np.ndarray) -> tuple:
+    """Counts, digest and the distinct linked (A id, B id) pairs with their multiplicity."""
+    whole = np.frombuffer((" " + text).encode(), np.uint8)
     if (
         not text
-        or b"".join(map(s.a_bytes.__getitem__, a_ids.tolist())) != whole
-        or b"".join(map(s.b_bytes.__getitem__, b_ids.tolist())) != whole
+        or int(s.a_len[a_ids].sum()) != len(whole)
+        or int(s.b_len[b_ids].sum()) != len(whole)
+        or not np.array_equal(spelled(s.a_flat, s.a_start, s.a_len, a_ids), whole)
+        or not np.array_equal(spelled(s.b_flat, s.b_start, s.b_len, b_ids), whole)
     ):
-        return doc_id, 0, 0, 0, 0, "", []
+        return NOTHING
     a_group, b_group, at_a, at_b = coalesce(a_ids, s.a_len[a_ids], b_ids, s.b_len[b_ids])
     n_groups = int(a_group[-1]) + 1
-    digest = hashlib.sha256(groups_text(a_ids, a_group, b_ids, b_group, n_groups).encode()).hexdigest()
-    pairs, n = np.unique(np.stack([a_ids[at_a], b_ids[at_b]]), axis=1, return_counts=True)
-    linked = [{"a": int(x), "b": int(y), "n": int(c)} for x, y, c in zip(pairs[0], pairs[1], n, strict=True)]
-    return doc_id, len(a_ids), len(b_ids), n_groups, len(at_a), digest, linked
+    digest = hashlib.sha256(groups_text(a_ids, a_group, b_ids, b_group)).hexdigest()
+    keys, n = np.unique((a_ids[at_a] << 32) | b_ids[at_b], return_counts=True)
+    return len(a_ids), len(b_ids), n_groups, len(at_a), digest, keys >> 32, keys & 0xFFFFFFFF, n
 
 
 def align_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    aligned = src.mapInPandas(_aligner(a_path, b_path), OUT).withColumn("row", F.monotonically_increasing_id())
+    aligned = src.mapInArrow(_aligner(a_path, b_path), OUT).withColumn("row", F.monotonically_increasing_id())
     aligned = written(aligned, "align-docs")
     links = aligned.select("row", F.inline("pairs"))
     counts = links.groupBy("a", "b").agg(F.sum("n").alias("count"))
