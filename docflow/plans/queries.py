@@ -30,6 +30,7 @@ from docflow.schemas import (
 from docflow.session import scratch_dir, stored_once
 from docflow.sources.notifications import publish, stream_bodies
 from docflow.sources.objects import read_objects, store_fetcher
+from docflow.sources import compaction
 from docflow.sources.sinks import put_objects, read_batches, read_or_empty
 from docflow.streaming import consumers, runner, visibility
 from docflow.streaming.dedup import dedup_stream
@@ -508,6 +509,22 @@ def stream_visibility(spark, sf_dir):
     )
 
 
+def stream_compacted_text(spark, sf_dir):
+    """Texts of all documents, merged into a base, then those of one language written again.
+
+    The result is read from the base and the batches after it.
+    """
+    work = scratch_dir(spark, "compacted")
+    config = runner.StreamConfig(stages=("text",))
+    objects = fx.objects(spark, sf_dir)
+    out, _ = _run(spark, work, fx.notifications(spark, sf_dir), objects, config)
+    path, key = runner.stage_dir(out, "text"), ["Bucket", "output_key"]
+    compaction.compact(spark, path, DOCUMENT_TEXT, key)
+    again = objects.where(F.col("lang") == fx.ODD_LANG).select("uid", "Bucket", "Key")
+    _run(spark, work, again, objects, config)
+    return compaction.read_current(spark, path, DOCUMENT_TEXT, key).drop("batch_id")
+
+
 #: Time of the first delivery when recorded traffic is replayed.
 REPLAY_T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -583,4 +600,5 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_visibility": stream_visibility,
     "stream_queue_retries": stream_queue_retries,
+    "stream_compacted_text": stream_compacted_text,
 }
