@@ -10,12 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import decontaminate, langid, neardup, packing
-from docflow.llm.common import broadcast_if_small, table, written
+from docflow.llm.common import fresh, table, written
 from docflow.llm.queries import tokenizer_path
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled rows teach; the others go."""
+    """Documents in a language that the labelled rows teach; the others go.
+
+    Null texts and texts without a letter are rejected; very long texts are
+    judged whole; repeated rows are judged each; an empty table gives an empty
+    one; other columns pass through.
+    """
     model = langid.fit(docs, order=F.xxhash64("doc_id", "text"))
     judged = langid.identify(docs.select(*docs.columns), model)
     rejected = judged.columns[-1]
@@ -23,29 +28,49 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; of rows equal in id and text, one."""
-    judged = written(neardup.near_duplicates(docs), "judged")
-    gone = judged.where("NOT kept").select("doc_id").distinct()
-    twice = judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    gone, twice = written(gone, "gone"), written(twice, "twice")
-    kept = docs.join(broadcast_if_small(gone, 16), "doc_id", "left_anti").select(*docs.columns)
-    if twice.isEmpty():
-        return kept
-    twice = broadcast_if_small(twice, 16)
-    once = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    several = kept.join(twice, "doc_id", "left_semi").select(*docs.columns)
-    return once.unionAll(several.dropDuplicates(["doc_id", "text"]))
+    """One document of each group of near copies: the one of least doc_id.
+
+    Every row is judged by its own text, under a key of its own, so rows that
+    share a doc_id stay or go each on its own: of two rows equal in id and text
+    one stays, and a row with a unique text is never lost for its id. Among
+    rows of one doc_id the one with the least hash of its text counts as first.
+    Rows with a null doc_id are kept; null or empty texts have no shingles and
+    are kept; very long texts are shingled whole; an empty table gives an empty
+    one; other columns, whatever their names, pass through unchanged.
+    """
+    (row,) = fresh(docs, "row")
+    ordered = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    # A key that grows with doc_id: a component's least key is its least doc_id.
+    keyed = written(
+        ordered.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "keyed"
+    )
+    judged = neardup.near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"))
+    kept = written(judged.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(row)), "kept")
+    return (
+        keyed.join(kept, row, "left_semi")
+        .unionByName(keyed.where(F.col(row).isNull()))
+        .select(*docs.columns)
+    )
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item of ``benchmark``."""
+    """Documents that hold no test item of ``benchmark``.
+
+    Null and empty texts hold none and stay; long texts are searched whole;
+    repeated rows are judged each; an empty table gives an empty one; other
+    columns pass through.
+    """
     flagged = decontaminate.flag_contaminated(docs, table(spark, sf_dir, "benchmark"))
     flag = flagged.columns[-1]
     return flagged.where(~F.col(flag)).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 4096 ids."""
+    """Pieces of all documents in sequences of 4096 ids.
+
+    A null text is empty (its end id alone); long texts are cut into pieces;
+    repeated rows are packed each; an empty table gives no pieces.
+    """
     return packing.pack_documents(docs, tokenizer_path())
 
 

@@ -95,9 +95,9 @@ def test_round_trip_and_groups(sides):
     text = "Hello  world, </s> <|endoftext|> 漢字 🙂"
     a = np.array(sides.a.encode(" " + text, add_special_tokens=False).ids)
     b = np.array(sides.b.encode(text))
-    row = align._document(sides, 5, text, a, b)
-    assert row[1] == len(a) and row[2] == len(b) and row[3] == row[4] > 0
-    assert row[6] and sum(p["n"] for p in row[6]) == row[4]
+    n_a, n_b, n_groups, n_links, digest, pair_a, pair_b, n = align._document(sides, text, a, b)
+    assert n_a == len(a) and n_b == len(b) and n_groups == n_links > 0 and len(digest) == 64
+    assert n.sum() == n_links and set(pair_a) <= set(a) and set(pair_b) <= set(b)
 
 
 def test_against_brute_force(spark, sides):

@@ -106,3 +106,16 @@ def test_held_out_accuracy_and_likelihood(spark, sf_dir):
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_equals_its_sql(spark, sf_dir, name):
     assert assert_same(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) > 0
+
+
+def test_near_duplicates_judges_rows_not_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    a, b = speech(rng, "aa", 80), speech(rng, "bb", 80)
+    rows = [(1, a, "x", 0), (2, a + " extra", "y", 1), (2, b, "z", 2), (2, b, "z", 2), (None, a, "w", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, _row long").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2], rows[4]], key=str)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
