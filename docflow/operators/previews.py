@@ -14,8 +14,9 @@ from docflow.functions import keys, paging
 from docflow.operators.lookup import null_safe_join
 from docflow.schemas import DEFAULT_PAGE_CAP
 
-# Takes pages, gives them back with `ok` and `payload` columns.
+# Takes pages, gives them back with `ok`, `payload` and `error` columns.
 Renderer = Callable[[DataFrame], DataFrame]
+NOT_RENDERED = "renderer gave no image"
 
 
 def preview_manifest(
@@ -30,25 +31,36 @@ def preview_manifest(
     )
 
 
-def column_renderer(ok: Column | None = None, payload: Column | None = None) -> Renderer:
-    """Renderer of column expressions; by default a page renders to its own text."""
+def column_renderer(
+    ok: Column | None = None, payload: Column | None = None, error: Column | None = None
+) -> Renderer:
+    """Renderer of column expressions; by default a page renders to its own text.
+
+    ``error`` says why a page did not render; by default that no image came.
+    """
 
     def render(pages: DataFrame) -> DataFrame:
         image = F.encode("page_text", "UTF-8") if payload is None else payload
         done = image.isNotNull() if ok is None else F.coalesce(ok, F.lit(False))
-        return pages.withColumns({"ok": done, "payload": F.when(done, image)})
+        why = F.lit(NOT_RENDERED) if error is None else F.coalesce(error, F.lit(NOT_RENDERED))
+        return pages.withColumns({"ok": done, "payload": F.when(done, image), "error": F.when(~done, why)})
 
     return render
 
 
 def python_renderer(draw: Callable[[str], bytes | None]) -> Renderer:
-    """Renderer around a Python library; ``None`` or an error means not rendered."""
+    """Renderer around a Python library; ``None`` or an error means not rendered.
+
+    The error of a page that raised is kept in ``error`` as ``Type: message``;
+    one that gave ``None`` has ``NOT_RENDERED``.
+    """
 
     def image_of(text):
         try:
-            return draw(text)
-        except Exception:
-            return None
+            image = draw(text)
+        except Exception as failure:
+            return None, f"{type(failure).__name__}: {failure}"
+        return image, None if image is not None else NOT_RENDERED
 
     def render(pages: DataFrame) -> DataFrame:
         schema = T.StructType(
@@ -56,15 +68,17 @@ def python_renderer(draw: Callable[[str], bytes | None]) -> Renderer:
                 *pages.schema.fields,
                 T.StructField("ok", T.BooleanType()),
                 T.StructField("payload", T.BinaryType()),
+                T.StructField("error", T.StringType()),
             ]
         )
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                images = [image_of(text) for text in batch["page_text"]]
+                drawn = [image_of(text) for text in batch["page_text"]]
                 yield batch.assign(
-                    ok=[image is not None for image in images],
-                    payload=pd.Series(images, index=batch.index, dtype=object),
+                    ok=[image is not None for image, _ in drawn],
+                    payload=pd.Series([image for image, _ in drawn], index=batch.index, dtype=object),
+                    error=pd.Series([why for _, why in drawn], index=batch.index, dtype=object),
                 )
 
         return pages.mapInPandas(run, schema)
@@ -77,6 +91,15 @@ def rendered_only(pages: DataFrame) -> DataFrame:
     return pages.where("ok")
 
 
+def page_errors(pages: DataFrame) -> DataFrame:
+    """Pages that did not render and why: the second output of a rendering.
+
+    Read both this and ``rendered_only`` from rendered pages that were written
+    once, so that no page is drawn twice.
+    """
+    return pages.where(~F.col("ok")).drop("payload", "ok")
+
+
 def sticky_success(
     pages: DataFrame, doc_cols: Sequence[str], page_col: str = "page_no", ok_col: str = "ok"
 ) -> DataFrame:

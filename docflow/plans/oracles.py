@@ -253,6 +253,10 @@ SELECT c."Bucket", c."Key", p.n_pages, c.page_no,
 FROM capped c JOIN paged p ON p.doc_id = c.doc_id""",
     "previews_rendered": _RENDERED,
     "previews_rendered_python": _RENDERED,
+    "preview_errors": f"""
+WITH {_PAGED}
+SELECT doc_id, page_no, 'ValueError: page has ' || length(page_text) || ' characters' AS error
+FROM capped WHERE length(page_text) < 200""",
     "sticky_success": _STICKY,
     "sticky_success_flat": _STICKY,
     "retry_schedule": f"""

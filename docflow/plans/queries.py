@@ -228,6 +228,20 @@ def previews_rendered_python(spark, sf_dir):
     return rendered.select("doc_id", "page_no", F.decode("payload", "UTF-8").alias("page_text"))
 
 
+def preview_errors(spark, sf_dir):
+    """Pages that a Python renderer fails on, with its error, from one pass of rendering."""
+    least = fx.MIN_PAGE_CHARS
+
+    def draw(text):
+        if len(text) < least:
+            raise ValueError(f"page has {len(text)} characters")
+        return text.encode()
+
+    table = pages.page_table(_paged(spark, sf_dir).drop("n_pages"))
+    rendered = stored_once(previews.python_renderer(draw)(table), "rendered")
+    return previews.page_errors(rendered).select("doc_id", "page_no", "error")
+
+
 def sticky_success(spark, sf_dir):
     """Flags of a document side by side in its row: no shuffle."""
     flags = F.transform(
@@ -583,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "preview_manifest": preview_manifest,
     "previews_rendered": previews_rendered,
     "previews_rendered_python": previews_rendered_python,
+    "preview_errors": preview_errors,
     "sticky_success": sticky_success,
     "sticky_success_flat": sticky_success_flat,
     "retry_schedule": retry_schedule,

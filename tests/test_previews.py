@@ -106,3 +106,23 @@ def test_key_formats(spark):
     assert tuple(row) == (
         "u-flyer.pdf.pdf", "text-parsed/k", "extracted-text/k", "image-parsed/k/3.png", "extracted-text/k3.png",
     )
+
+
+def test_page_errors_are_kept(spark):
+    from docflow.operators import previews as pv
+
+    def draw(text):
+        if text == "boom":
+            raise ValueError("cannot draw")
+        return None if text == "none" else text.encode()
+
+    pages = spark.createDataFrame(
+        [("b", "k", 1, "fine"), ("b", "k", 2, "boom"), ("b", "k", 3, "none")],
+        "Bucket string, Key string, page_no long, page_text string",
+    )
+    rendered = pv.python_renderer(draw)(pages)
+    errors = sorted((r.page_no, r.error) for r in pv.page_errors(rendered).collect())
+    assert errors == [(2, "ValueError: cannot draw"), (3, pv.NOT_RENDERED)]
+    assert [r.page_no for r in pv.rendered_only(rendered).collect()] == [1]
+    by_column = pv.column_renderer(F.length("page_text") > 4, error=F.lit("too short"))(pages)
+    assert sorted(r.error for r in pv.page_errors(by_column).collect()) == ["too short"] * 3
