@@ -22,19 +22,22 @@ the share of equal samples. Equal texts have equal fingerprints.
 
 The edited text of a document replaces its last ``floor(n / 3)`` code points by
 the first as many (or all) of the next document in descending ``doc_id``; after
-the last comes the first. The order is made by a range-partitioned sort and
-numbered from per-partition counts, so no step needs one task for all rows.
+the last comes the first. Only keys are sorted and numbered (from per-partition
+counts), and each text moves once, to the task of its part of the order; no
+step needs one task for all rows.
 
 Defined results for odd input: a null text is empty; an empty set has the
 empty fingerprint, whose likeness is 1 with another empty one and 0 with any
 other; null ``doc_id`` rows come last in the order; rows equal in ``doc_id``
-are ordered by text, then by their place in the input; a table of one row
+are ordered by ``xxhash64`` of their text, then by their place in the input; a table of one row
 edits its text with itself; an empty table gives no rows; very long texts are
 hashed whole, in slices of bounded bytes; other columns are not read.
 """
 
 from __future__ import annotations
 
+import bisect
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from docflow.llm import words
 from docflow.llm.common import broadcast_if_small, ship, written
@@ -158,20 +161,24 @@ def with_fingerprint(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     return df.mapInArrow(_printer(text_col, out_col), _plus(df, out_col, StringType()))
 
 
-def _likeness_of(x: str, y: str, out_col: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column(x).to_pylist(), batch.column(y).to_pylist(), strict=True)
-            found = pa.array([likeness(a, b) for a, b in pairs], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, out_col])
+OUT = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+    "edited_fingerprint string, near_edited double, near_next double"
+)
+#: Rows of a part of the order at most; a part is paired by one task.
+PART_ROWS = 1 << 18
+#: Parts at least for each core, below PART_ROWS rows a part.
+PARTS_PER_CORE = 4
 
-    return run
+
+def order_key(doc_id, text_hash: int, seq: int) -> tuple:
+    """Descending doc_id with nulls last, then text hash, then place in the input."""
+    return (doc_id is None, -(doc_id or 0), text_hash, seq)
 
 
-def numbered(df: DataFrame, order: list) -> DataFrame:
-    """``df`` with ``rank`` 0, 1, ... in ``order``, from a range-partitioned sort."""
-    spark = df.sparkSession
-    placed = written(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "fingerprint-order")
+def numbered(keys: DataFrame, order: list) -> DataFrame:
+    """Small key rows with ``rank`` 0, 1, ... in ``order``, from a range-partitioned sort."""
+    placed = written(keys.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "fingerprint-order")
     part = F.shiftright("_at", PART_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -180,58 +187,115 @@ def numbered(df: DataFrame, order: list) -> DataFrame:
     starts = broadcast_if_small(starts, 24)
     low = F.col("_at").bitwiseAND(F.lit((1 << PART_BITS) - 1))
     return placed.withColumn("_part", part).join(starts, "_part").select(
-        *df.columns, (F.col("_from") + low).alias("rank")
+        *keys.columns, (F.col("_from") + low).alias("rank")
     )
 
 
+def _parted(firsts: list[tuple]):
+    """Each row's part: the last part whose first key is not above the row's key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "seq")), strict=True)
+            parts = [bisect.bisect_right(firsts, order_key(*k)) - 1 for k in keys]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.int64())], [*batch.schema.names, "part"])
+
+    return run
+
+
+def _paired(after_last: dict[int, tuple[str, str]]):
+    """Rows of parts in order: each with the next one of its part, the last with what follows the part."""
+
+    def finish(row: tuple, next_text: str, next_print: str) -> tuple:
+        doc_id, text, own = row
+        n = len(text)
+        cut = n // 3
+        edited = text[: n - cut] + next_text[:cut]
+        edited_print = fingerprints(pa.array([edited], pa.string()))[0]
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        return doc_id, n, digest, own, edited_print, likeness(own, edited_print), likeness(own, next_print)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_part = None, None
+        for batch in batches:
+            texts = batch.column("text")
+            prints = fingerprints(texts)
+            out = []
+            for doc_id, text, part, own in zip(
+                batch.column("doc_id").to_pylist(), texts.to_pylist(), batch.column("part").to_pylist(), prints,
+                strict=True,
+            ):
+                if held is not None:
+                    out.append(finish(held, text, own) if part == held_part else finish(held, *after_last[held_part]))
+                held, held_part = (doc_id, text, own), part
+            if out:
+                yield pa.RecordBatch.from_pylist([dict(zip(NAMES, r, strict=True)) for r in out], SCHEMA)
+        if held is not None:
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(NAMES, finish(held, *after_last[held_part]), strict=True))], SCHEMA
+            )
+
+    return run
+
+
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+SCHEMA = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("n_chars", pa.int64()),
+        ("edited_sha256", pa.string()),
+        ("fingerprint", pa.string()),
+        ("edited_fingerprint", pa.string()),
+        ("near_edited", pa.float64()),
+        ("near_next", pa.float64()),
+    ]
+)
+
+
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+
+    Only small keys are sorted and numbered. The rank of every ``part_rows``-th
+    key makes the parts; each text is sent once to the task of its part, which
+    sorts it and pairs every row with the next. The last row of a part gets the
+    beginning of the next part's first text, fetched once for each part. ``docs``
+    is read several times and has to give the same rows in the same places each
+    time, as a table does.
+    """
+    spark = docs.sparkSession
     src = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    ).withColumn("seq", F.monotonically_increasing_id())
-    ranked = numbered(src, [F.col("doc_id").desc_nulls_last(), F.col("text"), F.col("seq")])
-    printed = written(with_fingerprint(ranked, "text", "fingerprint"), "fingerprint-own")
-    total = printed.count()
-    if total == 0:
-        schema = (
-            "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-            "edited_fingerprint string, near_edited double, near_next double"
-        )
-        return docs.sparkSession.createDataFrame([], schema)
-    after = printed.select(
-        F.pmod(F.col("rank") - 1, F.lit(total)).alias("rank"),
-        F.col("text").alias("next_text"),
-        F.col("fingerprint").alias("next_fingerprint"),
     )
-    paired = printed.join(after, "rank")
-    n = F.char_length("text")
-    cut = F.floor(n / 3).cast("int")
-    edited = F.concat(F.substring("text", 1, n - cut), F.substring("next_text", 1, cut))
-    paired = paired.select(
-        "doc_id",
-        n.cast("long").alias("n_chars"),
-        "fingerprint",
-        "next_fingerprint",
-        edited.alias("edited"),
-    )
-    edited_printed = with_fingerprint(paired, "edited", "edited_fingerprint")
-    near = edited_printed.mapInArrow(
-        _likeness_of("fingerprint", "edited_fingerprint", "near_edited"),
-        _plus(edited_printed, "near_edited", DoubleType()),
-    )
-    near = near.mapInArrow(
-        _likeness_of("fingerprint", "next_fingerprint", "near_next"), _plus(near, "near_next", DoubleType())
+    src = src.withColumns({"th": F.xxhash64("text"), "seq": F.monotonically_increasing_id()})
+    order = [F.col("doc_id").desc_nulls_last(), F.col("th"), F.col("seq")]
+    ranked = numbered(src.select("doc_id", "th", "seq", F.char_length("text").alias("n")), order)
+    total = ranked.count()
+    if total == 0:
+        return spark.createDataFrame([], OUT)
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    part_rows = max(1, min(PART_ROWS, -(-total // (PARTS_PER_CORE * cores))))
+    parts = -(-total // part_rows)
+    edge = (F.col("rank") % part_rows == 0) | (F.col("rank") % part_rows == part_rows - 1) | (F.col("rank") == total - 1)
+    # Two rows for each part: bounded by the number of parts, not by rows or texts.
+    edges = ranked.where(edge).select("rank", "doc_id", "th", "seq", "n").orderBy("rank").collect()
+    firsts = [order_key(r.doc_id, r.th, r.seq) for r in edges if r.rank % part_rows == 0]
+    first_seq = {r.rank // part_rows: r.seq for r in edges if r.rank % part_rows == 0}
+    last_n = {r.rank // part_rows: r.n for r in edges if r.rank % part_rows == part_rows - 1 or r.rank == total - 1}
+    asks = spark.createDataFrame(
+        [(p, first_seq[(p + 1) % parts], last_n[p] // 3) for p in range(parts)], "part long, seq long, cut long"
     )
-    return near.select(
-        "doc_id",
-        "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
-        "near_edited",
-        "near_next",
+    fetched = (
+        src.join(F.broadcast(asks), "seq")
+        .select("part", F.expr("substring(text, 1, cut)").alias("prefix"), "text")
+        .transform(lambda df: with_fingerprint(df, "text", "next_print"))
+        .select("part", "prefix", "next_print")
+        .collect()
     )
+    after_last = {r.part: (r.prefix, r.next_print) for r in fetched}
+    routed = src.mapInArrow(_parted(firsts), _plus(src, "part", LongType()))
+    ordered = routed.repartition(parts, "part").sortWithinPartitions("part", *order)
+    return ordered.select("doc_id", "text", "part").mapInArrow(_paired(after_last), OUT)
 
 
 ship(__name__)
