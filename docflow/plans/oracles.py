@@ -274,6 +274,14 @@ SELECT w.event_id, w.n * 1000 AS linear_ms, f.a * 1000 AS fibonacci_ms,
        w.n * 1000 AS unknown_ms, w.attempt * 4000 AS exponential_no_reset_ms
 FROM wrapped w JOIN fib f ON f.n = w.n""",
     "stream_visibility": _VISIBILITY,
+    "stream_progress": f"""
+WITH {_PAGED}
+SELECT 'text' AS stage, CAST(count(*) AS BIGINT) AS messages, CAST(0 AS BIGINT) AS failed,
+       CAST(count(*) AS BIGINT) AS outputs, CAST(sum(content_length) AS BIGINT) AS bytes_written
+FROM measured
+UNION ALL
+SELECT 'previews', (SELECT count(*) FROM notes), 0, count(*), CAST(sum(strlen(page_text)) AS BIGINT)
+FROM capped""",
     # Text: done at once. Previews: done at once, but for one language, whose
     # first delivery fails, is hidden 2 s, comes due and is done two minutes on.
     "stream_queue_retries": f"""

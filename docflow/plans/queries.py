@@ -24,6 +24,7 @@ from docflow.schemas import (
     PREVIEW_QUEUE,
     QUARANTINE,
     RETRY_LEDGER,
+    STAGE_SUMMARY,
     TEXT_QUEUE,
     TOPIC,
 )
@@ -377,6 +378,18 @@ def stream_subscriptions(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def stream_progress(spark, sf_dir):
+    """Totals of a run of both stages, from the counts each batch took while writing."""
+    out = _stream(spark, sf_dir, ("text", "previews"), fx.objects(spark, sf_dir))
+    rows = read_or_empty(spark, f"{out}/{runner.SUMMARY_DIR}", STAGE_SUMMARY)
+    return rows.groupBy("stage").agg(
+        F.sum("messages").alias("messages"),
+        F.sum("failed").alias("failed"),
+        F.sum("outputs").alias("outputs"),
+        F.sum("bytes_written").alias("bytes_written"),
+    )
+
+
 def stored_outputs(spark, sf_dir):
     """Texts and previews as objects under their output keys, read back from the store."""
     work = scratch_dir(spark, "stream")
@@ -614,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "stream_dedup": stream_dedup,
     "stream_visibility": stream_visibility,
+    "stream_progress": stream_progress,
     "stream_queue_retries": stream_queue_retries,
     "stream_compacted_text": stream_compacted_text,
 }

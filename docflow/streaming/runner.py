@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -140,7 +140,12 @@ def process_batch(
         counts = []
         for name, outputs in run_stages(readable(prepared), stages).items():
             stage = next(s for s in stages if s.name == name)
-            write_batch(outputs, stage_dir(out, name), batch_id)
+            # Counted while written: the outputs are not read again for their totals.
+            seen = Observation(f"{name}-{batch_id}")
+            counted = outputs.observe(
+                seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("content_length"), F.lit(0)).alias("size")
+            )
+            write_batch(counted, stage_dir(out, name), batch_id)
             done = spark.read.schema(outputs.schema).parquet(f"{stage_dir(out, name)}/batch_id={batch_id}")
             stored = 0
             if put and stage.body:
@@ -148,7 +153,7 @@ def process_batch(
                 receipts = f"{out}/{RECEIPTS_DIR}_{name}"
                 write_batch(put_objects(done, put, stage.body), receipts, batch_id)
                 stored = spark.read.parquet(f"{receipts}/batch_id={batch_id}").count()
-            n, size = done.agg(F.count(F.lit(1)), F.sum("content_length")).first()
+            n, size = seen.get["n"], seen.get["size"]
             counts.append((name, rows, bad, n_failed, n, size or 0, stored))
         if n_failed:
             record_failures(failures, batch_id, out, retry, now)
