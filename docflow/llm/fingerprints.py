@@ -166,7 +166,7 @@ OUT = (
     "edited_fingerprint string, near_edited double, near_next double"
 )
 #: Rows of a part of the order at most; a part is paired by one task.
-PART_ROWS = 1 << 18
+PART_ROWS = 1 << 16
 #: Parts at least for each core, below PART_ROWS rows a part.
 PARTS_PER_CORE = 4
 
@@ -203,8 +203,12 @@ def _parted(firsts: list[tuple]):
     return run
 
 
-def _paired(after_last: dict[int, tuple[str, str]]):
-    """Rows of parts in order: each with the next one of its part, the last with what follows the part."""
+def _paired():
+    """Rows of parts in order, each part closed by a row that holds what follows it.
+
+    Each row is finished with the next one of its part; the last with the closing
+    row, which brings the beginning of the next part's first text and its print.
+    """
 
     def finish(row: tuple, next_text: str, next_print: str) -> tuple:
         doc_id, text, own = row
@@ -216,24 +220,28 @@ def _paired(after_last: dict[int, tuple[str, str]]):
         return doc_id, n, digest, own, edited_print, likeness(own, edited_print), likeness(own, next_print)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_part = None, None
+        held = None
         for batch in batches:
             texts = batch.column("text")
             prints = fingerprints(texts)
             out = []
-            for doc_id, text, part, own in zip(
-                batch.column("doc_id").to_pylist(), texts.to_pylist(), batch.column("part").to_pylist(), prints,
+            for doc_id, text, closing, given, own in zip(
+                batch.column("doc_id").to_pylist(),
+                texts.to_pylist(),
+                batch.column("closing").to_pylist(),
+                batch.column("next_print").to_pylist(),
+                prints,
                 strict=True,
             ):
+                if closing:
+                    out.append(finish(held, text, given))
+                    held = None
+                    continue
                 if held is not None:
-                    out.append(finish(held, text, own) if part == held_part else finish(held, *after_last[held_part]))
-                held, held_part = (doc_id, text, own), part
+                    out.append(finish(held, text, own))
+                held = (doc_id, text, own)
             if out:
                 yield pa.RecordBatch.from_pylist([dict(zip(NAMES, r, strict=True)) for r in out], SCHEMA)
-        if held is not None:
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(NAMES, finish(held, *after_last[held_part]), strict=True))], SCHEMA
-            )
 
     return run
 
@@ -258,7 +266,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Only small keys are sorted and numbered. The rank of every ``part_rows``-th
     key makes the parts; each text is sent once to the task of its part, which
     sorts it and pairs every row with the next. The last row of a part gets the
-    beginning of the next part's first text, fetched once for each part. ``docs``
+    beginning of the next part's first text, fetched once for each part and sent
+    with the part as its closing row. ``docs``
     is read several times and has to give the same rows in the same places each
     time, as a table does.
     """
@@ -285,17 +294,25 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     asks = spark.createDataFrame(
         [(p, first_seq[(p + 1) % parts], last_n[p] // 3) for p in range(parts)], "part long, seq long, cut long"
     )
-    fetched = (
-        src.join(F.broadcast(asks), "seq")
-        .select("part", F.expr("substring(text, 1, cut)").alias("prefix"), "text")
-        .transform(lambda df: with_fingerprint(df, "text", "next_print"))
-        .select("part", "prefix", "next_print")
-        .collect()
+    # One closing row for each part: the beginning of the next part's first text and its print.
+    closing = with_fingerprint(
+        src.join(F.broadcast(asks), "seq").select("part", "text", F.expr("substring(text, 1, cut)").alias("prefix")),
+        "text",
+        "next_print",
+    ).select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.col("prefix").alias("text"),
+        F.lit(None).cast("long").alias("th"),
+        F.lit(None).cast("long").alias("seq"),
+        "part",
+        F.lit(True).alias("closing"),
+        "next_print",
+    )
+    routed = src.mapInArrow(_parted(firsts), _plus(src, "part", LongType())).select(
+        "doc_id", "text", "th", "seq", "part", F.lit(False).alias("closing"), F.lit(None).cast("string").alias("next_print")
     )
-    after_last = {r.part: (r.prefix, r.next_print) for r in fetched}
-    routed = src.mapInArrow(_parted(firsts), _plus(src, "part", LongType()))
-    ordered = routed.repartition(parts, "part").sortWithinPartitions("part", *order)
-    return ordered.select("doc_id", "text", "part").mapInArrow(_paired(after_last), OUT)
+    ordered = routed.unionByName(closing).repartition(parts, "part").sortWithinPartitions("part", "closing", *order)
+    return ordered.select("doc_id", "text", "closing", "next_print").mapInArrow(_paired(), OUT)
 
 
 ship(__name__)
