@@ -165,10 +165,8 @@ OUT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double"
 )
-#: Rows of a part of the order at most; a part is paired by one task.
-PART_ROWS = 1 << 16
-#: Parts at least for each core, below PART_ROWS rows a part.
-PARTS_PER_CORE = 4
+#: Rows of a part of the order; a part is paired by one task, so tasks keep their size at every scale.
+PART_ROWS = 1 << 14
 
 
 def order_key(doc_id, text_hash: int, seq: int) -> tuple:
@@ -282,8 +280,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     total = ranked.count()
     if total == 0:
         return spark.createDataFrame([], OUT)
-    cores = max(1, spark.sparkContext.defaultParallelism)
-    part_rows = max(1, min(PART_ROWS, -(-total // (PARTS_PER_CORE * cores))))
+    part_rows = PART_ROWS
     parts = -(-total // part_rows)
     edge = (F.col("rank") % part_rows == 0) | (F.col("rank") % part_rows == part_rows - 1) | (F.col("rank") == total - 1)
     # Two rows for each part: bounded by the number of parts, not by rows or texts.
