@@ -49,12 +49,14 @@ def latest(rows: DataFrame, key_cols: Sequence[str]) -> DataFrame:
         rows.groupBy(*keys)
         .agg(F.max("batch_id").alias("_newest"), F.min("batch_id").alias("_oldest"))
         .where("_newest > _oldest")
-        .select(*keys, "_newest")
+        # A mark of this call: a cached plan over a folder is otherwise served
+        # again to a later call, after more batches were written to it.
+        .select(*keys, "_newest", F.lit(uuid.uuid4().hex).alias("_call"))
+        .persist()
     )
-    # Not cached: a cached plan over a folder would be served again after more
-    # batches are written to it.
     size = rewritten.agg(row_bytes(rewritten)).first()[0]
     if size == 0:
+        rewritten.unpersist()
         return rows
     rewritten = broadcast_if_small(rewritten, size).alias("newest")
     older = F.col("rows.batch_id") < F.col("newest._newest")

@@ -43,7 +43,7 @@ def test_base_and_deltas(spark, tmp_path):
     # Only the base and the batches after the merge are read: the scan of batches is pruned.
     plan = current._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_id" in plan and "(batch_id#" in plan and " > 2)]" in plan
-    assert compaction.BASES in plan
+    assert any(compaction.BASES in f for f in current.inputFiles())
 
 
 def test_crash_between_merge_and_switch(spark, tmp_path):
