@@ -58,9 +58,9 @@ LABELS = 10
 SCALE = 256
 LEVELS = 2
 LEAF = 16
-#: Bytes of one block of anchors in a task's closure, and rows of a batch.
+#: Bytes of one block of anchors in a task's closure, and of the scores of a slice of rows against it.
 BLOCK_BYTES = 16 << 20
-BATCH_ROWS = 4096
+SCORE_BYTES = 64 << 20
 INT64_SAFE = 1 << 62
 
 
@@ -165,6 +165,14 @@ def _blocks(anchors: DataFrame, dims: int) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(held, columns=anchors.columns)
 
 
+def _slices(batches: Iterator[pd.DataFrame], anchors: int) -> Iterator[pd.DataFrame]:
+    """Rows in slices whose scores against ``anchors`` anchors take ``SCORE_BYTES`` at most."""
+    size = max(1, SCORE_BYTES // (8 * max(anchors, 1)))
+    for batch in batches:
+        for start in range(0, len(batch), size):
+            yield batch.iloc[start : start + size]
+
+
 def _positive_heaps(block: pd.DataFrame, k: int):
     """Each task's best ``k`` rows of the anchor's label, for every anchor of the block."""
     a_ids = block["vec_id"].to_numpy(np.int64)
@@ -173,7 +181,7 @@ def _positive_heaps(block: pd.DataFrame, k: int):
     slot = block["slot"].to_numpy(np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches, len(a_ids)):
             batch = batch[batch["vec"].map(len) == a_q.shape[1]]
             if batch.empty:
                 continue
@@ -204,7 +212,7 @@ def _negative_heaps(block: pd.DataFrame, positive_scores: dict[int, np.ndarray],
     slot = block["slot"].to_numpy(np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches, len(a_ids)):
             batch = batch[batch["vec"].map(len) == a_q.shape[1]]
             if batch.empty:
                 continue

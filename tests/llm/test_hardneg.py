@@ -87,6 +87,7 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     rows = _rows()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     monkeypatch.setattr(hardneg, "BLOCK_BYTES", 8 * 8 * 2)
+    monkeypatch.setattr(hardneg, "SCORE_BYTES", 8 * 2 * 3)
     assert sorted(tuple(r) for r in hardneg.hard_negatives(df).collect()) == _brute(rows)
 
 
