@@ -35,8 +35,10 @@ def line_extractor(
         # Bytes that are no text are not split: they would come out damaged.
         content = F.col(content_col).cast("string")
         text = F.when(F.is_valid_utf8(content), content)
-        lines = docs.withColumn("_lines", F.split(text, "\n"))
-        n_pages = F.ceil(F.size("_lines") / lines_per_page).cast("bigint")
+        # With a cap only the lines of its pages are split off; the rest stays one item.
+        limit = -1 if cap is None else paging.check_cap(cap) * lines_per_page + 1
+        lines = docs.withColumns({"_text": text}).withColumn("_lines", F.split("_text", "\n", limit))
+        n_pages = paging.line_page_count("_text", lines_per_page)
         wanted = n_pages if cap is None else paging.pages_processed(n_pages, cap)
         texts = F.transform(
             F.sequence(F.lit(0), (wanted - 1).cast("int")),
@@ -54,7 +56,7 @@ def line_extractor(
                     F.when(F.col("_lines").isNull(), "content is no UTF-8 text"),
                 ),
             }
-        ).drop("_lines")
+        ).drop("_lines", "_text")
 
     return extract
 
