@@ -44,6 +44,10 @@ def append_attachments(
     of any size. Rows are joined and first put together per run of ``part_size``
     ordinals, so a document with very many attachments is spread over tasks and
     only its finished parts meet.
+
+    Attachments without an ordinal come first; attachments of equal ordinal
+    (or of none) follow each other in the order of their page text, so the
+    result does not depend on how the rows are partitioned.
     """
     # Attachments without an ordinal come first, in a part of their own.
     part = F.coalesce(
@@ -66,7 +70,7 @@ def append_attachments(
     )
     parts = pieces.groupBy(doc_col, "_part").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.expr("listagg(_piece, '') within group (order by ordinal)").alias("_text"),
+        F.expr("listagg(_piece, '') within group (order by ordinal, _piece)").alias("_text"),
     )
     whole = parts.groupBy(doc_col).agg(
         F.sum("_n").alias("_n"),

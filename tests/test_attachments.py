@@ -58,3 +58,12 @@ def test_flat_against_brute_force(spark, part_size):
         pages = ["".join(r[3].split("|")[: min(n, 10)]) for r in kept]
         want[d] = (len(kept), f"<{d}>" + "".join(pages))
     assert {r.doc: (r.n_attachments, r.text) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_flat_ties_in_a_defined_order(spark, partitions):
+    main = spark.createDataFrame([(1, 5, "<1>")], "doc long, n_pages long, text string")
+    rows = [(1, 2, PDF, "b"), (1, 2, PDF, "a"), (1, None, PDF, "z"), (1, None, PDF, "y"), (1, 1, PDF, "c"), (1, 2, PDF, "a")]
+    att = spark.createDataFrame(rows, "doc long, ordinal long, subtype string, content string").repartition(partitions)
+    got = append_attachments(main, att, "doc", F.split("content", "\\|"), part_size=2).first()
+    assert (got.n_attachments, got.text) == (6, "<1>yzcaab")
