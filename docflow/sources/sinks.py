@@ -65,34 +65,47 @@ def latest(rows: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     return rows.alias("rows").join(rewritten, older, "left_anti")
 
 
-def put_objects(rows: DataFrame, base_uri: str, body_col: str) -> DataFrame:
+def put_objects(rows: DataFrame, base_uri: str, body_col: str, writers: int = 8) -> DataFrame:
     """Store each row's body at ``base_uri/Bucket/output_key``, replacing what is
-    there; gives one receipt per object, and writes when the receipts are read."""
+    there; gives one receipt per object, and writes when the receipts are read.
+
+    A task writes ``writers`` objects at once and makes each folder once.
+    """
     bodies = rows.select("Bucket", "output_key", F.col(body_col).cast("binary").alias("_body"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from concurrent.futures import ThreadPoolExecutor
+
         from pyarrow import fs as arrow_fs
 
         store, root = arrow_fs.FileSystem.from_uri(base_uri)
         on_disk = isinstance(store, arrow_fs.LocalFileSystem)
-        for batch in batches:
-            sizes = []
-            for bucket, key, body in batch.itertuples(index=False):
-                if ".." in f"{bucket}/{key}".split("/"):
-                    raise ValueError(f"key leaves the store: {bucket}/{key}")
-                path = f"{root}/{bucket}/{key}"
-                target = path
-                if on_disk:
-                    # Object stores show an object only when complete; a disk
-                    # does not, so the file is moved into place.
-                    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                    target = f"{path}.{uuid.uuid4().hex}.part"
-                with store.open_output_stream(target) as stream:
-                    stream.write(body)
+        made: set[str] = set()
+
+        def put(item) -> int:
+            bucket, key, body = item
+            path = f"{root}/{bucket}/{key}"
+            # Object stores show an object only when complete; a disk does not,
+            # so there the file is moved into place.
+            target = f"{path}.{uuid.uuid4().hex}.part" if on_disk else path
+            with store.open_output_stream(target) as stream:
+                stream.write(body)
+            if on_disk:
+                store.move(target, path)
+            return len(body)
+
+        with ThreadPoolExecutor(writers) as pool:
+            for batch in batches:
+                items = list(batch.itertuples(index=False))
+                for bucket, key, _ in items:
+                    if ".." in f"{bucket}/{key}".split("/"):
+                        raise ValueError(f"key leaves the store: {bucket}/{key}")
                 if on_disk:
-                    store.move(target, path)
-                sizes.append(len(body))
-            yield batch[["Bucket", "output_key"]].assign(content_length=sizes)
+                    for folder in {f"{root}/{b}/{k}".rsplit("/", 1)[0] for b, k, _ in items} - made:
+                        store.create_dir(folder, recursive=True)
+                        made.add(folder)
+                sizes = list(pool.map(put, items))
+                yield batch[["Bucket", "output_key"]].assign(content_length=sizes)
 
     return bodies.mapInPandas(run, RECEIPT)
 
