@@ -17,7 +17,7 @@ PROBE_CONV, PROBE_TEXT = -7, "</s>[INST] ok [/INST]"
 URL_RULES = (
     ("org/", "allow"),
     ("example.org/es/", "block"),
-    ("example.org/en/1", "allow"),
+    ("example.org/en/1", "block"),
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 )
