@@ -98,38 +98,44 @@ def _wrapped(attempt: int) -> int:
     return attempt % MAX_TRIES if attempt > MAX_TRIES else attempt
 
 
+def _in_time(row: dict) -> tuple:
+    seq = row["seq"]
+    return row["at_ms"], KIND_ORDER.get(row["kind"], len(KIND_ORDER)), seq is None, seq or 0
+
+
 def _stepper(delays: dict[str, list[int]], names: list[str]):
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         queue, uid, *carried = key
         attempts, last_failed, visible = state.get if state.exists else (0, None, None)
         out = []
 
-        def emit(kind, attempt, at_ms, visible_ms):
-            out.append((queue, uid, kind, attempt, at_ms, visible_ms, *carried))
+        def emit(step_name, attempt, at_ms, visible_ms):
+            out.append((queue, uid, step_name, attempt, at_ms, visible_ms, *carried))
 
         if state.hasTimedOut:
             if visible is not None:
                 emit("due", attempts + 1, visible, visible)
                 visible = None
         else:
-            rows = pd.concat(list(frames), ignore_index=True)
-            rows["_order"] = rows["kind"].map(KIND_ORDER).fillna(3)
-            for r in rows.sort_values(["at_ms", "_order", "seq"]).itertuples(index=False):
-                at = int(r.at_ms)
+            # Plain values: a group has few rows, and sorting them in pandas costs more
+            # than all the steps taken.
+            rows = [row for frame in frames for row in frame["outcome"]]
+            for row in sorted(rows, key=_in_time):
+                at, kind = row["at_ms"], row["kind"]
                 if visible is not None and visible < at:
                     emit("due", attempts + 1, visible, visible)
                     visible = None
-                if r.kind == "failed":
+                if kind == "failed":
                     attempts += 1
                     last_failed = at
                     visible = at + delays[queue][_wrapped(attempts)]
                     emit("failed", attempts, at, visible)
-                elif r.kind == "ok":
+                elif kind == "ok":
                     emit("done", attempts, at, None)
                     attempts, last_failed, visible = 0, None, None
-                elif r.kind == "delay":
+                elif kind == "delay":
                     if visible is not None:
-                        visible = at + 1000 * int(r.seconds or 0)
+                        visible = at + 1000 * int(row["seconds"] or 0)
                         emit("delayed", attempts, at, visible)
                     else:
                         emit("ignored", attempts, at, None)
@@ -140,8 +146,8 @@ def _stepper(delays: dict[str, list[int]], names: list[str]):
             if visible is not None:
                 state.setTimeoutTimestamp(max(visible, 1))
         if out:
-            frame = pd.DataFrame(out, columns=names)
-            yield frame.astype({"attempt": "int32", "at_ms": "int64", "visible_ms": "Int64"})
+            # Objects make a frame of one block; the schema given to Spark types them.
+            yield pd.DataFrame(out, columns=names, dtype=object)
 
     return step
 
@@ -162,10 +168,8 @@ def visibility_steps(outcomes: DataFrame, policies: dict[str, RetryPolicy], carr
         F.coalesce("queue", F.lit("")).alias("queue"),
         F.coalesce("uid", F.lit("")).alias("uid"),
         F.timestamp_millis(F.unix_millis("at")).alias("at"),
-        F.unix_millis("at").alias("at_ms"),
-        "kind",
-        "seconds",
-        "seq",
+        # One column: each is turned into a series of its own for every group.
+        F.struct(F.unix_millis("at").alias("at_ms"), "kind", "seconds", "seq").alias("outcome"),
         *carry,
     ).where(F.col("at").isNotNull())
     steps = (

@@ -112,3 +112,35 @@ def test_delays_come_from_the_retry_expressions(spark):
     assert table["b"][:6] == [1000, 1000, 2000, 3000, 5000, 8000]
     with pytest.raises(ValueError):
         visibility.delay_table(spark, {"c": RetryPolicy("linear", reset=False)})
+
+
+def test_a_group_of_few_rows_costs_less_than_one_sort_in_pandas():
+    """A stream has as many groups as messages: what one costs decides how long it takes."""
+    import time
+
+    import pandas as pd
+
+    class State:
+        exists, hasTimedOut = False, False
+
+        def update(self, value):
+            self.value = value
+
+        remove = setTimeoutTimestamp = lambda self, *_: None
+
+    def best(run):
+        times = []
+        for _ in range(200):
+            began = time.perf_counter()
+            run()
+            times.append(time.perf_counter() - began)
+        return min(times)
+
+    kinds = ["failed", "delay", "ok", "failed", None, "delay"]
+    rows = [{"at_ms": 1000 - k, "kind": kind, "seconds": None, "seq": k} for k, kind in enumerate(kinds)]
+    frame = pd.DataFrame({"queue": "q", "uid": "1", "outcome": rows}).join(pd.DataFrame(rows))
+    step = visibility._stepper({"q": [10] * 20}, visibility.STEPS.fieldNames())
+    (out,) = step(("q", "1"), iter([frame]), State())
+    assert out["step"].tolist() == ["ignored", "failed", "done", "ignored", "failed"]
+    spent = best(lambda: list(step(("q", "1"), iter([frame]), State())))
+    assert spent < best(lambda: frame[["at_ms", "seq"]].assign(kind=1).sort_values(["at_ms", "kind", "seq"]))
