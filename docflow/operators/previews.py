@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from docflow.schemas import DEFAULT_PAGE_CAP
 # Takes pages, gives them back with `ok`, `payload` and `error` columns.
 Renderer = Callable[[DataFrame], DataFrame]
 NOT_RENDERED = "renderer gave no image"
+ROWS_DRAWN = 256
 
 
 def preview_manifest(
@@ -72,16 +72,23 @@ def python_renderer(draw: Callable[[str], bytes | None]) -> Renderer:
             ]
         )
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                drawn = [image_of(text) for text in batch["page_text"]]
-                yield batch.assign(
-                    ok=[image is not None for image, _ in drawn],
-                    payload=pd.Series([image for image, _ in drawn], index=batch.index, dtype=object),
-                    error=pd.Series([why for _, why in drawn], index=batch.index, dtype=object),
-                )
-
-        return pages.mapInPandas(run, schema)
+        rows_drawn = ROWS_DRAWN
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                # Some rows at a time: texts and images of a batch are not all held at once.
+                for at in range(0, whole.num_rows, rows_drawn):
+                    batch = whole.slice(at, rows_drawn)
+                    texts = batch.column(batch.schema.get_field_index("page_text")).to_pylist()
+                    images, errors = zip(*map(image_of, texts))
+                    added = (
+                        pa.array([image is not None for image in images], pa.bool_()),
+                        pa.array(images, pa.binary()),
+                        pa.array(errors, pa.string()),
+                    )
+                    yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=schema.fieldNames())
+
+        return pages.mapInArrow(run, schema)
 
     return render
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docflow.functions import keys
+from docflow.operators import previews
 from docflow.operators.previews import (
     column_renderer,
     preview_manifest,
@@ -126,3 +127,23 @@ def test_page_errors_are_kept(spark):
     assert [r.page_no for r in pv.rendered_only(rendered).collect()] == [1]
     by_column = pv.column_renderer(F.length("page_text") > 4, error=F.lit("too short"))(pages)
     assert sorted(r.error for r in pv.page_errors(by_column).collect()) == ["too short"] * 3
+
+
+def test_a_batch_is_drawn_some_rows_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    taken, drawn = [], []
+    df = spark.createDataFrame([(1, "x")], "page_no long, page_text string")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(df), "mapInArrow", lambda self, run, schema: taken.append(run) or self)
+        previews.python_renderer(lambda text: drawn.append(text) or text.encode())(df)
+    (run,) = taken
+    texts = [None if k == 700 else str(k) for k in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(texts)], names=["page_no", "page_text"])
+    given = run(iter([batch]))
+    first = next(given)
+    assert first.num_rows == len(drawn) == 256
+    rows = first.to_pylist() + [row for more in given for row in more.to_pylist()]
+    assert [r["page_text"] for r in rows] == texts
+    assert [r["page_no"] for r in rows if not r["ok"]] == [700]
+    assert rows[700]["payload"] is None and rows[700]["error"].startswith("AttributeError")
