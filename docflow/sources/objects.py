@@ -3,21 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from urllib.parse import unquote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.operators.lookup import OBJECT_KEY, OBJECT_PART, Fetcher
+from docflow.session import stored_once
 
-BYTES_PER_BATCH = 64 * 1024 * 1024
+# A batch is held about three times over, by each task of an executor.
+BYTES_PER_BATCH = 8 * 1024 * 1024
 READERS = 8
 
 
+def _folder_store(path: str):
+    """Whether pyarrow opens ``path`` as a folder; workers then list and read it."""
+    from pyarrow import ArrowException
+    from pyarrow import fs as arrow_fs
+
+    try:
+        store, root = arrow_fs.FileSystem.from_uri(path.rstrip("/") or "/")
+        return store.get_file_info(root).type == arrow_fs.FileType.Directory
+    except (ArrowException, OSError, ValueError):
+        return False
+
+
 def read_objects(spark: SparkSession, path: str, bucket: str, glob: str = "*") -> DataFrame:
-    """All files below a folder; the key is the path relative to that folder."""
+    """All files below a folder; the key is the path relative to that folder.
+
+    Tasks list the folders, one level of them after the other, and read the files, so
+    the driver holds none of their names. What only Spark's own reader opens (a
+    pattern, a single file, another scheme) is listed by the driver.
+    """
+    if _folder_store(path):
+        return _read_files(_list_files(spark, path, glob), path, bucket)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -32,6 +54,113 @@ def read_objects(spark: SparkSession, path: str, bucket: str, glob: str = "*") -
     )
 
 
+LISTED = T.StructType([T.StructField("Key", T.StringType()), T.StructField("folder", T.BooleanType())])
+
+
+def _list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(Key) of all files below a folder that Spark would read, from one job for each level."""
+    entries_per_batch = 4096
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+        from fnmatch import fnmatchcase
+
+        from pyarrow import fs as arrow_fs
+
+        store, root = arrow_fs.FileSystem.from_uri(path.rstrip("/") or "/")
+
+        def entries(folder):
+            where = f"{root}/{folder}" if folder else root
+            if isinstance(store, arrow_fs.LocalFileSystem):
+                # Streamed: a folder may hold more names than fit one list.
+                with os.scandir(where) as found:
+                    yield from ((entry.name, entry.is_dir()) for entry in found)
+            else:
+                for info in store.get_file_info(arrow_fs.FileSelector(where)):
+                    yield info.base_name, info.type == arrow_fs.FileType.Directory
+
+        def hidden(name):
+            return (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+
+        def batch_of(rows):
+            keys, folders = zip(*rows)
+            columns = [pa.array(keys, pa.string()), pa.array(folders, pa.bool_())]
+            return pa.RecordBatch.from_arrays(columns, names=["Key", "folder"])
+
+        rows = []
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                for name, is_folder in entries(folder):
+                    if hidden(name) or not (is_folder or fnmatchcase(name, glob)):
+                        continue
+                    rows.append((f"{folder}/{name}" if folder else name, is_folder))
+                    if len(rows) >= entries_per_batch:
+                        yield batch_of(rows)
+                        rows = []
+        if rows:
+            yield batch_of(rows)
+
+    level, files = spark.createDataFrame([("",)], "Key string"), []
+    while True:
+        found = stored_once(level.mapInArrow(run, LISTED), "listing")
+        files.append(found.where("NOT folder").select("Key"))
+        folders = found.where("folder").select("Key")
+        if folders.isEmpty():
+            return reduce(DataFrame.unionAll, files)
+        level = folders.repartition(4 * spark.sparkContext.defaultParallelism, "Key")
+
+
+def _read_files(files: DataFrame, path: str, bucket: str) -> DataFrame:
+    """Files by their keys with content, length and time, some read at once by each task."""
+    schema = T.StructType(
+        [
+            T.StructField("Key", T.StringType()),
+            T.StructField("content", T.BinaryType()),
+            T.StructField("modified_ms", T.LongType()),
+        ]
+    )
+    readers, bytes_per_batch = READERS, BYTES_PER_BATCH
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from concurrent.futures import ThreadPoolExecutor
+
+        from pyarrow import fs as arrow_fs
+
+        store, root = arrow_fs.FileSystem.from_uri(path.rstrip("/") or "/")
+
+        def read(key):
+            file = f"{root}/{key}"
+            modified = store.get_file_info(file).mtime_ns
+            with store.open_input_stream(file) as stream:
+                return key, stream.read(), modified // 1_000_000 if modified is not None else None
+
+        def batch_of(rows):
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.binary(), pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+        with ThreadPoolExecutor(readers) as pool:
+            for batch in batches:
+                keys, rows, size = batch.column(0).to_pylist(), [], 0
+                for at in range(0, len(keys), readers):
+                    some = list(pool.map(read, keys[at : at + readers]))
+                    rows += some
+                    size += sum(len(content) for _, content, _ in some)
+                    if size >= bytes_per_batch:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch_of(rows)
+
+    spread = files.repartition(4 * files.sparkSession.sparkContext.defaultParallelism, "Key")
+    return spread.mapInArrow(run, schema).select(
+        F.lit(bucket).alias("Bucket"),
+        "Key",
+        "content",
+        F.octet_length("content").cast("long").alias("length"),
+        F.timestamp_millis("modified_ms").alias("modificationTime"),
+    )
+
+
 def object_part(parts: int) -> Column:
     """Part of a partitioned object table that an object belongs to."""
     return F.pmod(F.xxhash64(*OBJECT_KEY), F.lit(parts)).cast("int")
@@ -81,12 +210,13 @@ def store_fetcher(base_uri: str, tasks: int | None = None) -> Fetcher:
         readers = READERS
         bytes_per_batch = BYTES_PER_BATCH
 
-        def with_contents(rows, found):
-            contents = pd.Series([c for c, _ in found], index=rows.index, dtype=object)
-            errors = pd.Series([e for _, e in found], index=rows.index, dtype=object)
-            return rows.assign(content=contents, error=errors)
+        def with_contents(batch, rows, found):
+            contents = pa.array([c for c, _ in found], pa.binary())
+            errors = pa.array([e for _, e in found], pa.string())
+            columns = batch.take(pa.array(rows, pa.int64())).columns
+            return pa.RecordBatch.from_arrays([*columns, contents, errors], names=schema.fieldNames())
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from concurrent.futures import ThreadPoolExecutor
 
             from pyarrow import fs as arrow_fs
@@ -111,21 +241,24 @@ def store_fetcher(base_uri: str, tasks: int | None = None) -> Fetcher:
 
             with ThreadPoolExecutor(readers) as pool:
                 for batch in batches:
+                    buckets, keys = (
+                        batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("Bucket", "Key")
+                    )
                     rows, found, size = [], [], 0
-                    for at in range(0, len(batch), readers):
-                        some = batch.iloc[at : at + readers]
-                        for row, got in enumerate(pool.map(read, some["Bucket"], some["Key"]), at):
+                    for at in range(0, len(keys), readers):
+                        some = slice(at, at + readers)
+                        for row, got in enumerate(pool.map(read, buckets[some], keys[some]), at):
                             if got is None:
                                 continue
                             rows.append(row)
                             found.append(got)
                             size += len(got[0] or b"")
                         if size >= bytes_per_batch:
-                            yield with_contents(batch.iloc[rows], found)
+                            yield with_contents(batch, rows, found)
                             rows, found, size = [], [], 0
                     if rows:
-                        yield with_contents(batch.iloc[rows], found)
+                        yield with_contents(batch, rows, found)
 
-        return notifications.mapInPandas(run, schema)
+        return notifications.mapInArrow(run, schema)
 
     return fetch

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,11 +69,12 @@ def put_objects(rows: DataFrame, base_uri: str, body_col: str, writers: int = 8)
     """Store each row's body at ``base_uri/Bucket/output_key``, replacing what is
     there; gives one receipt per object, and writes when the receipts are read.
 
-    A task writes ``writers`` objects at once and makes each folder once.
+    A task writes ``writers`` objects at once and makes each folder once; it takes
+    some rows of an Arrow batch at a time, so only those are copied.
     """
     bodies = rows.select("Bucket", "output_key", F.col(body_col).cast("binary").alias("_body"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from concurrent.futures import ThreadPoolExecutor
 
         from pyarrow import fs as arrow_fs
@@ -95,8 +96,8 @@ def put_objects(rows: DataFrame, base_uri: str, body_col: str, writers: int = 8)
             return len(body)
 
         with ThreadPoolExecutor(writers) as pool:
-            for batch in batches:
-                items = list(batch.itertuples(index=False))
+            for batch in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
+                items = list(zip(*(column.to_pylist() for column in batch.columns)))
                 for bucket, key, _ in items:
                     if ".." in f"{bucket}/{key}".split("/"):
                         raise ValueError(f"key leaves the store: {bucket}/{key}")
@@ -105,9 +106,10 @@ def put_objects(rows: DataFrame, base_uri: str, body_col: str, writers: int = 8)
                         store.create_dir(folder, recursive=True)
                         made.add(folder)
                 sizes = list(pool.map(put, items))
-                yield batch[["Bucket", "output_key"]].assign(content_length=sizes)
+                columns = [*batch.columns[:2], pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["Bucket", "output_key", "content_length"])
 
-    return bodies.mapInPandas(run, RECEIPT)
+    return bodies.mapInArrow(run, RECEIPT)
 
 
 def read_batches(

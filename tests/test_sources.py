@@ -128,3 +128,56 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one != two
     if root:
         assert one.startswith(root.rstrip("/"))
+
+
+def test_read_objects_lists_folders_in_tasks(spark, tmp_path):
+    for name in ("a.txt", "x/b é.txt", "x/y/c.txt", "x/y/d.png", "_x/e.txt", "x/.f.txt", "x/g=1/_h.txt", "x/_i=2.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    for path in (str(tmp_path), tmp_path.as_uri(), f"{tmp_path}/"):
+        found = read_objects(spark, path, "b", "*.txt")
+        # The driver knows the files of the listing, not those listed.
+        assert not any(name.endswith(".txt") for name in found.inputFiles())
+        rows = found.collect()
+        assert sorted(r.Key for r in rows) == ["a.txt", "x/_i=2.txt", "x/b é.txt", "x/y/c.txt"]
+        assert all(bytes(r.content).decode() == r.Key and r.length == len(r.content) for r in rows)
+        assert all(r.Bucket == "b" and r.modificationTime is not None for r in rows)
+    assert [r.Key for r in read_objects(spark, f"{tmp_path}/x/*/c.txt", "b").collect()]
+    (tmp_path / "empty").mkdir()
+    assert read_objects(spark, str(tmp_path / "empty"), "b").count() == 0
+
+
+def _run_of(df, monkeypatch, build):
+    """The function that ``build`` gives to mapInArrow."""
+    taken = []
+    with monkeypatch.context() as patch:
+        patch.setattr(type(df), "mapInArrow", lambda self, run, schema: taken.append(run) or self)
+        build(df)
+    return taken[0]
+
+
+def test_a_batch_is_put_some_rows_at_a_time(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    df = spark.createDataFrame([("b", "k", "t")], "Bucket string, output_key string, text string")
+    run = _run_of(df, monkeypatch, lambda rows: put_objects(rows, tmp_path.as_uri(), "text"))
+    columns = [["b"] * 1000, [f"{i}.txt" for i in range(1000)], [b"x"] * 1000]
+    batch = pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["Bucket", "output_key", "_body"])
+    receipts = run(iter([batch]))
+    first = next(receipts)
+    assert first.num_rows == len(list((tmp_path / "b").iterdir())) == 256
+    assert first.num_rows + sum(r.num_rows for r in receipts) == 1000
+
+
+def test_contents_fetched_are_held_in_small_batches(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    (tmp_path / "b").mkdir()
+    for i in range(40):
+        (tmp_path / "b" / str(i)).write_bytes(b"x" * (1 << 20))
+    df = spark.createDataFrame([("u", "b", "k")], COLUMNS)
+    run = _run_of(df, monkeypatch, lambda rows: store_fetcher(tmp_path.as_uri())(rows))
+    columns = [["u"] * 40, ["b"] * 40, list(map(str, range(40)))]
+    batch = pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["uid", "Bucket", "Key"])
+    sizes = [sum(map(len, b.column(3).to_pylist())) for b in run(iter([batch]))]
+    assert sum(sizes) == 40 << 20 and max(sizes) <= 16 << 20
