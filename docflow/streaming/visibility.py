@@ -1,4 +1,4 @@
-"""Redelivery as state with timers, one state for each message and queue.
+"""Redelivery as state with timers, one state for each message and queue, many to a slot.
 
 A queue's consumer reports an outcome for each delivery it handled: ``failed``,
 ``ok``, or a ``delay`` asked for by a caller. The state of a (queue, message)
@@ -74,6 +74,9 @@ STATE = T.StructType(
         T.StructField("visible_ms", T.LongType()),
     ]
 )
+#: Groups of the stream. A group costs far more than a message's steps, so messages share
+#: groups by their hash; each keeps a state of its own there. A checkpoint keeps its number of slots.
+SLOTS = 1024
 #: Order of outcomes at the same moment.
 KIND_ORDER = {"failed": 0, "delay": 1, "ok": 2}
 
@@ -104,47 +107,64 @@ def _in_time(row: dict) -> tuple:
 
 
 def _stepper(delays: dict[str, list[int]], names: list[str]):
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        queue, uid, *carried = key
-        attempts, last_failed, visible = state.get if state.exists else (0, None, None)
+    n_keys = 2 + len(names) - len(STEPS)
+
+    def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # Of each message of the slot: its attempts, last failure and visibility.
+        held = {}
+        if state.exists:
+            columns = state.get
+            held = dict(zip(zip(*columns[:n_keys]), zip(*columns[n_keys:])))
         out = []
 
-        def emit(step_name, attempt, at_ms, visible_ms):
+        def emit(message, step_name, attempt, at_ms, visible_ms):
+            queue, uid, *carried = message
             out.append((queue, uid, step_name, attempt, at_ms, visible_ms, *carried))
 
-        if state.hasTimedOut:
-            if visible is not None:
-                emit("due", attempts + 1, visible, visible)
-                visible = None
-        else:
-            # Plain values: a group has few rows, and sorting them in pandas costs more
-            # than all the steps taken.
-            rows = [row for frame in frames for row in frame["outcome"]]
+        came = {}
+        if not state.hasTimedOut:
+            # Plain values: sorting a message's few rows in pandas costs more than all the steps taken.
+            keys = [*names[:2], *names[len(STEPS) :]]
+            for frame in frames:
+                for *message, row in zip(*(frame[k].tolist() for k in (*keys, "outcome"))):
+                    came.setdefault(tuple(message), []).append(row)
+        for message, rows in came.items():
+            attempts, last_failed, visible = held.pop(message, (0, None, None))
             for row in sorted(rows, key=_in_time):
                 at, kind = row["at_ms"], row["kind"]
                 if visible is not None and visible < at:
-                    emit("due", attempts + 1, visible, visible)
+                    emit(message, "due", attempts + 1, visible, visible)
                     visible = None
                 if kind == "failed":
                     attempts += 1
                     last_failed = at
-                    visible = at + delays[queue][_wrapped(attempts)]
-                    emit("failed", attempts, at, visible)
+                    visible = at + delays[message[0]][_wrapped(attempts)]
+                    emit(message, "failed", attempts, at, visible)
                 elif kind == "ok":
-                    emit("done", attempts, at, None)
+                    emit(message, "done", attempts, at, None)
                     attempts, last_failed, visible = 0, None, None
                 elif kind == "delay":
                     if visible is not None:
                         visible = at + 1000 * int(row["seconds"] or 0)
-                        emit("delayed", attempts, at, visible)
+                        emit(message, "delayed", attempts, at, visible)
                     else:
-                        emit("ignored", attempts, at, None)
-        if attempts == 0 and visible is None:
+                        emit(message, "ignored", attempts, at, None)
+            came[message] = attempts, last_failed, visible
+        # The slot's timer is that of its first message: others may have come due with it.
+        now = state.getCurrentWatermarkMs() if held else 0
+        for message, (attempts, last_failed, visible) in held.items():
+            if visible is not None and visible < now:
+                emit(message, "due", attempts + 1, visible, visible)
+                visible = None
+            came[message] = attempts, last_failed, visible
+        kept = [(*m, *v) for m, v in came.items() if v[0] or v[2] is not None]
+        if not kept:
             state.remove()
         else:
-            state.update((attempts, last_failed, visible))
-            if visible is not None:
-                state.setTimeoutTimestamp(max(visible, 1))
+            state.update(tuple(map(list, zip(*kept))))
+            pending = [row[-1] for row in kept if row[-1] is not None]
+            if pending:
+                state.setTimeoutTimestamp(max(min(pending), 1))
         if out:
             # Objects make a frame of one block; the schema given to Spark types them.
             yield pd.DataFrame(out, columns=names, dtype=object)
@@ -162,21 +182,24 @@ def visibility_steps(outcomes: DataFrame, policies: dict[str, RetryPolicy], carr
     spark = outcomes.sparkSession
     carried = [outcomes.schema[c] for c in carry]
     schema = T.StructType([*STEPS.fields, *carried])
+    message = ["queue", "uid", *carry]
+    state = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in (*STEPS[:2], *carried, *STATE)])
     delays = _DefaultDelays(delay_table(spark, policies), delay_table(spark, {"": RetryPolicy("linear")})[""])
     # Milliseconds as numbers: the timers' unit, free of any time zone.
     timed = outcomes.select(
         F.coalesce("queue", F.lit("")).alias("queue"),
         F.coalesce("uid", F.lit("")).alias("uid"),
         F.timestamp_millis(F.unix_millis("at")).alias("at"),
-        # One column: each is turned into a series of its own for every group.
+        # One column: its missing numbers stay apart from its numbers.
         F.struct(F.unix_millis("at").alias("at_ms"), "kind", "seconds", "seq").alias("outcome"),
         *carry,
     ).where(F.col("at").isNotNull())
     steps = (
-        timed.withWatermark("at", "0 seconds")
-        .groupBy("queue", "uid", *carry)
+        timed.withColumn("_slot", F.pmod(F.xxhash64(*message), F.lit(SLOTS)))
+        .withWatermark("at", "0 seconds")
+        .groupBy("_slot")
         .applyInPandasWithState(
-            _stepper(delays, schema.fieldNames()), schema, STATE, "append", GroupStateTimeout.EventTimeTimeout
+            _stepper(delays, schema.fieldNames()), schema, state, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
     return steps.select(

@@ -78,6 +78,15 @@ def test_equal_to_sql_whatever_the_batches(spark, events_dir, monkeypatch, batch
     assert max(r[3] for r in want if r[1] == "3" and r[2] == "failed") == 12
 
 
+@pytest.mark.parametrize("slots", [1, 3])
+def test_messages_that_share_a_slot_keep_their_own_timers(spark, events_dir, monkeypatch, slots):
+    """All messages in few groups: what one does or misses changes nothing for the others."""
+    monkeypatch.setattr(queries, "MICRO_BATCHES", 8)
+    monkeypatch.setattr(visibility, "SLOTS", slots)
+    got = sorted((tuple(r) for r in queries.stream_visibility(spark, events_dir).collect()), key=str)
+    assert got == _oracle(events_dir)
+
+
 def test_restart_from_checkpoint(spark, tmp_path):
     """Half the outcomes, stop, the rest with the same checkpoint: as one run."""
     policies = {"q": RetryPolicy("linear")}
