@@ -41,6 +41,8 @@ FEW = 50
 REACH = 320
 
 SLICE = 1 << 18
+# Texts counted at once: each takes DIMS numbers in several arrays, however short it is.
+ROWS = 128
 
 
 def profile(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -76,7 +78,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 def profiles(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     """Counts for runs of texts; texts longer than a slice are counted slice by slice."""
     data, offsets = flat(column)
-    for i, j in groups(offsets, SLICE):
+    for i, j in groups(offsets, SLICE, ROWS):
         if j > i + 1:
             yield i, j, profile(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             continue

@@ -88,11 +88,12 @@ def cut(data: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def groups(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
-    """Runs of documents of about ``size`` bytes together, one document at least."""
+def groups(offsets: np.ndarray, size: int = SLICE, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs of documents of about ``size`` bytes together, one document at least and ``most`` at most."""
     at = 0
     while at < len(offsets) - 1:
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+        end = min(end, at + (most or end))
         yield at, end
         at = end
 

@@ -155,6 +155,21 @@ def test_languages_that_were_not_taught_are_rejected(spark, sf_dir):
         assert share[True] > 0.9 and share[False] < 0.01
 
 
+def test_language_profiles_of_short_texts_take_bounded_memory():
+    """What is held at once follows neither the rows of a batch nor how short its texts are."""
+    import tracemalloc
+
+    texts = pa.array(["ab cd", None, "", "ef"] * 2500)
+    tracemalloc.start()
+    at = 0
+    for i, j, counts in langid.profiles(texts):
+        assert i == at and len(counts) == j - i
+        at = j
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert at == len(texts) and peak < 32 << 20
+
+
 def test_long_texts_are_counted_whole():
     text = "katara " * 60_000 + "schnpf"
     counts = [c for _, _, c in langid.profiles(pa.array([text]))]
