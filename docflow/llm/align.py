@@ -13,6 +13,12 @@ corpus-wide count of an (A id, B id) pair is the number of links that hold
 it; counts are summed over all documents by Spark, pre-aggregated within each
 document, and the best pair of each B id is its highest count.
 
+Neither tokenizer joins what a space between two other characters parts, so
+both sides have a cut there: texts are cut into chunks at those spaces, each
+distinct chunk is encoded and coalesced once, and what was worked out is kept up
+to a bound. A text with a chunk whose bytes a side does not give back is encoded
+whole.
+
 Tokenising happens in tasks, a batch of documents at a time; links go out as
 distinct pairs of a document with their multiplicity, so a document sends at
 most one row for each pair it has.
@@ -31,6 +37,7 @@ Defined results for odd input:
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -47,6 +54,9 @@ B_TOKENIZER = "piece_bpe_32k.model"
 SALTS = 32
 PAIR_ROW_BYTES = 40
 BATCH = 256
+# Chunks and their characters known at once, but for those of one batch.
+MAX_CHUNKS, MAX_CHARS = 1 << 18, 1 << 22
+CUT = re.compile(r" (?=\S)(?<=\S )")
 
 OUT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -106,6 +116,15 @@ class Sides:
         self.b_flat = np.frombuffer(b"".join(self.b_bytes), np.uint8)
         self.a_start = np.cumsum(self.a_len) - self.a_len
         self.b_start = np.cumsum(self.b_len) - self.b_len
+        made = json.loads(self.a.to_str())
+        cut_by = made["pre_tokenizer"] or {}
+        pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
+        self.parted = (
+            made["normalizer"] is None
+            and (cut_by.get("type"), cut_by.get("use_regex")) == ("ByteLevel", True)
+            and not any("▁" in piece.lstrip("▁") for piece in pieces)
+        )
+        self.chunks = Chunks(self)
 
 
 def sides(a_path: str, b_path: str) -> Sides:
@@ -153,8 +172,11 @@ def decimal_bytes(ids: np.ndarray, seps: np.ndarray) -> np.ndarray:
     return out
 
 
-def groups_text(a_ids, a_group, b_ids, b_group) -> bytes:
-    """``a1,a2|b1;a3|b2,b3`` in UTF-8: each group's A ids, then its B ids, groups in order."""
+def groups_text(a_ids, a_group, b_ids, b_group, last=None) -> bytes:
+    """``a1,a2|b1;a3|b2,b3`` in UTF-8: each group's A ids, then its B ids, groups in order.
+
+    A line ends after each group that ``last`` marks.
+    """
     ids = np.concatenate([a_ids, b_ids])
     group = np.concatenate([a_group, b_group])
     side = np.concatenate([np.zeros(len(a_ids), np.int8), np.ones(len(b_ids), np.int8)])
@@ -164,6 +186,8 @@ def groups_text(a_ids, a_group, b_ids, b_group) -> bytes:
     seps = np.full(len(ids), ord(","), dtype=np.uint8)
     seps[:-1][side[:-1] != side[1:]] = ord("|")
     seps[:-1][group[:-1] != group[1:]] = ord(";")
+    if last is not None:
+        seps[:-1][(group[:-1] != group[1:]) & last[group[:-1]]] = ord("\n")
     seps[-1:] = 0
     return decimal_bytes(ids, seps).tobytes()
 
@@ -176,6 +200,104 @@ def spelled(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ids: np.n
     return flat[np.repeat(starts[ids] - first, size) + np.arange(total)]
 
 
+def _owners(sizes: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _encoded(s: Sides, texts: list[str]) -> list[list]:
+    """Ids of both sides for each text."""
+    a = s.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+    return [[e.ids for e in a], s.b.encode(texts, num_threads=1)]
+
+
+class Chunks:
+    """Counts, groups and links of chunks of texts, worked out once for each distinct one."""
+
+    def __init__(self, s: Sides):
+        self.s = s
+        self.clear()
+
+    def clear(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.chars = 0
+        self.texts: list[bytes] = []
+        # n_a, n_b, n_groups, n_links, and whether a side does not give the bytes back.
+        self.counts = np.zeros((0, 5), np.int64)
+        self.keys = np.zeros(0, np.int64)
+
+    def split(self, texts: list[str]) -> list[list[str]]:
+        """The chunks of each text, which are known from here on."""
+        if len(self.rows) > MAX_CHUNKS or self.chars > MAX_CHARS:
+            self.clear()
+        parts = [CUT.split(t) if self.s.parted else [t] for t in texts]
+        new = [c for c in dict.fromkeys(c for part in parts for c in part) if c not in self.rows]
+        if new:
+            self._learn(new)
+        return parts
+
+    def _learn(self, new: list[str]) -> None:
+        s = self.s
+        sides = _encoded(s, new)
+        sizes = [np.array([len(i) for i in ids], np.int64) for ids in sides]
+        ids = [np.array([i for some in side for i in some], np.int64) for side in sides]
+        spelt = [(" " + c).encode() for c in new]
+        whole = np.array([len(x) for x in spelt], np.int64)
+        good = np.ones(len(new), bool)
+        for i, n, length in zip(ids, sizes, (s.a_len, s.b_len), strict=True):
+            good &= np.bincount(_owners(n), weights=length[i], minlength=len(new)) == whole
+        data = np.frombuffer(b"".join(spelt), np.uint8)
+        at = _owners(whole)
+        for i, n, flat in zip(
+            ids, sizes, ((s.a_flat, s.a_start, s.a_len), (s.b_flat, s.b_start, s.b_len)), strict=True
+        ):
+            kept = good[at]
+            wrong = spelled(*flat, i[good[_owners(n)]]) != data[kept]
+            good &= np.bincount(at[kept], weights=wrong, minlength=len(new)) == 0
+        (a, b), (n_a, n_b) = (i[good[_owners(n)]] for i, n in zip(ids, sizes)), (n[good] for n in sizes)
+        a_group, b_group, at_a, at_b = coalesce(a, s.a_len[a], b, s.b_len[b])
+        # Each chunk ends with a cut, so its last token closes its last group.
+        closing = a_group[np.cumsum(n_a) - 1]
+        last = np.zeros(int(closing[-1]) + 1 if len(closing) else 0, bool)
+        last[closing] = True
+        counts = np.zeros((len(new), 5), np.int64)
+        counts[:, 4] = ~good
+        counts[good, 0], counts[good, 1] = n_a, n_b
+        counts[good, 2] = np.diff(closing, prepend=-1)
+        counts[good, 3] = np.bincount(_owners(n_a)[at_a], minlength=len(n_a))
+        lines = iter(groups_text(a, a_group, b, b_group, last).split(b"\n"))
+        self.texts += [next(lines) if g else b"" for g in good.tolist()]
+        self.counts = np.concatenate([self.counts, counts])
+        self.keys = np.concatenate([self.keys, (a[at_a] << 32) | b[at_b]])
+        self.first = np.cumsum(self.counts[:, 3]) - self.counts[:, 3]
+        for chunk in new:
+            self.rows[chunk] = len(self.rows)
+            self.chars += len(chunk)
+
+    def document(self, parts: list[str]) -> tuple | None:
+        """As ``_document`` for the text of these chunks; None if a chunk's bytes are not given back."""
+        rows = [self.rows[c] for c in parts]
+        n_a, n_b, n_groups, n_links, bad = self.counts[rows].sum(axis=0).tolist()
+        if bad:
+            return None
+        digest = hashlib.sha256(b";".join([self.texts[r] for r in rows])).hexdigest()
+        distinct, times = np.unique(rows, return_counts=True)
+        links = self.counts[distinct, 3]
+        begin = np.cumsum(links) - links
+        held = self.keys[np.repeat(self.first[distinct] - begin, links) + np.arange(links.sum())]
+        keys, inverse = np.unique(held, return_inverse=True)
+        n = np.bincount(inverse, weights=np.repeat(times, links), minlength=len(keys)).astype(np.int64)
+        return n_a, n_b, n_groups, n_links, digest, keys >> 32, keys & 0xFFFFFFFF, n
+
+
+def _documents(s: Sides, texts: list[str]) -> list[tuple]:
+    docs = [s.chunks.document(p) if t else NOTHING for t, p in zip(texts, s.chunks.split(texts), strict=True)]
+    rest = [k for k, doc in enumerate(docs) if doc is None]
+    whole = [texts[k] for k in rest]
+    for k, text, a, b in zip(rest, whole, *_encoded(s, whole), strict=True):
+        docs[k] = _document(s, text, np.array(a, np.int64), np.array(b, np.int64))
+    return docs
+
+
 def _aligner(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = sides(a_path, b_path)
@@ -183,13 +305,7 @@ def _aligner(a_path: str, b_path: str):
             for start in range(0, frame.num_rows, BATCH):
                 part = frame.slice(start, BATCH)
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                a_enc = s.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-                b_enc = s.b.encode(texts, num_threads=1)
-                docs = [
-                    _document(s, text, np.array(a_e.ids, np.int64), np.array(b_list, np.int64))
-                    for text, a_e, b_list in zip(texts, a_enc, b_enc, strict=True)
-                ]
-                yield _batch(part.column("doc_id"), docs)
+                yield _batch(part.column("doc_id"), _documents(s, texts))
 
     return run
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -100,6 +101,31 @@ def test_round_trip_and_groups(sides):
     assert n.sum() == n_links and set(pair_a) <= set(a) and set(pair_b) <= set(b)
 
 
+def test_chunks_give_what_whole_texts_give(sides, monkeypatch):
+    """Texts cut at single spaces, whose known chunks are also given up now and then."""
+    rng = random.Random(3)
+    bits = ["the", "mat.", "it's", "\n", "", "", "\t", " ", "漢字", "🙂", "\u2581x", "</s>", "<|endoftext|>", "x\x1cy", "\xa0", "3,5"]
+    texts = [t or "" for t in ODD_TEXTS] + [" ".join(rng.choices(bits, k=rng.randint(1, 12))) for _ in range(1500)]
+    monkeypatch.setattr(align, "MAX_CHUNKS", 200)
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        for text, got in zip(part, align._documents(sides, part), strict=True):
+            a, b = (np.array(sides.a.encode(" " + text, add_special_tokens=False).ids), np.array(sides.b.encode(text)))
+            want = align._document(sides, text, a.astype(np.int64), b.astype(np.int64))
+            assert got[:5] == want[:5]
+            assert all(np.array_equal(x, y) for x, y in zip(got[5:], want[5:], strict=True))
+
+
+def test_a_known_chunk_is_not_encoded_again(sides, monkeypatch):
+    text = " ".join(f"word{k % 7}" for k in range(5000))
+    seen = []
+    plain = align._encoded
+    monkeypatch.setattr(align, "_encoded", lambda s, texts: seen.extend(texts) or plain(s, texts))
+    sides.chunks.clear()
+    first, again = align._documents(sides, [text, text])
+    assert first[4] == again[4] and len(seen) == 7
+
+
 def test_against_brute_force(spark, sides):
     rows = [(i, t) for i, t in enumerate(ODD_TEXTS)]
     rows += [(20, "the cat sat on the mat"), (21, "the cat sat on the mat"), (22, "The Cat's  mat, again.")]
