@@ -79,6 +79,11 @@ def gram_keys(symbols: np.ndarray) -> np.ndarray:
     return keys
 
 
+def turned(keys: np.ndarray) -> np.ndarray:
+    """Grams with their bytes read backwards, the last symbol first; of turned ones, the grams."""
+    return keys.byteswap()
+
+
 def spelled(column: pa.Array) -> Iterator[tuple]:
     """For runs of texts: (first, last + 1, gram keys, their texts, word hashes, their texts).
 
@@ -208,11 +213,15 @@ def grow(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def collected(backs: DataFrame, shares: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each context length: contexts, their back-off weights, transitions, their shares."""
+    """For each context length: contexts, their back-off weights, transitions, their shares.
+
+    Contexts and transitions are ``turned`` and in that order.
+    """
     halves = []
     for df, key, value in ((backs, "context", "back"), (shares, "move", "share")):
         found = df.select("length", key, value).toArrow()
         length, keys, values = (found.column(c).to_numpy() for c in range(3))
+        keys = turned(keys.astype(np.uint64))
         order = np.lexsort((keys, length))
         edges = np.searchsorted(length[order], np.arange(DEPTH + 2))
         parts = [order[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -251,13 +260,30 @@ def look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: f
 
 
 def gram_log10(levels: list, keys: np.ndarray) -> np.ndarray:
-    """log10 probability of the last symbol of each gram after those before it."""
-    p = np.full(len(keys), 1.0 / SYMBOLS)
+    """log10 probability of the last symbol of each gram after those before it.
+
+    Fastest in the order of ``turned``: grams of one suffix follow one another
+    there, and each suffix is looked up once.
+    """
+    back_first = turned(keys)
+    if (back_first[1:] < back_first[:-1]).any():
+        order = np.argsort(back_first)
+        out = np.empty(len(keys))
+        out[order] = gram_log10(levels, keys[order])
+        return out
+    p, of = np.full(1, 1.0 / SYMBOLS), np.zeros(len(keys), np.int64)
+    opens = np.zeros(len(keys), bool)
+    opens[:1] = True
     for length, (contexts, back, moves, share) in enumerate(levels):
-        move = (keys & np.uint64((1 << 8 * (length + 1)) - 1)).astype(np.int64)
+        rest = np.uint64(8 * (7 - length))
+        part = back_first >> rest
+        opens[1:] |= part[1:] != part[:-1]
+        first = np.flatnonzero(opens)
+        move = part[first] << rest
         # Without a state of this length the shorter one stays the longest.
-        p = look_up(contexts, back, move >> 8, 1.0) * p + look_up(moves, share, move, 0.0)
-    return np.log10(p)
+        p = look_up(contexts, back, move << np.uint64(8), 1.0) * p[of[first]] + look_up(moves, share, move, 0.0)
+        of = np.cumsum(opens) - 1
+    return np.log10(p)[of]
 
 
 def key_places(keys: np.ndarray) -> np.ndarray:
@@ -273,13 +299,13 @@ def blocked_log10(starts: list[int], blocks: list[Callable[[], list]], keys: np.
     """``gram_log10`` over all blocks, of which one is held at a time."""
     if len(blocks) == 1:
         return gram_log10(blocks[0](), keys)
-    place = key_places(keys)
-    order = np.argsort(place)
-    edges = [*np.searchsorted(place[order], starts), len(keys)]
+    at = np.searchsorted(starts, key_places(keys), "right") - 1
     out = np.zeros(len(keys))
-    for load, a, b in zip(blocks, edges[:-1], edges[1:], strict=True):
-        if b > a:
-            out[order[a:b]] = gram_log10(load(), keys[order[a:b]])
+    for k, load in enumerate(blocks):
+        # Grams stay in their order.
+        some = np.flatnonzero(at == k)
+        if len(some):
+            out[some] = gram_log10(load(), keys[some])
     return out
 
 
@@ -296,14 +322,25 @@ SCORED = (
 )
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys there are, in order, and which of them each is."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    opens = np.ones(len(keys), bool)
+    opens[1:] = ranked[1:] != ranked[:-1]
+    of = np.empty(len(keys), np.int32)
+    of[order] = np.cumsum(opens, dtype=np.int32) - 1
+    return ranked[opens], of
+
+
 def settle(held: list[tuple], score: np.ndarray, starts: list[int], blocks: list[Callable[[], list]]) -> None:
-    """Add the grams of ``held`` runs of texts to the scores of these."""
+    """Add the grams, ``turned``, of ``held`` runs of texts to the scores of these."""
     if not held:
         return
-    every = np.unique(np.concatenate([kinds for _, _, kinds, _, _ in held]))
-    values = blocked_log10(starts, blocks, every)
+    every = held[0][2] if len(held) == 1 else np.unique(np.concatenate([kinds for _, _, kinds, _, _ in held]))
+    values = blocked_log10(starts, blocks, turned(every))
     for i, j, kinds, inverse, owner in held:
-        value = values[np.searchsorted(every, kinds)][inverse]
+        value = (values if len(held) == 1 else values[np.searchsorted(every, kinds)])[inverse]
         score[i:j] += np.bincount(owner, weights=value, minlength=j - i)
 
 
@@ -320,8 +357,7 @@ def _score(model: Callable[[], tuple]) -> Callable:
             rare: list[list[np.ndarray]] = [[] for _ in range(n)]
             held: list[tuple] = []
             for i, j, keys, owner, words, of in spelled(batch.column(2)):
-                kinds, inverse = np.unique(keys, return_inverse=True)
-                held.append((i, j, kinds, inverse.astype(np.int32), owner.astype(np.int32)))
+                held.append((i, j, *distinct(turned(keys)), owner.astype(np.int32)))
                 if len(blocks) == 1 or sum(len(h[3]) for h in held) >= CHUNK:
                     settle(held, score, starts, blocks)
                     held = []

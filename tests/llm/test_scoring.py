@@ -258,3 +258,18 @@ def test_nothing_to_learn_or_score(docs, corpus, nothing):
     assert suffixtree.score_texts(nothing, F.lit(True)).count() == 0
 
 
+
+
+def test_grams_of_one_suffix_look_it_up_once(monkeypatch):
+    rng = random.Random(12)
+    (found,) = suffixtree.spelled(pa.array([words(rng, 400)]))
+    keys = np.unique(found[2])
+    none = (np.zeros(0, np.uint64), np.zeros(0)) * 2
+    asked = []
+    plain = suffixtree.look_up
+    monkeypatch.setattr(suffixtree, "look_up", lambda k, v, wanted, missing: asked.append(len(wanted)) or plain(k, v, wanted, missing))
+    got = suffixtree.gram_log10([none] * (suffixtree.DEPTH + 1), keys[::-1])
+    assert np.allclose(got, -np.log10(suffixtree.SYMBOLS)) and len(got) == len(keys)
+    for length in range(suffixtree.DEPTH + 1):
+        suffixes = np.unique(keys & np.uint64((1 << 8 * (length + 1)) - 1))
+        assert set(asked[2 * length : 2 * length + 2]) == {len(suffixes)}
