@@ -7,14 +7,12 @@ buckets. A bucket of n sets gives n - 1 candidate edges, from one centre to the
 others; edges are confirmed on the full sets. The centre is the set that shares
 most buckets, which of edited copies is the one least edited.
 
-Sets of buckets that still hold several components are first counted: what a set
-has in common with one of another component is bounded by how many of its
-shingles occur in other components, and pairs that cannot reach the threshold by
-that bound are never made. The rest is hashed again into longer and more bands, whose buckets
-part what is merely alike. There, one centre after
-the other is compared with the sets of other components, until every pair of one
-bucket was compared or belongs to one component. So no candidate is dropped, and
-pair counts stay near the number of bucket members.
+Sets of buckets that still hold several components are compared by their shingles,
+without hashing: only shingles that occur in several components can be in common, and
+a pair at the threshold meets in the rarest of them (a prefix filter). Buckets of these that are
+large are parted by what sets their members apart from one centre. Pairs that the sizes,
+or the shingles left behind the one they met in, rule out are never made. So no candidate is
+dropped, and pair counts stay near the number of bucket members.
 
 Documents with equal sets are one class from the start: only a class's least
 document enters buckets.
@@ -27,18 +25,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.llm.common import broadcast_if_small, ship, written
 from docflow.llm.graph import joined_components
 from docflow.llm.words import hashed, mix, shingle_sets
 
-ROWS_PER_BAND, ROWS_PER_FINE_BAND = 5, 20
+ROWS_PER_BAND = 5
 # Chance to miss a pair at the threshold in every band.
 MISS = 1e-7
 # Signature bins held at once, so that memory does not follow the number of bands.
 HELD_BINS = 1 << 19
+# Buckets of so many members are compared pair by pair at once; larger ones are parted so many times before.
+SMALL, PARTINGS = 8, 1
+# Bounds in floating point are lowered by this.
+SLACK = 1e-6
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"
 
 
@@ -133,28 +135,86 @@ def _texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(broadcast_if_small(named, 16), "doc_id", "left_semi").select("doc_id", "text")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _sets_of(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(of, node, shingles): the sets of some nodes. Rows that repeat an id are sets of their own, told by ``of``."""
+    sets = _texts_of(nodes, docs).mapInArrow(_sets(width), "node long, shingles array<long>")
+    return written(sets.withColumn("of", F.monotonically_increasing_id()), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs whose full sets are similar enough."""
-    ends = pairs.select("a").unionAll(pairs.select("b"))
-    sets = _texts_of(ends, docs).mapInArrow(_sets(width), "node long, shingles array<long>")
-    sets = written(sets, "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     common = F.size(F.array_intersect("set_a", "set_b"))
     both = F.size("set_a") + F.size("set_b") - common
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return joined.where(100 * common >= percent * both).select("a", "b")
+    return joined.where(100 * common >= percent * both).select("a", "b").distinct()
 
 
-def _most_in_common(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(node, n, most): sizes of sets, and how many of their shingles a set of another component has too."""
-    sets = _texts_of(nodes, docs).mapInArrow(_sets(width), "node long, shingles array<long>")
-    every = sets.join(nodes, "node").select("node", "comp", F.explode("shingles").alias("shingle"))
-    every = written(every, "shingles")
-    spread = every.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    shared = every.join(spread.where("low != high").select("shingle"), "shingle", "left_semi")
-    most = shared.groupBy("node").agg(F.count("*").alias("most"))
-    return every.groupBy("node").agg(F.count("*").alias("n")).join(most, "node")
+def _rarest(held: DataFrame, group: list[str], need: Column) -> DataFrame:
+    """Of the shingles of each set, those that some set of another component holds too, the rarest first.
+
+    ``held`` has the columns of ``group``, ``of``, ``comp`` and ``shingle``. A pair of
+    sets that has ``need`` of these in common, a bound of either set, meets in the first
+    ``most - need + 1`` of one and those of the other, as all are in one order;
+    ``most`` is how many a set has.
+    """
+    key = [*group, "shingle"]
+    spread = held.groupBy(*key).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("by"))
+    shared = held.join(spread.where("low != high").drop("low", "high"), key)
+    own = Window.partitionBy(*group, "of")
+    ranked = shared.withColumns(
+        {"most": F.count("*").over(own), "rank": F.row_number().over(own.orderBy("by", "shingle"))}
+    )
+    ranked = ranked.withColumn("left", F.col("most") - F.col("rank") + 1)
+    return ranked.where(F.col("left") >= need)
+
+
+def _rarest_shared(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Members of a bucket for each of the rarest shingles of each set that a set of another component has too.
+
+    ``n`` is the size of a set; ``most``, how many of its shingles occur in other
+    components, bounds what it has in common with a set of one. A pair at the
+    threshold has ``percent`` of either set in common.
+    """
+    n = F.size("shingles").alias("n")
+    held = written(sets.join(nodes, "node").select("of", "node", "comp", n, F.explode("shingles").alias("shingle")), "held")
+    first = _rarest(held, [], F.ceil(F.lit(percent) * F.col("n") / 100 - SLACK))
+    bucket = F.col("shingle").alias("bucket")
+    return written(first.select(bucket, "of", "node", "n", F.col("n").alias("d"), "most", "left"), "members")
+
+
+def _parted(members: DataFrame, hubs: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members of large buckets in buckets of what sets them apart from the hub of theirs.
+
+    The hub was compared with all of them. If the sets a and b are linked and b and the
+    hub are not, a and b have in common that they differ from the hub in some shingle:
+    otherwise |a ^ b| = |a ^ hub| + |b ^ hub|, and b is too far from the hub for that.
+    The least number of such shingles follows from the sizes alike. All buckets of a hub
+    are parted at once.
+    """
+    far = (100 - percent) / (100 + percent)
+    hubs = hubs.select("bucket", F.col("node").alias("hub"))
+    around = members.join(hubs, "bucket").select("of", "node", "n", "comp", "hub").distinct()
+    names = comps.withColumnRenamed("component", "comp")
+    cores = sets.join(hubs.select(F.col("hub").alias("node")).distinct(), "node").join(names, "node", "left").select(
+        F.col("of").alias("core"), F.col("node").alias("hub"), F.col("shingles").alias("of_hub"),
+        F.coalesce("comp", "node").alias("comp_hub"),
+    )
+    apart = F.concat(F.array_except("of_hub", "shingles"), F.array_except("shingles", "of_hub"))
+    held = around.join(cores, "hub").join(sets.select("of", "shingles"), "of")
+    held = held.withColumns({"n_hub": F.size("of_hub"), "apart": apart}).select(
+        "core", "of", "node", "n", "comp", "comp_hub", "n_hub", F.size("apart").alias("d"),
+        F.explode("apart").alias("shingle"),
+    )
+    held = written(held, "held")
+    d, n = F.col("d"), F.col("n")
+    to_far = (d - far * (n - F.col("n_hub"))) / 2
+    to_near = d - far * n * (1 + 100 / percent)
+    need = F.when(F.col("comp") == F.col("comp_hub"), to_far).otherwise(F.least(to_far, to_near))
+    first = _rarest(held, ["core"], F.greatest(F.ceil(need - SLACK), F.lit(1)))
+    bucket = F.xxhash64("core", "shingle").alias("bucket")
+    return written(first.select(bucket, "of", "node", "n", "d", "most", "left"), "members")
 
 
 def _members(sketched: DataFrame) -> DataFrame:
@@ -167,12 +227,15 @@ def _members(sketched: DataFrame) -> DataFrame:
 def _candidates(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of a centre and another member of its bucket that may be similar enough.
 
-    ``most`` bounds what a set has in common with any other one.
+    Of ``n`` shingles of a set, ``d`` are told apart, and of these ``most`` at most are
+    those of another set too; ``left`` of them do not come before the bucket's. A pair is
+    looked for in the bucket of the first it has in common, but with a ``hub`` in any.
     """
-    c = centres.select("bucket", *(F.col(x).alias(f"{x}_c") for x in ("node", "n", "most", "comp")))
+    c = centres.select("bucket", "hub", *(F.col(x).alias(f"{x}_c") for x in ("node", "n", "d", "most", "left", "comp")))
     pairs = members.join(c, "bucket").where("node != node_c AND comp != comp_c")
-    common = F.least("most", "most_c")
-    pairs = pairs.where((100 + percent) * common >= percent * (F.col("n") + F.col("n_c")))
+    common = F.when(F.col("hub"), F.least("most", "most_c")).otherwise(F.least("left", "left_c"))
+    both = F.col("n") + F.col("n_c")
+    pairs = pairs.where((100 + percent) * (both - F.col("d") - F.col("d_c") + 2 * common) >= 2 * percent * both)
     return pairs.select(F.least("node", "node_c").alias("a"), F.greatest("node", "node_c").alias("b")).distinct()
 
 
@@ -191,44 +254,60 @@ def _open(members: DataFrame, centres: DataFrame, comps: DataFrame) -> DataFrame
     # Centres have met all others of their bucket by now.
     used = centres.select("bucket", "node")
     names = comps.withColumnRenamed("component", "comp")
-    left = members.drop("comp").join(used, ["bucket", "node"], "left_anti").join(names, "node", "left")
+    left = members.drop("comp", "size").join(used, ["bucket", "node"], "left_anti").join(names, "node", "left")
     left = left.withColumn("comp", F.coalesce("comp", "node"))
     several = left.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("node").alias("first"), F.min("comp").alias("low"),
-        F.max("comp").alias("high"),
+        F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
-    several = several.where("low != high").select("bucket", "size", "first")
+    several = several.where("low != high").select("bucket", "size")
     return written(left.join(several, "bucket"), "members")
 
 
+def _centres(members: DataFrame, small: int | None) -> DataFrame:
+    """The members to compare with all others of their bucket.
+
+    Of buckets of more than ``small`` it is the one with most company, the ``hub``. Of
+    others, and of all for None, it is every one that is not of the largest component.
+    """
+    sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("of_comp"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("of_comp", "comp")).alias("largest"))
+    rest = members.join(largest, "bucket").where("comp != largest").drop("largest")
+    rest = rest.withColumn("hub", F.lit(False))
+    if small is None:
+        return written(rest, "centres")
+    company = members.groupBy("node").agg(F.sum("size").alias("company"))
+    large = members.where(F.col("size") > small)
+    rank = F.max(F.struct("company", (-F.col("node")).alias("rank"))).alias("m")
+    hubs = large.join(company, "node").groupBy("bucket").agg(rank).select("bucket", (-F.col("m.rank")).alias("node"))
+    hubs = large.join(hubs, ["bucket", "node"], "left_semi").withColumn("hub", F.lit(True))
+    return written(rest.where(F.col("size") <= small).unionByName(hubs), "centres")
+
+
 def _linked(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of all classes that are similar to another one of a bucket."""
-    hubs = written(_hubs(members), "hubs")
-    members = members.withColumn("comp", F.col("node"))
+    hubs = written(_hubs(members), "hubs").withColumns({"d": F.col("n"), "left": F.col("most"), "hub": F.lit(True)})
+    members = members.withColumns({"d": F.col("n"), "left": F.col("most"), "comp": F.col("node")})
     pairs = written(_candidates(members, hubs, percent), "pairs")
-    comps = joined_components(None, written(_confirmed(pairs, docs, width, percent), "links"))
+    sets = _sets_of(pairs.select("a").unionAll(pairs.select("b")), docs, width)
+    comps = joined_components(None, written(_confirmed(pairs, sets, percent), "links"))
     nodes = _open(members, hubs, comps).select("node", "comp").distinct()
     if nodes.isEmpty():
         return comps
-    bands = bands_for(percent, ROWS_PER_FINE_BAND)
-    bound = _most_in_common(nodes, docs, width)
-    bound = written(bound.where(100 * F.col("most") >= percent * F.col("n")), "bounds")
-    again = _texts_of(bound, docs).mapInArrow(_sketch(width, bands, ROWS_PER_FINE_BAND), SKETCH)
-    again = again.select(F.col("doc_id").alias("node"), "buckets")
-    members = _members(again.join(bound, "node"))
+    sets = _sets_of(nodes, docs, width)
+    members = _rarest_shared(sets, nodes, percent)
     members = _open(members, members.limit(0), comps)
-    wanted = 1
+    rounds = 0
     while not members.isEmpty():
-        one_in = F.ceil(F.col("size") / wanted)
-        chance = F.pmod(F.xxhash64("bucket", "node", F.lit(wanted)), one_in)
-        centres = members.where((chance == 0) | (F.col("node") == F.col("first")))
-        members = members.select("bucket", "node", "n", "most", "comp")
+        centres = _centres(members, SMALL if rounds < PARTINGS else None)
         pairs = written(_candidates(members, centres, percent), "pairs")
         if not pairs.isEmpty():
-            links = written(_confirmed(pairs, docs, width, percent), "links")
+            links = written(_confirmed(pairs, sets, percent), "links")
             comps = joined_components(comps, links)
         members = _open(members, centres, comps)
-        wanted *= 8
+        if rounds < PARTINGS and not members.isEmpty():
+            members = _parted(members, centres.where("hub"), comps, sets, percent)
+            members = _open(members, members.limit(0), comps)
+        rounds += 1
     return comps
 
 

@@ -78,3 +78,30 @@ def test_signatures_of_equal_sets_are_equal():
     made = neardup.signatures([values, values, values[:1]], 140)
     assert np.array_equal(made[0], made[1])
     assert set(made[2].tolist()) == {int(values[0])} and (made != 0).all()
+
+
+def test_many_near_copies_stay_apart(spark, monkeypatch):
+    """Copies edited too much for their model, but for some pairs of them: the bucket's pairs are not all made."""
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 150):
+        words_of = list(base)
+        for n in range(rng.choice([1, 1, 3, 4, 5])):
+            words_of[rng.randrange(60)] = f"e{k}.{n}"
+        rows.append((k, " ".join(words_of)))
+        if k % 10 == 0:
+            words_of[rng.randrange(60)] = f"f{k}"
+            rows.append((1000 - k, " ".join(words_of)))
+    # Rows that repeat an id are judged by their own text each.
+    rows.append((rows[2][0], "another text of this very id that is like none"))
+    made = []
+    confirmed = neardup._confirmed
+    monkeypatch.setattr(neardup, "_confirmed", lambda p, *a: made.append(p.count()) or confirmed(p, *a))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    sets = [(i, word_set(t, 3)) for i, t in rows]
+    edges = [(i, j) for k, (i, a) in enumerate(sets) for j, b in sets[:k] if 100 * len(a & b) >= 85 * len(a | b)]
+    want = brute_components({i for i, _ in rows}, edges)
+    assert {r.doc_id: r.component_id for r in got if r.n_shingles > 9} == want
+    assert len(set(want.values())) > 20
+    assert sum(made) < 6 * len(rows)
