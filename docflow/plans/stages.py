@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions import keys, paging
-from docflow.operators.lookup import Fetcher, missing_objects
+from docflow.operators.lookup import OBJECT_KEY, Fetcher, missing_objects
 from docflow.operators.pages import Extractor, extract_text, line_extractor, page_table
 from docflow.operators.previews import Renderer, column_renderer, rendered_only, until_failure
 from docflow.schemas import DEFAULT_PAGE_CAP, PREVIEW_QUEUE, TEXT_QUEUE
@@ -121,10 +121,12 @@ def prepare(
     """Look documents up and cut them into pages, at most ``cap`` of them.
 
     The cap goes into the extractor, so pages beyond it are not even read. Contents
-    stay behind.
+    stay behind. What was found is dealt out by key before it is cut: where targets are
+    broadcast, a store of few large files or row groups would leave all pages to the
+    few tasks that read it.
     """
     extract = extract or line_extractor()
-    return extract(fetch(targets), cap).drop("content")
+    return extract(fetch(targets).repartition(*OBJECT_KEY), cap).drop("content")
 
 
 def readable(prepared: DataFrame) -> DataFrame:

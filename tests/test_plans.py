@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.operators.lookup import table_fetcher
+from docflow.plans import stages
 from docflow.plans.queries import QUERIES
 from docflow.sources.objects import save_partitioned
 from docflow.sources.sinks import read_batches, write_batch
@@ -123,3 +124,20 @@ def test_no_cartesian_product(spark, sf_dir, name):
     if not name.startswith("stream_"):
         plan = plan_of(QUERIES[name](spark, sf_dir))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_documents_of_one_file_are_cut_in_many_tasks(spark, tmp_path):
+    rows = [(f"u{k}", "b", f"k{k}", f"line {k}\n" * 90) for k in range(2000)]
+    made = spark.createDataFrame(rows, "uid string, Bucket string, Key string, text string")
+    made.coalesce(1).write.parquet(f"{tmp_path}/objects")
+    store = spark.read.parquet(f"{tmp_path}/objects")
+    targets = F.broadcast(store.select("uid", "Bucket", "Key"))
+    prepared = stages.prepare(targets, table_fetcher(store, "text"))
+    # Partitions as they are dealt out, before small ones are joined.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = prepared.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert tasks > 1
+    assert prepared.count() == 2000
