@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import decontaminate, langid, neardup, packing
-from docflow.llm.common import fresh, table, written
+from docflow.llm.common import broadcast_if_small, fresh, short_batches, table, written
 from docflow.llm.queries import tokenizer_path
 
 
@@ -21,6 +21,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged whole; repeated rows are judged each; an empty table gives an empty
     one; other columns pass through.
     """
+    short_batches(spark)
     model = langid.fit(docs, order=F.xxhash64("doc_id", "text"))
     judged = langid.identify(docs.select(*docs.columns), model)
     rejected = judged.columns[-1]
@@ -38,19 +39,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are kept; very long texts are shingled whole; an empty table gives an empty
     one; other columns, whatever their names, pass through unchanged.
     """
-    (row,) = fresh(docs, "row")
-    ordered = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    # A key that grows with doc_id: a component's least key is its least doc_id.
-    keyed = written(
-        ordered.withColumn(row, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "keyed"
-    )
-    judged = neardup.near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"))
-    kept = written(judged.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(row)), "kept")
-    return (
-        keyed.join(kept, row, "left_semi")
-        .unionByName(keyed.where(F.col(row).isNull()))
-        .select(*docs.columns)
-    )
+    (part,) = fresh(docs, "part")
+    rows = docs.withColumn(part, F.xxhash64("text"))
+    judged = neardup.near_duplicates(rows.select("doc_id", "text", part), part_col=part)
+    texts = judged.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id", F.col("part").alias(part))
+    texts = texts.agg(F.first("kept").alias("kept"), F.count("*").alias("n"))
+    # Texts to leave out, or to keep of several rows once; no other text is moved.
+    held = written(texts.where("NOT kept OR n > 1"), "held", 1)
+    key = ["doc_id", part]
+    kept = rows.join(broadcast_if_small(held.select(*key), 32), key, "left_anti")
+    again = held.where("kept").select(*key)
+    if not again.isEmpty():
+        once = rows.join(broadcast_if_small(again, 32), key, "left_semi").dropDuplicates(key)
+        kept = kept.unionByName(once)
+    return kept.select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +62,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated rows are judged each; an empty table gives an empty one; other
     columns pass through.
     """
+    short_batches(spark)
     flagged = decontaminate.flag_contaminated(docs, table(spark, sf_dir, "benchmark"))
     flag = flagged.columns[-1]
     return flagged.where(~F.col(flag)).select(*docs.columns)
@@ -71,6 +74,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text is empty (its end id alone); long texts are cut into pieces;
     repeated rows are packed each; an empty table gives no pieces.
     """
+    short_batches(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 

@@ -9,9 +9,10 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.session import scratch_dir
+from docflow.session import DEFAULTS, scratch_dir
 
 MAX_BROADCAST_BYTES = 64 << 20
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(module: str) -> None:
@@ -23,14 +24,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: cuts the lineage."""
+def written(df: DataFrame, purpose: str, per_core: int | None = None) -> DataFrame:
+    """Write to the shared scratch folder and read back: cuts the lineage.
+
+    ``per_core`` bounds the number of files, for tables that are much smaller than what
+    they are made of: on a local disk an executor starts processes for each file (chmod).
+    """
     spark = df.sparkSession
+    if per_core:
+        df = df.coalesce(per_core * spark.sparkContext.defaultParallelism)
     path = scratch_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """From now on tasks pass 512 rows at most to Python at once, as in the sessions of this package.
+
+    Spark's 10,000 whole documents are copied several times in an executor and its workers.
+    Results are lazy, so the setting stays; a smaller one is left alone.
+    """
+    most, now = int(DEFAULTS[BATCH_ROWS]), int(spark.conf.get(BATCH_ROWS))
+    if not 0 < now <= most:
+        spark.conf.set(BATCH_ROWS, str(most))
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Mark a written table for broadcast if its rows take ``limit`` bytes at most.
 

@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docflow.llm.common import broadcast_if_small, ship, written
+from docflow.llm.common import broadcast_if_small, ship, short_batches, written
 from docflow.llm.graph import joined_components
 from docflow.llm.words import hashed, mix, shingle_sets
 
+Texts = Callable[[DataFrame], DataFrame]
+
 ROWS_PER_BAND = 5
 # Chance to miss a pair at the threshold in every band.
 MISS = 1e-7
@@ -41,7 +43,9 @@ HELD_BINS = 1 << 19
 SMALL, PARTINGS = 8, 1
 # Bounds in floating point are lowered by this.
 SLACK = 1e-6
-SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"
+# Files of a written table for each core at most: of those made of ids, of those made of whole sets.
+SLIM, WIDE = 4, 8
+SKETCH = "doc_id long, part long, n_shingles long, set_a long, set_b long, buckets array<long>"
 
 
 def bands_for(percent: int, rows: int) -> int:
@@ -108,12 +112,13 @@ def _sketch(width: int, bands: int, rows: int) -> Callable:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i),
+                        batch.column(2).slice(i, j - i),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(np.array(one, np.uint64).view(np.int64)),
                         pa.array(np.array(two, np.uint64).view(np.int64)),
                         _as_lists(keys),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "buckets"],
+                    ["doc_id", "part", "n_shingles", "set_a", "set_b", "buckets"],
                 )
 
     return run
@@ -129,16 +134,32 @@ def _sets(width: int) -> Callable:
     return run
 
 
-def _texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The documents of some nodes; texts stay in place as long as few enough nodes are sent to them."""
-    named = written(nodes.select(F.col(nodes.columns[0]).alias("doc_id")).distinct(), "nodes")
-    return docs.join(broadcast_if_small(named, 16), "doc_id", "left_semi").select("doc_id", "text")
+def _texts_by_id(docs: DataFrame) -> Texts:
+    """Finds the texts of nodes that are ids; texts stay in place as long as few enough nodes are sent to them."""
+
+    def find(nodes: DataFrame) -> DataFrame:
+        named = written(nodes.select(F.col(nodes.columns[0]).alias("doc_id")).distinct(), "nodes", SLIM)
+        return docs.join(broadcast_if_small(named, 16), "doc_id", "left_semi").select("doc_id", "text")
+
+    return find
+
+
+def _texts_by_class(docs: DataFrame, classes: DataFrame, repeated: bool) -> Texts:
+    """The same for nodes that are classes: of each, one text of the first row."""
+
+    def find(nodes: DataFrame) -> DataFrame:
+        nodes = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct()
+        named = written(classes.select("node", "doc_id", "part").join(nodes, "node"), "nodes", SLIM)
+        found = docs.join(broadcast_if_small(named, 40), ["doc_id", "part"]).select("node", "text")
+        return found.dropDuplicates(["node"]) if repeated else found
 
+    return find
 
-def _sets_of(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+
+def _sets_of(nodes: DataFrame, texts: Texts, width: int) -> DataFrame:
     """(of, node, shingles): the sets of some nodes. Rows that repeat an id are sets of their own, told by ``of``."""
-    sets = _texts_of(nodes, docs).mapInArrow(_sets(width), "node long, shingles array<long>")
-    return written(sets.withColumn("of", F.monotonically_increasing_id()), "sets")
+    sets = texts(nodes).mapInArrow(_sets(width), "node long, shingles array<long>")
+    return written(sets.withColumn("of", F.monotonically_increasing_id()), "sets", WIDE)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,10 +199,10 @@ def _rarest_shared(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     threshold has ``percent`` of either set in common.
     """
     n = F.size("shingles").alias("n")
-    held = written(sets.join(nodes, "node").select("of", "node", "comp", n, F.explode("shingles").alias("shingle")), "held")
+    held = written(sets.join(nodes, "node").select("of", "node", "comp", n, F.explode("shingles").alias("shingle")), "held", WIDE)
     first = _rarest(held, [], F.ceil(F.lit(percent) * F.col("n") / 100 - SLACK))
     bucket = F.col("shingle").alias("bucket")
-    return written(first.select(bucket, "of", "node", "n", F.col("n").alias("d"), "most", "left"), "members")
+    return written(first.select(bucket, "of", "node", "n", F.col("n").alias("d"), "most", "left"), "members", SLIM)
 
 
 def _parted(members: DataFrame, hubs: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -207,21 +228,21 @@ def _parted(members: DataFrame, hubs: DataFrame, comps: DataFrame, sets: DataFra
         "core", "of", "node", "n", "comp", "comp_hub", "n_hub", F.size("apart").alias("d"),
         F.explode("apart").alias("shingle"),
     )
-    held = written(held, "held")
+    held = written(held, "held", WIDE)
     d, n = F.col("d"), F.col("n")
     to_far = (d - far * (n - F.col("n_hub"))) / 2
     to_near = d - far * n * (1 + 100 / percent)
     need = F.when(F.col("comp") == F.col("comp_hub"), to_far).otherwise(F.least(to_far, to_near))
     first = _rarest(held, ["core"], F.greatest(F.ceil(need - SLACK), F.lit(1)))
     bucket = F.xxhash64("core", "shingle").alias("bucket")
-    return written(first.select(bucket, "of", "node", "n", "d", "most", "left"), "members")
+    return written(first.select(bucket, "of", "node", "n", "d", "most", "left"), "members", SLIM)
 
 
 def _members(sketched: DataFrame) -> DataFrame:
     """(bucket, node, n, most) of buckets with two members at least, from (node, n, most, buckets)."""
-    every = written(sketched.select(F.explode("buckets").alias("bucket"), "node", "n", "most"), "buckets")
+    every = sketched.select(F.explode("buckets").alias("bucket"), "node", "n", "most")
     shared = every.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
-    return written(every.join(shared, "bucket"), "members")
+    return written(every.join(shared, "bucket"), "members", SLIM)
 
 
 def _candidates(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
@@ -260,7 +281,7 @@ def _open(members: DataFrame, centres: DataFrame, comps: DataFrame) -> DataFrame
         F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
     several = several.where("low != high").select("bucket", "size")
-    return written(left.join(several, "bucket"), "members")
+    return written(left.join(several, "bucket"), "members", SLIM)
 
 
 def _centres(members: DataFrame, small: int | None) -> DataFrame:
@@ -274,35 +295,34 @@ def _centres(members: DataFrame, small: int | None) -> DataFrame:
     rest = members.join(largest, "bucket").where("comp != largest").drop("largest")
     rest = rest.withColumn("hub", F.lit(False))
     if small is None:
-        return written(rest, "centres")
+        return written(rest, "centres", SLIM)
     company = members.groupBy("node").agg(F.sum("size").alias("company"))
     large = members.where(F.col("size") > small)
     rank = F.max(F.struct("company", (-F.col("node")).alias("rank"))).alias("m")
     hubs = large.join(company, "node").groupBy("bucket").agg(rank).select("bucket", (-F.col("m.rank")).alias("node"))
     hubs = large.join(hubs, ["bucket", "node"], "left_semi").withColumn("hub", F.lit(True))
-    return written(rest.where(F.col("size") <= small).unionByName(hubs), "centres")
+    return written(rest.where(F.col("size") <= small).unionByName(hubs), "centres", SLIM)
 
 
-def _linked(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _linked(members: DataFrame, texts: Texts, width: int, percent: int) -> DataFrame:
     """(node, component) of all classes that are similar to another one of a bucket."""
-    hubs = written(_hubs(members), "hubs").withColumns({"d": F.col("n"), "left": F.col("most"), "hub": F.lit(True)})
+    hubs = written(_hubs(members), "hubs", SLIM).withColumns({"d": F.col("n"), "left": F.col("most"), "hub": F.lit(True)})
     members = members.withColumns({"d": F.col("n"), "left": F.col("most"), "comp": F.col("node")})
-    pairs = written(_candidates(members, hubs, percent), "pairs")
-    sets = _sets_of(pairs.select("a").unionAll(pairs.select("b")), docs, width)
-    comps = joined_components(None, written(_confirmed(pairs, sets, percent), "links"))
+    pairs = written(_candidates(members, hubs, percent), "pairs", SLIM)
+    sets = _sets_of(pairs.select("a").unionAll(pairs.select("b")), texts, width)
+    comps = joined_components(None, _confirmed(pairs, sets, percent))
     nodes = _open(members, hubs, comps).select("node", "comp").distinct()
     if nodes.isEmpty():
         return comps
-    sets = _sets_of(nodes, docs, width)
+    sets = _sets_of(nodes, texts, width)
     members = _rarest_shared(sets, nodes, percent)
     members = _open(members, members.limit(0), comps)
     rounds = 0
     while not members.isEmpty():
         centres = _centres(members, SMALL if rounds < PARTINGS else None)
-        pairs = written(_candidates(members, centres, percent), "pairs")
+        pairs = written(_candidates(members, centres, percent), "pairs", SLIM)
         if not pairs.isEmpty():
-            links = written(_confirmed(pairs, sets, percent), "links")
-            comps = joined_components(comps, links)
+            comps = joined_components(comps, _confirmed(pairs, sets, percent))
         members = _open(members, centres, comps)
         if rounds < PARTINGS and not members.isEmpty():
             members = _parted(members, centres.where("hub"), comps, sets, percent)
@@ -317,6 +337,7 @@ def near_duplicates(
     percent: int = 80,
     id_col: str = "doc_id",
     text_col: str = "text",
+    part_col: str | None = None,
 ) -> DataFrame:
     """A row for each document: size of its shingle set, its component and whether it is kept.
 
@@ -328,38 +349,49 @@ def near_duplicates(
     kept. Rows with a null id are linked with nothing and kept, with a null
     component. Rows that repeat an id are judged by their own text each. Other
     columns are ignored; an empty table gives no rows.
+
+    ``part_col``, a number such as a hash of the text, tells rows of one id
+    apart: those of other parts are documents of their own, of a component the
+    least part of its least id is kept, and the result has a column ``part``.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    short_batches(df.sparkSession)
+    part = F.lit(0) if part_col is None else F.col(part_col)
+    docs = df.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), part.cast("long").alias("part")
+    )
     bands = bands_for(percent, ROWS_PER_BAND)
     sketched = written(docs.mapInArrow(_sketch(width, bands, ROWS_PER_BAND), SKETCH), "sketches")
     filled = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["n_shingles", "set_a", "set_b"]
-    classes = filled.groupBy(*key).agg(
-        F.min("doc_id").alias("class"), F.min_by("buckets", "doc_id").alias("buckets")
-    )
-    classes = written(classes, "classes")
+    own = F.struct("doc_id", "part")
+    classes = filled.groupBy(*key).agg(F.min(own).alias("first"), F.min_by("buckets", own).alias("buckets"))
+    node = F.col("doc_id") if part_col is None else F.monotonically_increasing_id()
+    classes = written(classes.select(*key, "first.*", "buckets").withColumn("node", node), "classes", SLIM)
+    if part_col is None:
+        texts = _texts_by_id(docs)
+    else:
+        repeated = filled.groupBy("doc_id", "part").count().where("count > 1")
+        texts = _texts_by_class(docs, classes, not repeated.isEmpty())
     members = _members(
-        classes.select(
-            F.col("class").alias("node"),
-            F.col("n_shingles").alias("n"),
-            F.col("n_shingles").alias("most"),
-            "buckets",
-        )
-    )
-    linked = _linked(members, docs, width, percent)
-    names = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").select(
-        *key, F.coalesce("component", "class").alias("name")
+        classes.select("node", F.col("n_shingles").alias("n"), F.col("n_shingles").alias("most"), "buckets")
     )
-    component = F.coalesce("name", "doc_id")
+    linked = classes.drop("buckets").join(_linked(members, texts, width, percent), "node")
+    least = linked.groupBy("component").agg(F.min(own).alias("least"))
+    names = linked.join(least, "component").select("node", "least")
+    name = F.coalesce("least", own)
+    names = classes.drop("buckets").join(names, "node", "left").select(*key, name.alias("name"))
+    name = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("name")), own)
+    first = (F.col("name.doc_id") == F.col("doc_id")) & (F.col("name.part") == F.col("part"))
     return (
         sketched.drop("buckets")
         .join(names, key, "left")
-        .withColumn("name", F.when(F.col("doc_id").isNotNull(), F.col("name")))
+        .withColumn("name", name)
         .select(
             "doc_id",
+            *([] if part_col is None else ["part"]),
             "n_shingles",
-            component.alias("component_id"),
-            F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+            F.col("name.doc_id").alias("component_id"),
+            F.coalesce(first, F.lit(True)).alias("kept"),
         )
     )
 

@@ -119,3 +119,52 @@ def test_near_duplicates_judges_rows_not_ids(spark):
     assert kept.columns == docs.columns
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2], rows[4]], key=str)
     assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_near_duplicates_neither_writes_nor_sorts_texts(spark, monkeypatch):
+    """Only ids, hashes and sets are written; rows stay where they were read, in their order."""
+    import corpus_pipeline
+    from docflow.llm import graph, neardup
+
+    rng = random.Random(6)
+    rows = [(k % 40, speech(rng, "aa", 60) + f" {k}", "x") for k in range(60)]
+    rows += [(100 + k, f"{rows[k][1]} more", "y") for k in range(0, 60, 7)] + [rows[3], rows[3], (200, rows[5][1], "z")]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").coalesce(1)
+    tables = []
+    for module in (corpus_pipeline, neardup, graph):
+        keep = module.written if hasattr(module, "written") else None
+        if keep:
+            monkeypatch.setattr(module, "written", lambda df, *a, f=keep: tables.append(df.columns) or f(df, *a))
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert len(tables) > 5 and not [t for t in tables if "text" in t]
+    sets = [word_set(t, 5) for _, t, _ in rows]
+    edges = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 100 * len(a & b) >= 80 * len(a | b)]
+    names = brute_components(range(len(rows)), edges)
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        least[names[k]] = min(i, least.get(names[k], i))
+    assert sorted(r[0] for r in kept) == sorted(least.values())
+    assert set(kept) <= set(rows) and len(set(kept)) == len(kept)
+    again = [k for k in kept if rows.count(k) > 1]
+    rest = [k for k in kept if k not in again]
+    assert rest == [r for r in rows if r in rest] and again == [rows[rows.index(again[0])]]
+
+
+def test_stages_pass_few_documents_at_once(spark, small):
+    import corpus_pipeline
+
+    folder, _, _ = small
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(conf)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(conf, "10000")
+            stage(spark, docs, folder)
+            assert spark.conf.get(conf) == "512"
+        spark.conf.set(conf, "100")
+        stage(spark, docs, folder)
+        assert spark.conf.get(conf) == "100"
+    finally:
+        spark.conf.set(conf, old)
