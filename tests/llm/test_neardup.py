@@ -105,3 +105,40 @@ def test_many_near_copies_stay_apart(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got if r.n_shingles > 9} == want
     assert len(set(want.values())) > 20
     assert sum(made) < 6 * len(rows)
+
+
+def test_files_do_not_follow_the_partitions_of_shuffles(spark, monkeypatch):
+    """With 211 partitions that are not coalesced, written tables still have some files for each core at most."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(80):
+        edited = list(base)
+        for n in range(rng.choice([1, 3, 5])):
+            edited[rng.randrange(60)] = f"e{k}.{n}"
+        rows.append((k, " ".join(edited)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    files = []
+
+    def watched(write):
+        def run(df, *a):
+            out = write(df, *a)
+            files.append(len(out.inputFiles()))
+            return out
+
+        return run
+
+    monkeypatch.setattr(neardup, "written", watched(neardup.written))
+    monkeypatch.setattr(graph, "written", watched(graph.written))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "211")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 3, 85).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    sets = [(i, word_set(t, 3)) for i, t in rows]
+    edges = [(i, j) for k, (i, a) in enumerate(sets) for j, b in sets[:k] if 100 * len(a & b) >= 85 * len(a | b)]
+    assert got == brute_components(set(range(80)), edges)
+    assert len(files) > 10 and max(files) <= 8 * 8
