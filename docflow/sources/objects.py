@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from docflow.operators.lookup import OBJECT_KEY, OBJECT_PART, Fetcher
 from docflow.session import stored_once
+from docflow.sources.packs import PACKS_DIR, pack_entries, put_time, unpack
+from docflow.sources.sinks import latest
 
 # A batch is held about three times over, by each task of an executor.
 BYTES_PER_BATCH = 8 * 1024 * 1024
@@ -36,8 +38,18 @@ def read_objects(spark: SparkSession, path: str, bucket: str, glob: str = "*") -
 
     Tasks list the folders, one level of them after the other, and read the files, so
     the driver holds none of their names. What only Spark's own reader opens (a
-    pattern, a single file, another scheme) is listed by the driver.
+    pattern, a single file, another scheme) is listed by the driver. Of a bucket that
+    holds packs these are all objects in them, with the time of their put.
     """
+    if _folder_store(f"{path.rstrip('/')}/{PACKS_DIR}"):
+        found = _packed(spark, path, glob).withColumn("modificationTime", put_time())
+        return unpack(found, path.rstrip("/")).select(
+            F.lit(bucket).alias("Bucket"),
+            "Key",
+            "content",
+            F.octet_length("content").cast("long").alias("length"),
+            "modificationTime",
+        )
     if _folder_store(path):
         return _read_files(_list_files(spark, path, glob), path, bucket)
     files = (
@@ -110,6 +122,23 @@ def _list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
         level = folders.repartition(4 * spark.sparkContext.defaultParallelism, "Key")
 
 
+def _packed(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(Key, pack, at) of the objects in a bucket's packs; of one put several times, the last.
+
+    Entries of a pack follow each other. Only the keys put again leave the tasks that
+    read the packs, as far as they fit a broadcast.
+    """
+    folder = path.rstrip("/")
+    files = _list_files(spark, f"{folder}/{PACKS_DIR}", "*.zip")
+    width = 4 * spark.sparkContext.defaultParallelism
+    packs = files.select(F.concat(F.lit(f"{PACKS_DIR}/"), "Key").alias("pack")).repartition(width, "pack")
+    entries = pack_entries(packs, folder, glob).withColumn("batch_id", F.struct("pack", "at"))
+    found = latest(entries, ["Key"])
+    if found is not entries:
+        found = found.repartition(width, "pack").sortWithinPartitions("pack", "at")
+    return found.drop("batch_id")
+
+
 def _read_files(files: DataFrame, path: str, bucket: str) -> DataFrame:
     """Files by their keys with content, length and time, some read at once by each task."""
     schema = T.StructType(
@@ -186,7 +215,47 @@ def save_objects_table(objects: DataFrame, table: str, buckets: int) -> None:
     )
 
 
-def store_fetcher(base_uri: str, tasks: int | None = None) -> Fetcher:
+OUTSIDE = "key is empty or leaves the store"
+
+
+def _packed_fetcher(base_uri: str) -> Fetcher:
+    """``store_fetcher`` over buckets of packs."""
+    base = base_uri.rstrip("/")
+
+    def fetch(notifications: DataFrame) -> DataFrame:
+        from pyarrow import fs as arrow_fs
+
+        spark = notifications.sparkSession
+        columns = [*notifications.columns, "content", "error"]
+        bucket, key = F.coalesce("Bucket", F.lit("")), F.coalesce("Key", F.lit(""))
+        outside = (
+            bucket.isin("", ".", "..")
+            | bucket.contains("/")
+            | (key == "")
+            | key.startswith("/")
+            | F.array_contains(F.split(key, "/"), "..")
+        )
+        store, root = arrow_fs.FileSystem.from_uri(base_uri)
+        stored = spark.createDataFrame([], "Bucket string, Key string, pack string, at bigint")
+        for info in store.get_file_info(arrow_fs.FileSelector(root, allow_not_found=True)):
+            name = info.base_name
+            folder = f"{base}/{quote(name) if '://' in base else name}"
+            if _folder_store(f"{folder}/{PACKS_DIR}"):
+                pack = F.concat(F.lit(f"{name}/"), "pack").alias("pack")
+                stored = stored.unionAll(_packed(spark, folder).select(F.lit(name), "Key", pack, "at"))
+        located = notifications.where(~outside).join(stored, OBJECT_KEY)
+        width = 4 * spark.sparkContext.defaultParallelism
+        located = located.repartition(width, "pack").sortWithinPartitions("pack", "at")
+        found = unpack(located, base_uri).withColumn("error", F.lit(None).cast("string"))
+        wrong = notifications.where(outside).withColumns(
+            {"content": F.lit(None).cast("binary"), "error": F.lit(OUTSIDE)}
+        )
+        return found.select(*columns).unionAll(wrong.select(*columns))
+
+    return fetch
+
+
+def store_fetcher(base_uri: str, tasks: int | None = None, packed: bool = False) -> Fetcher:
     """Lookup of single objects at ``base_uri/Bucket/Key``, one read per row.
 
     For small batches against a large store: the work grows with the notifications
@@ -195,7 +264,12 @@ def store_fetcher(base_uri: str, tasks: int | None = None) -> Fetcher:
     with an ``error``; only a failing connection fails the task, which Spark retries.
     The few bytes of the keys would be put into one partition, so they are spread
     over ``tasks`` (four per core) instead, and each task reads ``READERS`` at once.
+    With ``packed`` the objects are looked up in packs, whose directories are all read for
+    each call; without it a bucket of packs fails the task.
     """
+    if packed:
+        return _packed_fetcher(base_uri)
+    packs_dir, told_outside = PACKS_DIR, OUTSIDE
 
     def fetch(notifications: DataFrame) -> DataFrame:
         cores = notifications.sparkSession.sparkContext.defaultParallelism
@@ -226,13 +300,15 @@ def store_fetcher(base_uri: str, tasks: int | None = None) -> Fetcher:
             def read(bucket, key):
                 """Content and error of an object, None if there is none."""
                 if not bucket or not key or "/" in bucket or key.startswith("/"):
-                    return None, "key is empty or leaves the store"
+                    return None, told_outside
                 if {".", ".."} & {bucket} or ".." in key.split("/"):
-                    return None, "key is empty or leaves the store"
+                    return None, told_outside
                 try:
                     with store.open_input_stream(f"{root}/{bucket}/{key}") as stream:
                         return stream.read(), None
                 except FileNotFoundError:
+                    if store.get_file_info(f"{root}/{bucket}/{packs_dir}").type != arrow_fs.FileType.NotFound:
+                        raise ValueError(f"bucket holds packed objects: {bucket}") from None
                     return None
                 except (ConnectionError, TimeoutError):
                     raise

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.operators.lookup import broadcast_if_small, row_bytes
+from docflow.sources.packs import PACKS_DIR, pack_objects
 
 RECEIPT = T.StructType(
     [
@@ -23,8 +24,11 @@ RECEIPT = T.StructType(
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch's rows to its own partition; a replay replaces them."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Write one batch's rows to its own partition; a replay replaces them.
+
+    Texts take a third less of the disk with zstd than with Spark's own choice.
+    """
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -65,14 +69,20 @@ def latest(rows: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     return rows.alias("rows").join(rewritten, older, "left_anti")
 
 
-def put_objects(rows: DataFrame, base_uri: str, body_col: str, writers: int = 8) -> DataFrame:
+def put_objects(
+    rows: DataFrame, base_uri: str, body_col: str, writers: int = 8, packed: bool = False
+) -> DataFrame:
     """Store each row's body at ``base_uri/Bucket/output_key``, replacing what is
     there; gives one receipt per object, and writes when the receipts are read.
 
     A task writes ``writers`` objects at once and makes each folder once; it takes
-    some rows of an Arrow batch at a time, so only those are copied.
+    some rows of an Arrow batch at a time, so only those are copied. With ``packed``
+    it writes packs of many objects instead of a file for each; a bucket holds either.
     """
     bodies = rows.select("Bucket", "output_key", F.col(body_col).cast("binary").alias("_body"))
+    if packed:
+        return pack_objects(bodies, base_uri, RECEIPT)
+    packs_dir = PACKS_DIR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from concurrent.futures import ThreadPoolExecutor
@@ -82,6 +92,7 @@ def put_objects(rows: DataFrame, base_uri: str, body_col: str, writers: int = 8)
         store, root = arrow_fs.FileSystem.from_uri(base_uri)
         on_disk = isinstance(store, arrow_fs.LocalFileSystem)
         made: set[str] = set()
+        checked: set[str] = set()
 
         def put(item) -> int:
             bucket, key, body = item
@@ -101,6 +112,10 @@ def put_objects(rows: DataFrame, base_uri: str, body_col: str, writers: int = 8)
                 for bucket, key, _ in items:
                     if ".." in f"{bucket}/{key}".split("/"):
                         raise ValueError(f"key leaves the store: {bucket}/{key}")
+                for bucket in {bucket for bucket, _, _ in items} - checked:
+                    if store.get_file_info(f"{root}/{bucket}/{packs_dir}").type != arrow_fs.FileType.NotFound:
+                        raise ValueError(f"bucket holds packed objects: {bucket}")
+                    checked.add(bucket)
                 if on_disk:
                     for folder in {f"{root}/{b}/{k}".rsplit("/", 1)[0] for b, k, _ in items} - made:
                         store.create_dir(folder, recursive=True)

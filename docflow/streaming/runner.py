@@ -87,7 +87,8 @@ class StreamConfig:
     ``poll_interval`` None means: read what is there, then stop. ``dedup_within``
     (say ``DEFAULT_VISIBILITY``) keeps state to drop copies that come in a later
     batch; without it they are processed again and replace equal outputs. Bodies of
-    outputs are also stored as objects below the URI ``put``, if it is given. With
+    outputs are also stored as objects below the URI ``put``, if it is given; with
+    ``packed`` many of them share a file (see ``sources.packs``). With
     ``subscriptions``, pairs of topic and queue, a stage gets the messages of the
     topics its queue is subscribed to; without them every stage gets all.
     """
@@ -98,6 +99,7 @@ class StreamConfig:
     dedup_within: str | None = None
     retry: RetryPolicy = RetryPolicy()
     put: str | None = None
+    packed: bool = False
     subscriptions: tuple[tuple[str, str], ...] | None = None
 
 
@@ -115,6 +117,7 @@ def process_batch(
     retry: RetryPolicy = RetryPolicy(),
     now: datetime | None = None,
     put: str | None = None,
+    packed: bool = False,
 ) -> None:
     """Look up, run every stage and write all outputs of one batch of decoded bodies.
 
@@ -151,7 +154,7 @@ def process_batch(
             if put and stage.body:
                 # Reading the receipts writes the objects; a replay writes them again alike.
                 receipts = f"{out}/{RECEIPTS_DIR}_{name}"
-                write_batch(put_objects(done, put, stage.body), receipts, batch_id)
+                write_batch(put_objects(done, put, stage.body, packed=packed), receipts, batch_id)
                 stored = spark.read.parquet(f"{receipts}/batch_id={batch_id}").count()
             n, size = seen.get["n"], seen.get["size"]
             counts.append((name, rows, bad, n_failed, n, size or 0, stored))
@@ -243,7 +246,7 @@ def start(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         process_batch(
-            batch, batch_id, out, fetch, stages, extract, config.retry, put=config.put
+            batch, batch_id, out, fetch, stages, extract, config.retry, put=config.put, packed=config.packed
         )
 
     writer = (

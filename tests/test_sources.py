@@ -181,3 +181,110 @@ def test_contents_fetched_are_held_in_small_batches(spark, tmp_path, monkeypatch
     batch = pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["uid", "Bucket", "Key"])
     sizes = [sum(map(len, b.column(3).to_pylist())) for b in run(iter([batch]))]
     assert sum(sizes) == 40 << 20 and max(sizes) <= 16 << 20
+
+
+OBJECT_ROWS = "Bucket string, output_key string, text string"
+
+
+def _disk(folder) -> tuple[int, int]:
+    """Files below a folder, and the bytes of its disk that they and the folders take."""
+    every = [folder, *folder.rglob("*")]
+    return sum(p.is_file() for p in every), sum(p.stat().st_blocks * 512 for p in every)
+
+
+def test_small_objects_in_packs_take_little_more_than_their_bytes(spark, tmp_path):
+    words = [f"{i * 7919 % 10007:x}" for i in range(10007)]
+    bodies = [("b", f"text/{i}/1.png", " ".join(words[i : i + 100])) for i in range(3000)]
+    rows = spark.createDataFrame(bodies, OBJECT_ROWS).repartition(3)
+    for _ in range(2):
+        receipts = put_objects(rows, tmp_path.as_uri(), "text", packed=True).collect()
+        assert sorted((r.Bucket, r.output_key, r.content_length) for r in receipts) == sorted(
+            (b, k, len(t)) for b, k, t in bodies
+        )
+        found = read_objects(spark, str(tmp_path / "b"), "b").collect()
+        # Put again, nothing doubles.
+        assert sorted((r.Bucket, r.Key, bytes(r.content).decode()) for r in found) == sorted(bodies)
+        assert all(r.length == len(r.content) and r.modificationTime is not None for r in found)
+    files, size = _disk(tmp_path)
+    assert files == 6 and size < 2 * 1.5 * sum(len(t) for _, _, t in bodies)
+
+
+def test_packs_are_bounded(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("b", f"k{i}", "text") for i in range(1000)], OBJECT_ROWS).coalesce(1)
+    monkeypatch.setattr("docflow.sources.packs.PACK_OBJECTS", 256)
+    assert put_objects(rows, tmp_path.as_uri(), "text", packed=True).count() == 1000
+    assert _disk(tmp_path)[0] == 4
+    monkeypatch.setattr("docflow.sources.packs.PACK_OBJECTS", 1 << 14)
+    monkeypatch.setattr("docflow.sources.packs.PACK_BYTES", 512)
+    large = spark.createDataFrame([("c", f"k{i}", uuid.uuid4().hex) for i in range(1000)], OBJECT_ROWS).coalesce(1)
+    assert put_objects(large, tmp_path.as_uri(), "text", packed=True).count() == 1000
+    assert _disk(tmp_path / "c")[0] == 4
+    monkeypatch.setattr("docflow.sources.packs.BYTES_PER_BATCH", 100)
+    assert read_objects(spark, str(tmp_path / "c"), "c").select("Key", "content").distinct().count() == 1000
+
+
+def test_packed_objects_are_replaced_listed_and_fetched(spark, tmp_path):
+    import zipfile
+
+    def put(bodies):
+        rows = spark.createDataFrame(bodies, OBJECT_ROWS).repartition(2)
+        put_objects(rows, tmp_path.as_uri(), "text", packed=True).collect()
+
+    old = {("b", f"text/{i} é.txt"): f"old {i}" for i in range(40)} | {("c d", "x/_y.png"): "", ("c d", "x"): "folder"}
+    new = {("b", f"text/{i} é.txt"): f"new {i}" for i in range(30, 50)}
+    put([(*key, text) for key, text in old.items()])
+    put([(*key, text) for key, text in new.items()])
+    # What a task that died left behind is no pack.
+    (tmp_path / "b" / "_packs" / "1-x.zip.part").write_bytes(b"PK")
+    # Of two objects of one key in one put, one is kept.
+    put([("b", "twice", "one"), ("b", "twice", "one")])
+    whole = {**old, **new, ("b", "twice"): "one"}
+
+    found = [r for b in ("b", "c d") for r in read_objects(spark, str(tmp_path / b), b).collect()]
+    assert len(found) == len(whole)
+    assert {(r.Bucket, r.Key): bytes(r.content).decode() for r in found} == whole
+    listed = read_objects(spark, (tmp_path / "b").as_uri(), "b", "1*.txt").collect()
+    assert {r.Key for r in listed} == {f"text/{i} é.txt" for i in (1, *range(10, 20))}
+    packs = sorted((tmp_path / "c d" / "_packs").glob("*.zip"))
+    assert sorted(n for p in packs for n in zipfile.ZipFile(p).namelist()) == ["x", "x/_y.png"]
+
+    asked = [*whole, ("b", "text/50 é.txt"), ("none", "x"), ("b", ""), ("b", "../x"), ("..", "x"), (None, "x"), ("b", None)]
+    sent = spark.createDataFrame([(f"u{i}", *key) for i, key in enumerate(asked)], COLUMNS)
+    rows = store_fetcher(tmp_path.as_uri(), packed=True)(sent).collect()
+    got = {(r.Bucket, r.Key): bytes(r.content).decode() for r in rows if r.error is None}
+    assert got == whole and len(rows) == len(whole) + 5
+    assert all(r.uid == f"u{asked.index((r.Bucket, r.Key))}" for r in rows)
+    files = store_fetcher((tmp_path / "empty").as_uri())(sent).collect()
+    assert {(r.uid, r.error) for r in rows if r.error} == {(r.uid, r.error) for r in files}
+
+
+def test_a_bucket_holds_files_or_packs(spark, tmp_path):
+    rows = spark.createDataFrame([("b", "x/k", "t")], OBJECT_ROWS)
+    for first in (False, True):
+        base = (tmp_path / str(first)).as_uri()
+        put_objects(rows, base, "text", packed=first).collect()
+        with pytest.raises(Exception, match="bucket holds"):
+            put_objects(rows, base, "text", packed=not first).collect()
+    sent = spark.createDataFrame([("u", "b", "x/k")], COLUMNS)
+    with pytest.raises(Exception, match="bucket holds packed objects"):
+        store_fetcher(base)(sent).collect()
+    outside = spark.createDataFrame([("b", "../../x", "t")], OBJECT_ROWS)
+    with pytest.raises(Exception, match="leaves the store"):
+        put_objects(outside, base, "text", packed=True).collect()
+
+
+def test_stored_outputs_take_few_files(spark, tmp_path, monkeypatch):
+    from docflow.plans import queries
+
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, purpose: str(tmp_path / purpose))
+    docs = [(i, "\n".join(f"line {n} of {i}" for n in range(60)), "en", f"s{i % 3}", 1) for i in range(400)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    table.write.parquet(str(tmp_path / "in/documents.parquet"))
+    rows = queries.stored_outputs(spark, str(tmp_path / "in")).collect()
+    texts = [r for r in rows if r.output_key.startswith("text-parsed/")]
+    assert len(texts) == 400 and len(rows) > 800 and len({r.output_key for r in rows}) == len(rows)
+    assert all(r.content_length == len(r.body) for r in rows)
+    store = tmp_path / "stream/store"
+    files, size = _disk(store)
+    # Before, a file of a block or more for each of the objects, and a folder for each document.
+    assert files < len(rows) / 4 and size < 4096 * len(rows) / 4
